@@ -7,7 +7,6 @@ from churnflow.functions.columns import (
     parse_day_month_year,
     split_bucket,
     timestamp_literal,
-    trailing_days,
     whole_id,
 )
 
@@ -20,6 +19,5 @@ __all__ = [
     "parse_day_month_year",
     "split_bucket",
     "timestamp_literal",
-    "trailing_days",
     "whole_id",
 ]

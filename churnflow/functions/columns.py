@@ -37,12 +37,6 @@ def timestamp_literal(moment: datetime) -> Column:
     return F.lit(moment.isoformat()).cast("timestamp")
 
 
-def trailing_days(day: Column, snapshot: date, days: int) -> Column:
-    """``snapshot - days <= day < snapshot``."""
-    end = date_literal(snapshot)
-    return (day >= F.date_sub(end, days)) & (day < end)
-
-
 def latest_date(*days: Column) -> Column:
     """The latest of several dates, with a missing one counted as 1970-01-01; never NULL."""
     floor = date_literal(EPOCH)

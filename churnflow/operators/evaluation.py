@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from churnflow.schemas import LABEL
 
@@ -32,19 +32,24 @@ def roc_auc(by_score: DataFrame) -> DataFrame:
     """
     cuts = by_score.agg(
         F.percentile_approx("score", [i / _RANGES for i in range(1, _RANGES)], 10_000).alias("cuts")).scalar()
-    ranged = by_score.withColumn("score_range", F.size(F.filter(cuts, lambda cut: cut < F.col("score"))))
+    cuts_below = F.size(F.filter("cuts", lambda cut: cut < F.col("score")))
+    ranged = by_score.withColumn("cuts", cuts).select(
+        "score", "positives", "negatives", F.coalesce(cuts_below, F.lit(0)).alias("score_range"))
 
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy("score_range").agg(F.sum("negatives").alias("range_negatives"))
-    below_range = totals.select(
-        "score_range",
-        F.coalesce(F.sum("range_negatives").over(before.orderBy("score_range")), F.lit(0)).alias("below_range"))
     within = before.partitionBy("score_range").orderBy("score")
-    ranked = ranged.withColumn("below_here", F.coalesce(F.sum("negatives").over(within), F.lit(0)))
-
-    # At most 257 rows are broadcast. Twice the rank sum is whole, so it adds up exactly.
-    joined = ranked.join(F.broadcast(below_range), "score_range")
-    twice_below = 2 * (F.col("below_range") + F.col("below_here")) + F.col("negatives")
-    won = F.sum(F.col("positives").cast("decimal(18,0)") * twice_below.cast("decimal(19,0)"))
+    ranked = ranged.withColumn("below", F.coalesce(F.sum("negatives").over(within), F.lit(0)))
+
+    # Twice the rank sum is a whole number, so it adds up exactly in any order.
+    twice_won = _product(F.col("positives"), 2 * F.col("below") + F.col("negatives"))
+    per_range = ranked.groupBy("score_range").agg(
+        F.sum(twice_won).alias("twice_won"), F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives"))
+    below_range = F.coalesce(F.sum("negatives").over(before.orderBy("score_range")), F.lit(0))
+    total = per_range.withColumn("below", below_range)  # at most 257 rows
+    won = F.sum(F.col("twice_won") + _product(F.col("positives"), 2 * F.col("below"))).cast("double")
     pairs = F.sum("positives").cast("double") * F.sum("negatives").cast("double")
-    return joined.agg(F.try_divide(won.cast("double"), 2 * pairs).alias("roc_auc"))
+    return total.agg(F.try_divide(won, 2 * pairs).alias("roc_auc"))
+
+
+def _product(a: Column, b: Column) -> Column:
+    return a.cast("decimal(18,0)") * b.cast("decimal(19,0)")

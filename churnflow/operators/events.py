@@ -33,8 +33,8 @@ def keep_top_row(df: DataFrame, key: Sequence[str], highest: Sequence[str]) -> D
     """One row per key: the one with the highest ``highest`` columns, compared in order.
 
     The remaining columns break ties, so the choice is deterministic. A maximum of structs is
-    reduced on the map side: a key holding a large share of all rows never meets in one task,
-    which a window over the key would make it do.
+    reduced on the map side: of a key that holds a large share of all rows, each task passes on
+    a single row.
     """
     rest = [c for c in df.columns if c not in key and c not in highest]
     top = df.groupBy(*key).agg(F.max(F.struct(*highest, *rest)).alias("top"))

@@ -2,37 +2,33 @@
 
 Every source is reduced to one row per customer before it meets another source, with partial
 sums on the map side, so a customer (or a missing id) holding a large share of the rows is
-harmless. Several snapshot dates are computed in the same pass, as extra aggregates of the same
-customer row; rows are multiplied by the number of dates only at the very end, without a shuffle.
+harmless. Several snapshot dates share the same scans and shuffles; rows are multiplied by the
+number of dates only at the very end, in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from churnflow.functions import date_literal, fail_when, latest_date, timestamp_literal, trailing_days, whole_id
+from churnflow.functions import date_literal, fail_when, latest_date, timestamp_literal, whole_id
 from churnflow.operators.labels import churn_label, days_since
 from churnflow.schemas import FEATURES
 
 # Account states that count as holding an investment.
 INVESTED_STATES = ["eligible", "active", "invested"]
 
-# More dates than this are computed in several passes, to keep the number of aggregates of one
-# pass within what Spark compiles.
+WINDOWS = (7, 30, 90)
+
+# Longer lists are computed in several passes, since a day's payments count for every later date
+# of a pass. A quarter of weekly snapshots fits into one.
 SNAPSHOTS_PER_PASS = 13
 
 CUSTOMER_SOURCES = ("payments", "marketplace", "active_user", "demographics", "balances")
-_PAYMENT_COLUMNS = (
-    "spent_7d", "spent_30d", "spent_90d", "payments_30d", "payments_90d", "discount_30d", "last_payment_date",
-)
-_ALL_PAYMENT_COLUMNS = (*_PAYMENT_COLUMNS, "discount_90d")
-
-
 def _customer(source: str) -> Column:
     buyer = F.col("cus_cust_id_buy")
     return (whole_id(buyer) if source == "balances" else buyer).alias("customer_id")
@@ -44,46 +40,71 @@ def customer_base(raw: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, ids).distinct()
 
 
-def _payment_aggregates(snapshot: date) -> dict[str, Column]:
-    day, spent, discount = F.col("fecha"), F.col("spent"), F.col("descuento")
+def _passes(snapshots: Sequence[date]) -> list[list[date]]:
+    ordered = sorted(set(snapshots))
+    if not ordered:
+        raise ValueError("no snapshot dates given")
+    return [ordered[i:i + SNAPSHOTS_PER_PASS] for i in range(0, len(ordered), SNAPSHOTS_PER_PASS)]
+
 
-    def within(days: int) -> Column:
-        return trailing_days(day, snapshot, days)
+def _dates(snapshots: Sequence[date]) -> Column:
+    return F.array(*(date_literal(s) for s in snapshots))
 
-    return {
-        "spent_7d": F.sum(F.when(within(7), spent)),
-        "spent_30d": F.sum(F.when(within(30), spent)),
-        "spent_90d": F.sum(F.when(within(90), spent)),
-        "payments_30d": F.count_if(within(30)),
-        "payments_90d": F.count_if(within(90)),
-        "discount_30d": F.sum(F.when(within(30), discount)),
-        "discount_90d": F.sum(F.when(within(90), discount)),
-        "last_payment_date": F.max(F.when(day < date_literal(snapshot), day)),
-    }
 
+def _window_totals(payments: DataFrame, snapshots: Sequence[date], first_day: date) -> DataFrame:
+    """(customer_id, totals) where ``totals`` maps a snapshot date to its sums over the windows.
 
-def _payments_by_customer(payments: DataFrame, snapshots: Sequence[date], columns: Sequence[str]) -> DataFrame:
-    """One row per customer; the aggregates of the i-th snapshot are named ``s<i>_<column>``."""
-    aggregates = []
-    for i, snapshot in enumerate(snapshots):
-        named = _payment_aggregates(snapshot)
-        aggregates += [named[c].alias(f"s{i}_{c}") for c in columns]
-    return payments.groupBy(_customer("payments")).agg(*aggregates)
+    Payments are first added up per customer and day, which bounds a customer's rows by the number
+    of days. Those few rows are then brought together by customer once; both later groupings, by
+    snapshot and by customer, use that same partitioning.
+    """
+    daily = (
+        payments.filter((F.col("fecha") >= date_literal(first_day)) & (F.col("fecha") < date_literal(snapshots[-1])))
+        .groupBy(_customer("payments"), "fecha")
+        .agg(F.sum("spent").alias("spent"), F.sum("descuento").alias("discount"), F.count("*").alias("payments"))
+        .repartition("customer_id")
+    )
+    ahead = daily.withColumn("snapshot_date", F.explode(_dates(snapshots))).filter(F.col("fecha") < F.col("snapshot_date"))
 
+    def total(column: str, days: int) -> Column:
+        inside = F.col("fecha") >= F.date_sub("snapshot_date", days)
+        return F.sum(F.when(inside, F.col(column))).alias(f"{column}_{days}d")
 
-def _one_row_per_snapshot(wide: DataFrame, snapshots: Sequence[date], kept: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    per_snapshot = (
-        F.struct(date_literal(snapshot).alias("snapshot_date"), *(F.col(f"s{i}_{c}").alias(c) for c in columns))
-        for i, snapshot in enumerate(snapshots)
+    totals = ahead.groupBy("customer_id", "snapshot_date").agg(
+        *(total("spent", days) for days in WINDOWS),
+        *(total("payments", days) for days in WINDOWS[1:]),
+        *(total("discount", days) for days in WINDOWS[1:]),
+        F.max("fecha").alias("last_payment_date"),
     )
-    return wide.select(*kept, F.inline(F.array(*per_snapshot)))
+    entry = F.struct("snapshot_date", F.struct(*(c for c in totals.columns if c not in ("customer_id", "snapshot_date"))))
+    return totals.groupBy("customer_id").agg(F.map_from_entries(F.collect_list(entry)).alias("totals"))
 
 
-def _passes(snapshots: Sequence[date]) -> list[list[date]]:
-    ordered = sorted(set(snapshots))
-    if not ordered:
-        raise ValueError("no snapshot dates given")
-    return [ordered[i:i + SNAPSHOTS_PER_PASS] for i in range(0, len(ordered), SNAPSHOTS_PER_PASS)]
+def _payers(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame:
+    """One row per paying customer: the last payment before all windows, and the window totals.
+
+    Only customer and date are read for the whole history; amounts only for the days that some
+    window covers, by a filter that reaches the scan.
+    """
+    first_day = snapshots[0] - timedelta(days=WINDOWS[-1])
+    earlier = F.max(F.when(F.col("fecha") < date_literal(first_day), F.col("fecha")))
+    history = payments.groupBy(_customer("payments")).agg(earlier.alias("earlier_payment_date"))
+    return history.join(_window_totals(payments, snapshots, first_day), "customer_id", "left")
+
+
+def _one_row_per_snapshot(payers: DataFrame, snapshots: Sequence[date]) -> DataFrame:
+    """Spreads ``payers`` over the snapshot dates. Sums are NULL, and counts 0, where nothing was paid."""
+    kept = [c for c in payers.columns if c not in ("totals", "earlier_payment_date")]
+    rows = payers.withColumn("snapshot_date", F.explode(_dates(snapshots))).withColumn(
+        "t", F.try_element_at("totals", F.col("snapshot_date")))
+    return rows.select(
+        *kept, "snapshot_date",
+        *(F.col(f"t.{c}_{days}d").alias(f"{c}_{days}d") for c, days in (
+            ("spent", 7), ("spent", 30), ("spent", 90), ("discount", 30), ("discount", 90))),
+        *(F.coalesce(F.col(f"t.payments_{days}d"), F.lit(0)).alias(f"payments_{days}d") for days in WINDOWS[1:]),
+        # Days inside the windows come after those before them.
+        F.coalesce(F.col("t.last_payment_date"), F.col("earlier_payment_date")).alias("last_payment_date"),
+    )
 
 
 def payment_metrics(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame:
@@ -92,11 +113,8 @@ def payment_metrics(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame
     Customers without any payment before a date have no row for it. Sums are NULL, and counts 0,
     when no payment falls in the window.
     """
-
     def one_pass(dates: list[date]) -> DataFrame:
-        seen = payments.filter(F.col("fecha") < date_literal(dates[-1]))
-        wide = _payments_by_customer(seen, dates, _ALL_PAYMENT_COLUMNS)
-        rows = _one_row_per_snapshot(wide, dates, ["customer_id"], _ALL_PAYMENT_COLUMNS)
+        rows = _one_row_per_snapshot(_payers(payments, dates), dates)
         return rows.filter(F.col("last_payment_date").isNotNull())
 
     return reduce(DataFrame.unionByName, (one_pass(dates) for dates in _passes(snapshots)))
@@ -170,25 +188,19 @@ def _profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-_PROFILE_COLUMNS = (
-    "customer_id", "gender", "rango_edad", "tarjetas", "estado", "mau_mp_1", "mau_ml_1", "mau_mp_3", "mau_ml_3",
-    "last_login_date", "plata_cuenta_1", "plata_cuenta_2", "has_inversion", "outcome", "outcome_rows",
-)
-
-
 def build_features(raw: Mapping[str, DataFrame], snapshots: Sequence[date], run_ts: datetime) -> DataFrame:
     """The feature table's rows for every customer at every given snapshot date.
 
-    Payments and the other sources are each shuffled once by customer and meet in one full outer
-    join on that same partitioning. A customer with several known outcomes, or a missing customer
-    id, fails the build.
+    Payments and the other sources meet once, in a full outer join on the customer, by which both
+    are already partitioned. A customer with several known outcomes, or a missing customer id,
+    fails the build.
     """
     profiles = _profiles(raw)
 
     def one_pass(dates: list[date]) -> DataFrame:
-        paid = _payments_by_customer(raw["payments"], dates, _PAYMENT_COLUMNS).withColumn("has_payments", F.lit(True))
-        joined = paid.join(profiles, "customer_id", "full").filter(F.col("has_payments") | F.col("is_customer"))
-        return _one_row_per_snapshot(joined, dates, _PROFILE_COLUMNS, _PAYMENT_COLUMNS)
+        payers = _payers(raw["payments"], dates).withColumn("has_paid", F.lit(True))
+        customers = payers.join(profiles, "customer_id", "full").filter(F.col("has_paid") | F.col("is_customer"))
+        return _one_row_per_snapshot(customers, dates)
 
     rows = reduce(DataFrame.unionByName, (one_pass(dates) for dates in _passes(snapshots)))
     return _finished(rows, run_ts)

@@ -147,7 +147,7 @@ def rule_probability(rows: DataFrame) -> DataFrame:
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_split(training_set(feature_table(spark, sf_dir), SNAPSHOT))
+    return with_split(training_set(feature_table(spark, sf_dir), SNAPSHOT, keys_unique=True))
 
 
 def held_out_by_score(spark: SparkSession, sf_dir: str) -> DataFrame:
