@@ -80,16 +80,21 @@ def _window_totals(payments: DataFrame, snapshots: Sequence[date], first_day: da
     return totals.groupBy("customer_id").agg(F.map_from_entries(F.collect_list(entry)).alias("totals"))
 
 
-def _payers(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame:
+def _payers(payments: DataFrame, snapshots: Sequence[date], *, match_null: bool = False) -> DataFrame:
     """One row per paying customer: the last payment before all windows, and the window totals.
 
     Only customer and date are read for the whole history; amounts only for the days that some
-    window covers, by a filter that reaches the scan.
+    window covers, by a filter that reaches the scan. ``match_null`` also finds the totals of
+    payments without a customer, at the price of shuffling the customers again.
     """
     first_day = snapshots[0] - timedelta(days=WINDOWS[-1])
     earlier = F.max(F.when(F.col("fecha") < date_literal(first_day), F.col("fecha")))
     history = payments.groupBy(_customer("payments")).agg(earlier.alias("earlier_payment_date"))
-    return history.join(_window_totals(payments, snapshots, first_day), "customer_id", "left")
+    totals = _window_totals(payments, snapshots, first_day)
+    if not match_null:
+        return history.join(totals, "customer_id", "left")
+    same = history["customer_id"].eqNullSafe(totals["customer_id"])
+    return history.join(totals, same, "left").drop(totals["customer_id"])
 
 
 def _one_row_per_snapshot(payers: DataFrame, snapshots: Sequence[date]) -> DataFrame:
@@ -114,7 +119,7 @@ def payment_metrics(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame
     when no payment falls in the window.
     """
     def one_pass(dates: list[date]) -> DataFrame:
-        rows = _one_row_per_snapshot(_payers(payments, dates), dates)
+        rows = _one_row_per_snapshot(_payers(payments, dates, match_null=True), dates)
         return rows.filter(F.col("last_payment_date").isNotNull())
 
     return reduce(DataFrame.unionByName, (one_pass(dates) for dates in _passes(snapshots)))
