@@ -1,5 +1,6 @@
 from churnflow.functions.columns import (
     EPOCH,
+    as_date,
     date_literal,
     fail_when,
     latest_date,
@@ -12,6 +13,7 @@ from churnflow.functions.columns import (
 
 __all__ = [
     "EPOCH",
+    "as_date",
     "date_literal",
     "fail_when",
     "latest_date",

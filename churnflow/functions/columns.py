@@ -26,8 +26,12 @@ def whole_id(number: Column) -> Column:
     return F.round(number).cast("bigint")
 
 
+def as_date(day: date | str) -> date:
+    return date.fromisoformat(day) if isinstance(day, str) else day
+
+
 def date_literal(day: date | str) -> Column:
-    return F.lit(day if isinstance(day, date) else date.fromisoformat(day))
+    return F.lit(as_date(day))
 
 
 def timestamp_literal(moment: datetime) -> Column:

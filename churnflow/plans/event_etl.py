@@ -6,10 +6,10 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
-from churnflow.functions import date_literal
+from churnflow.functions import as_date, date_literal
 from churnflow.operators.events import as_ledger_rows, merge_events, recheck_start, stage_events, unmatched_after_run
 from churnflow.operators.quality import require, staged_event_checks
-from churnflow.schemas import LEDGER, STAGED_EVENTS
+from churnflow.schemas import LEDGER, RAW_EVENTS, STAGED_EVENTS
 from churnflow.sources import Lake, stage
 
 
@@ -24,13 +24,14 @@ def run_event_etl(raw: DataFrame, ledger: DataFrame, ds: date, as_of: date, run_
     return merge_events(ledger, staged, ds, run_ts)
 
 
-def update_ledger(lake: Lake, raw: DataFrame, ds: date, as_of: date | None = None, run_ts: datetime | None = None) -> None:
+def update_ledger(lake: Lake, ds: date | str, as_of: date | None = None, run_ts: datetime | None = None, raw: DataFrame | None = None) -> None:
     """Run the load against the stored staging and ledger tables.
 
     Only months that occur in the staged rows, or lie within the re-check range, are read and
     rewritten. Running it again after a failure gives the same ledger.
     """
-    run_ts = run_ts or datetime.now(timezone.utc)
+    ds, run_ts = as_date(ds), run_ts or datetime.now(timezone.utc)
+    raw = lake.read(RAW_EVENTS) if raw is None else raw
     lake.replace(stage_events(raw), STAGED_EVENTS, load_ts=run_ts)
     staged = lake.read(STAGED_EVENTS)
     require(staged, staged_event_checks(as_of or run_ts.date()))

@@ -7,28 +7,23 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
+from churnflow.functions import as_date
 from churnflow.operators.features import build_features
 from churnflow.operators.merge import survivors
 from churnflow.operators.quality import require_snapshots
 from churnflow.schemas import FEATURES, RAW_CUSTOMER_TABLES
-from churnflow.sources import Lake, discard, load_csv, stage
+from churnflow.sources import Lake, discard, stage
 
 
-def load_customer_tables(lake: Lake, files: Mapping[str, str]) -> None:
-    """Reload raw customer tables from CSV files, each replacing what was there."""
-    for name, path in files.items():
-        table = RAW_CUSTOMER_TABLES[name]
-        lake.replace(load_csv(lake.spark, path, table.schema), table)
-
-
-def update_features(lake: Lake, snapshots: Sequence[date], run_ts: datetime | None = None, raw: Mapping[str, DataFrame] | None = None) -> None:
+def update_features(lake: Lake, snapshots: Sequence[date | str], run_ts: datetime | None = None, raw: Mapping[str, DataFrame] | None = None) -> None:
     """Build the snapshots, check them, and upsert them into the feature table.
 
     Only the partitions of these dates are read and rewritten.
     """
+    snapshots = [as_date(s) for s in snapshots]
     raw = raw or {name: lake.read(table) for name, table in RAW_CUSTOMER_TABLES.items()}
     built = stage(build_features(raw, snapshots, run_ts or datetime.now(timezone.utc)), FEATURES.name)
     require_snapshots(built, snapshots)
-    stored = lake.read(FEATURES).filter(F.col("snapshot_date").isin(list(snapshots)))
+    stored = lake.read(FEATURES).filter(F.col("snapshot_date").isin(snapshots))
     lake.upsert(survivors(stored, built, FEATURES.key), built, FEATURES)
     discard(built)

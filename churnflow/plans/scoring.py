@@ -7,6 +7,7 @@ from datetime import date, datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from churnflow.functions import as_date
 from churnflow.operators.registry import current_model
 from churnflow.operators.scoring import DECISION_THRESHOLD, score
 from churnflow.plans.training import MODEL_NAME
@@ -21,12 +22,13 @@ def load_production_model(lake: Lake, model_name: str = MODEL_NAME) -> tuple[Pip
     return PipelineModel.load(live.path), live.version
 
 
-def score_snapshot(lake: Lake, snapshot: date, threshold: float = DECISION_THRESHOLD, model_name: str = MODEL_NAME, run_ts: datetime | None = None) -> int:
+def score_snapshot(lake: Lake, snapshot: date | str, threshold: float = DECISION_THRESHOLD, model_name: str = MODEL_NAME, run_ts: datetime | None = None) -> int:
     """Score one snapshot with the production model, replacing that model's scores for the date."""
+    snapshot = as_date(snapshot)
     features = read_snapshot(lake.read(FEATURES), snapshot)
     if features.isEmpty():
         raise ValueError(f"no features available for snapshot_date={snapshot}")
     model, version = load_production_model(lake, model_name)
     scored = score(features, model, str(version), run_ts or datetime.now(timezone.utc), threshold)
-    lake.replace_partitions(scored, SCORES)
+    lake.replace_partitions(scored, SCORES, rebalance=False)
     return version

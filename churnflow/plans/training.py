@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from churnflow.functions import as_date
 from churnflow.operators.evaluation import accuracy, counts_by_score, roc_auc
 from churnflow.operators.modeling import (
     assembler_inputs,
@@ -51,9 +52,9 @@ def fit_and_evaluate(rows: DataFrame) -> tuple[PipelineModel, dict[str, float]]:
     return model, metrics
 
 
-def train_and_register(lake: Lake, snapshot: date, lookback_weeks: int = 8, model_name: str = MODEL_NAME, run_ts: datetime | None = None) -> int:
+def train_and_register(lake: Lake, snapshot: date | str, lookback_weeks: int = 8, model_name: str = MODEL_NAME, run_ts: datetime | None = None) -> int:
     """Train on the trailing window, store the model under the next version, and promote it."""
-    spark, run_ts = lake.spark, run_ts or datetime.now(timezone.utc)
+    spark, run_ts, snapshot = lake.spark, run_ts or datetime.now(timezone.utc), as_date(snapshot)
     rows = with_split(training_set(lake.read(FEATURES), snapshot, lookback_weeks, keys_unique=True))
     # Fitting and measuring read the rows several times.
     rows = stage(rows, "training-rows")

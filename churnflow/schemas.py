@@ -171,6 +171,8 @@ RAW_CUSTOMER_TABLES = {
     "outcomes": RAW_OUTCOMES,
 }
 
+RAW_TABLES = {table.name: table for table in (RAW_EVENTS, *RAW_CUSTOMER_TABLES.values())}
+
 # The model's input columns, in assembly order.
 NUMERIC_FEATURES = [
     "spent_7d",

@@ -75,11 +75,14 @@ class Lake:
             self._write(staged, table, "overwrite", "static", defaults)
         discard(staged)
 
-    def replace_partitions(self, df: DataFrame, table: Table, **defaults) -> None:
-        """Replace only the partitions that occur in ``df``; all others stay as they are."""
+    def replace_partitions(self, df: DataFrame, table: Table, *, rebalance: bool = True, **defaults) -> None:
+        """Replace only the partitions that occur in ``df``; all others stay as they are.
+
+        ``rebalance=False`` saves a shuffle for rows known to belong to a single partition.
+        """
         if not table.partition_by:
             raise ValueError(f"{table.name} has no partitions")
-        self._write(df, table, "overwrite", "dynamic", defaults)
+        self._write(df, table, "overwrite", "dynamic", defaults, rebalance)
 
     def upsert(self, survivors: DataFrame, source: DataFrame, table: Table) -> None:
         """Publish an upsert: ``source`` rows, plus the ``survivors`` of every partition it touches.
@@ -91,10 +94,10 @@ class Lake:
         self.replace_partitions(conform(source, table).unionByName(kept), table)
         discard(kept)
 
-    def _write(self, df: DataFrame, table: Table, mode: str, overwrite: str, defaults: dict) -> None:
+    def _write(self, df: DataFrame, table: Table, mode: str, overwrite: str, defaults: dict, rebalance: bool = True) -> None:
         rows = conform(df, table, **defaults)
         rows = rows.select("*", *(F.expr(sql).alias(c) for c, (sql, _) in table.derived.items()))
-        if table.partition_by:
+        if table.partition_by and rebalance:
             # Few files per partition, while a large one is still split over many tasks.
             rows = rows.hint("rebalance", *table.partition_by)
         writer = rows.write.mode(mode).option("partitionOverwriteMode", overwrite)

@@ -82,7 +82,7 @@ def test_checks_count_each_kind_of_offence(spark):
 
 def test_failed_check_names_it_and_changes_nothing(spark, lake):
     with pytest.raises(DataQualityError, match="check date_in_future failed with 1 offending rows"):
-        update_ledger(lake, seed_events(spark), date(2023, 1, 14), date(2023, 1, 14), DAY1)
+        update_ledger(lake, date(2023, 1, 14), date(2023, 1, 14), DAY1, seed_events(spark))
     assert lake.read(LEDGER).count() == 0
 
 
@@ -154,13 +154,13 @@ def test_merge_totals(spark, sf):
 def test_ledger_job_rewrites_only_what_it_touches(spark, lake, tmp_path):
     as_of = date(2023, 12, 31)
     everything = seed_events(spark).unionByName(raw(spark, ("CHILE", 9, "15/11/2022", "BTC", "3", "2")))
-    update_ledger(lake, everything, date(2023, 2, 3), as_of, DAY1)
+    update_ledger(lake, date(2023, 2, 3), as_of, DAY1, everything)
     assert lake.read(LEDGER).count() == 12
     files = lambda month: sorted(p.name for p in (tmp_path / "lake/ops/crypto_events" / f"purchase_month={month}").glob("*.parquet"))
     untouched, touched = files("2022-11-01"), files("2023-02-01")
 
     # A reload without the old Chilean row and without the recent event of 1 February.
-    update_ledger(lake, seed_events(spark).filter("purchase_date <> '1/2/2023'"), date(2023, 2, 3), as_of, DAY2)
+    update_ledger(lake, date(2023, 2, 3), as_of, DAY2, seed_events(spark).filter("purchase_date <> '1/2/2023'"))
     assert files("2022-11-01") == untouched and files("2023-02-01") != touched
     state = {(r.user_id, r.purchase_date, r.crypto_type): (r.is_active, r.updated_at) for r in lake.read(LEDGER).collect()}
     assert len(state) == 12
@@ -171,5 +171,5 @@ def test_ledger_job_rewrites_only_what_it_touches(spark, lake, tmp_path):
 
     # Running it again changes nothing.
     before = rows(lake.read(LEDGER))
-    update_ledger(lake, seed_events(spark).filter("purchase_date <> '1/2/2023'"), date(2023, 2, 3), as_of, DAY2)
+    update_ledger(lake, date(2023, 2, 3), as_of, DAY2, seed_events(spark).filter("purchase_date <> '1/2/2023'"))
     assert rows(lake.read(LEDGER)) == before

@@ -17,7 +17,7 @@ from churnflow.operators.quality import (
     require_snapshots,
     require_unique_key,
 )
-from churnflow.plans import load_customer_tables
+from churnflow.plans import load_raw_tables
 from churnflow.schemas import RAW_BALANCES, RAW_DEMOGRAPHICS, RAW_MARKETPLACE, RAW_PAYMENTS, SCORES, STAGED_EVENTS
 from churnflow.sources import discard, literal_rows, load_csv, param_query, read_snapshot, read_window, stage
 from churnflow.sources.lake import conform
@@ -63,8 +63,10 @@ def test_csv_line_breaks_inside_quotes(spark, tmp_path):
 def test_reload_replaces_raw_tables(spark, tmp_path, lake):
     path = write(tmp_path / "b.csv", "i,a,b,v\n1.0,5,,Active\n2.0,6,,\n")
     for _ in range(2):
-        load_customer_tables(lake, {"balances": path})
+        load_raw_tables(lake, {"dinero_cuenta": path})
     assert lake.read(RAW_BALANCES).count() == 2
+    with pytest.raises(ValueError, match="unknown raw tables"):
+        load_raw_tables(lake, {"nothing": path})
 
 
 def scores(spark, *rows):
