@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from churnflow.schemas import LABEL
@@ -28,13 +29,13 @@ def roc_auc(by_score: DataFrame) -> DataFrame:
 
     The number of negatives below each score is a running total over all distinct scores. It is
     taken in two steps so that no task sees them all: within score ranges of about equal size, cut
-    at quantiles of the data, and over the totals of those (at most 257) ranges.
+    at quantiles of the data, and over the totals of those (at most 256) ranges. ``by_score`` is
+    read twice, first for the cuts, so it should be a stored table.
     """
-    cuts = by_score.agg(
-        F.percentile_approx("score", [i / _RANGES for i in range(1, _RANGES)], 10_000).alias("cuts")).scalar()
-    cuts_below = F.size(F.filter("cuts", lambda cut: cut < F.col("score")))
-    ranged = by_score.withColumn("cuts", cuts).select(
-        "score", "positives", "negatives", F.coalesce(cuts_below, F.lit(0)).alias("score_range"))
+    quantiles = [i / _RANGES for i in range(1, _RANGES)]
+    cuts = by_score.agg(F.percentile_approx("score", quantiles, 10_000).alias("cuts")).first().cuts or [0.5]
+    ends = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    ranged = Bucketizer(splits=ends, inputCol="score", outputCol="score_range").transform(by_score)
 
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
     within = before.partitionBy("score_range").orderBy("score")
@@ -45,7 +46,7 @@ def roc_auc(by_score: DataFrame) -> DataFrame:
     per_range = ranked.groupBy("score_range").agg(
         F.sum(twice_won).alias("twice_won"), F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives"))
     below_range = F.coalesce(F.sum("negatives").over(before.orderBy("score_range")), F.lit(0))
-    total = per_range.withColumn("below", below_range)  # at most 257 rows
+    total = per_range.withColumn("below", below_range)
     won = F.sum(F.col("twice_won") + _product(F.col("positives"), 2 * F.col("below"))).cast("double")
     pairs = F.sum("positives").cast("double") * F.sum("negatives").cast("double")
     return total.agg(F.try_divide(won, 2 * pairs).alias("roc_auc"))

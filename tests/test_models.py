@@ -95,6 +95,7 @@ def test_auc_is_exact(spark, seed, distinct):
 def test_auc_of_one_class_is_undefined(spark):
     df = apply_threshold(spark.createDataFrame([(0.1, 1.0), (0.7, 1.0)], f"score double, {LABEL} double"))
     assert roc_auc(counts_by_score(df)).first().roc_auc is None
+    assert roc_auc(counts_by_score(df.filter("false"))).first().roc_auc is None
 
 
 def test_category_index_matches_the_fitted_indexer(features, model):

@@ -152,7 +152,7 @@ def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def held_out_by_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = training_rows(spark, sf_dir).filter(F.col("split") == "test")
-    return counts_by_score(rule_predictions(test))
+    return stage(counts_by_score(rule_predictions(test)), "counts-by-score")
 
 
 def _clean_events(spark, d):
@@ -316,10 +316,8 @@ def _roc_auc(spark, d):
 
 
 def _training_metrics(spark, d):
-    rows = stage(training_rows(spark, d), "training-rows")
-    by_score = stage(counts_by_score(rule_predictions(rows.filter(F.col("split") == "test"))), "counts-by-score")
-    rate = positive_rates(rows)
-    return rate.agg(
+    by_score = held_out_by_score(spark, d)
+    return positive_rates(training_rows(spark, d)).agg(
         F.max(F.when(F.col("split") == "train", F.col("positive_rate"))).alias("positive_rate_train"),
         F.max(F.when(F.col("split") == "test", F.col("positive_rate"))).alias("positive_rate_test"),
     ).select(
