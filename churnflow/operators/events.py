@@ -104,4 +104,5 @@ def unmatched_after_run(ledger: DataFrame, staged: DataFrame, ds: date, run_ts:
 
 def merge_events(ledger: DataFrame, staged: DataFrame, ds: date, run_ts: datetime) -> DataFrame:
     """The ledger after upserting ``staged`` and then switching off what it lacks."""
-    return as_ledger_rows(staged, run_ts).unionByName(unmatched_after_run(ledger, staged, ds, run_ts))
+    active = as_ledger_rows(staged, run_ts)
+    return active.unionByName(unmatched_after_run(ledger, staged, ds, run_ts).select(*active.columns))

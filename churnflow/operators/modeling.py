@@ -47,12 +47,9 @@ def with_split(rows: DataFrame, train_percent: int = TRAIN_PERCENT) -> DataFrame
     return rows.withColumn("split", F.when(bucket < train_percent, "train").otherwise("test"))
 
 
-def split_counts(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("split").agg(F.count("*").alias("n_rows"))
-
-
-def positive_rates(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("split").agg(F.avg(LABEL).alias("positive_rate"))
+def split_summary(rows: DataFrame) -> DataFrame:
+    """Size and positive rate of each split, in one pass."""
+    return rows.groupBy("split").agg(F.count("*").alias("n_rows"), F.avg(LABEL).alias("positive_rate"))
 
 
 def category_stages(categories: Sequence[str]) -> list:

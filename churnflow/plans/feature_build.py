@@ -25,5 +25,8 @@ def update_features(lake: Lake, snapshots: Sequence[date | str], run_ts: datetim
     built = stage(build_features(raw, snapshots, run_ts or datetime.now(timezone.utc)), FEATURES.name)
     require_snapshots(built, snapshots)
     stored = lake.read(FEATURES).filter(F.col("snapshot_date").isin(snapshots))
-    lake.upsert(survivors(stored, built, FEATURES.key), built, FEATURES)
+    if stored.isEmpty():
+        lake.replace_partitions(built, FEATURES)
+    else:
+        lake.upsert(survivors(stored, built, FEATURES.key), built, FEATURES)
     discard(built)

@@ -13,9 +13,8 @@ from churnflow.operators.evaluation import accuracy, counts_by_score, roc_auc
 from churnflow.operators.modeling import (
     assembler_inputs,
     churn_estimator,
-    positive_rates,
     present,
-    split_counts,
+    split_summary,
     training_set,
     with_split,
 )
@@ -29,9 +28,9 @@ MODEL_NAME = "churn-logreg"
 def fit_and_evaluate(rows: DataFrame) -> tuple[PipelineModel, dict[str, float]]:
     """Fit on the train split only, and measure on the test split. Only counts reach the driver."""
     split = rows if "split" in rows.columns else with_split(rows)
-    sizes = {r.split: r.n_rows for r in split_counts(split).collect()}
+    summary = {r.split: r for r in split_summary(split).collect()}
     for name in ("train", "test"):
-        if not sizes.get(name):
+        if name not in summary:
             raise ValueError(f"the {name} split is empty")
     train = split.filter(F.col("split") == "train")
     model = churn_estimator(train).fit(train)
@@ -39,14 +38,13 @@ def fit_and_evaluate(rows: DataFrame) -> tuple[PipelineModel, dict[str, float]]:
     predicted = model.transform(split.filter(F.col("split") == "test")).select(
         vector_to_array("probability")[1].alias("score"), "prediction", LABEL)
     by_score = stage(counts_by_score(predicted), "counts-by-score")
-    rates = {r.split: r.positive_rate for r in positive_rates(split).collect()}
     metrics = {
         "roc_auc": roc_auc(by_score).first().roc_auc,
         "accuracy": accuracy(by_score).first().accuracy,
-        "positive_rate_train": rates["train"],
-        "positive_rate_test": rates["test"],
-        "train_rows": sizes["train"],
-        "test_rows": sizes["test"],
+        "positive_rate_train": summary["train"].positive_rate,
+        "positive_rate_test": summary["test"].positive_rate,
+        "train_rows": summary["train"].n_rows,
+        "test_rows": summary["test"].n_rows,
     }
     discard(by_score)
     return model, metrics

@@ -24,8 +24,7 @@ from churnflow.operators.merge import upsert
 from churnflow.operators.modeling import (
     category_index,
     category_stages,
-    positive_rates,
-    split_counts,
+    split_summary,
     training_set,
     with_split,
 )
@@ -300,11 +299,11 @@ def _deterministic_split(spark, d):
 
 
 def _split_counts(spark, d):
-    return split_counts(training_rows(spark, d))
+    return split_summary(training_rows(spark, d)).select("split", "n_rows")
 
 
 def _positive_rate(spark, d):
-    return positive_rates(training_rows(spark, d))
+    return split_summary(training_rows(spark, d)).select("split", "positive_rate")
 
 
 def _accuracy(spark, d):
@@ -317,7 +316,7 @@ def _roc_auc(spark, d):
 
 def _training_metrics(spark, d):
     by_score = held_out_by_score(spark, d)
-    return positive_rates(training_rows(spark, d)).agg(
+    return split_summary(training_rows(spark, d)).agg(
         F.max(F.when(F.col("split") == "train", F.col("positive_rate"))).alias("positive_rate_train"),
         F.max(F.when(F.col("split") == "test", F.col("positive_rate"))).alias("positive_rate_test"),
     ).select(
