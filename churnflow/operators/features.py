@@ -29,6 +29,8 @@ WINDOWS = (7, 30, 90)
 SNAPSHOTS_PER_PASS = 13
 
 CUSTOMER_SOURCES = ("payments", "marketplace", "active_user", "demographics", "balances")
+
+
 def _customer(source: str) -> Column:
     buyer = F.col("cus_cust_id_buy")
     return (whole_id(buyer) if source == "balances" else buyer).alias("customer_id")

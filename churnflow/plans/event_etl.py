@@ -41,4 +41,4 @@ def update_ledger(lake: Lake, ds: date | str, as_of: date | None = None, run_ts:
     first_due_month = recheck_start(ds).replace(day=1)
     touched = lake.read(LEDGER).filter(
         F.col("purchase_month").isin(months) | (F.col("purchase_month") >= date_literal(first_due_month)))
-    lake.upsert(unmatched_after_run(touched, staged, ds, run_ts), as_ledger_rows(staged, run_ts), LEDGER)
+    lake.publish(unmatched_after_run(touched, staged, ds, run_ts), as_ledger_rows(staged, run_ts), LEDGER)

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from churnflow.functions import as_date
 from churnflow.operators.features import build_features
-from churnflow.operators.merge import survivors
 from churnflow.operators.quality import require_snapshots
 from churnflow.schemas import FEATURES, RAW_CUSTOMER_TABLES
 from churnflow.sources import Lake, discard, stage
@@ -24,9 +23,6 @@ def update_features(lake: Lake, snapshots: Sequence[date | str], run_ts: datetim
     raw = raw or {name: lake.read(table) for name, table in RAW_CUSTOMER_TABLES.items()}
     built = stage(build_features(raw, snapshots, run_ts or datetime.now(timezone.utc)), FEATURES.name)
     require_snapshots(built, snapshots)
-    stored = lake.read(FEATURES).filter(F.col("snapshot_date").isin(snapshots))
-    if stored.isEmpty():
-        lake.replace_partitions(built, FEATURES)
-    else:
-        lake.upsert(survivors(stored, built, FEATURES.key), built, FEATURES)
+    # One row per customer and date by construction.
+    lake.upsert(built, FEATURES, F.col("snapshot_date").isin(snapshots), keys_unique=True)
     discard(built)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from churnflow.functions import timestamp_literal
+from churnflow.operators.merge import survivors
+from churnflow.operators.quality import require_unique_key
 from churnflow.schemas import Table
 from churnflow.sources.scratch import discard, stage
 
@@ -84,15 +86,30 @@ class Lake:
             raise ValueError(f"{table.name} has no partitions")
         self._write(df, table, "overwrite", "dynamic", defaults, rebalance)
 
-    def upsert(self, survivors: DataFrame, source: DataFrame, table: Table) -> None:
-        """Publish an upsert: ``source`` rows, plus the ``survivors`` of every partition it touches.
+    def upsert(self, source: DataFrame, table: Table, touched: Column, *, keys_unique: bool = False) -> None:
+        """Add the rows of ``source``, each in place of the stored row with its key, if there is one.
 
-        Survivors come from the files about to be replaced, so they are staged first. Matched rows
-        are not read at all, and ``source`` must already be outside the table.
+        ``touched`` selects the partitions the source falls into; no others are read or rewritten.
+        ``source`` is read several times and must already be outside the table. A repeated key is
+        an error; ``keys_unique`` skips looking for one.
         """
-        kept = stage(conform(survivors, table), f"{table.name}-kept")
-        self.replace_partitions(conform(source, table).unionByName(kept), table)
-        discard(kept)
+        if not keys_unique:
+            require_unique_key(source, table.key)
+        stored = self.read(table).filter(touched)
+        if stored.isEmpty():
+            self.replace_partitions(source, table)
+        else:
+            self.publish(survivors(stored, source, table.key), source, table)
+
+    def publish(self, kept: DataFrame, source: DataFrame, table: Table) -> None:
+        """Replace the partitions of ``source`` and ``kept`` by the rows of both.
+
+        ``kept`` comes from the files about to be replaced, so it is written aside first. In an
+        upsert these are the stored rows without a match; matched ones are not copied at all.
+        """
+        aside = stage(conform(kept, table), f"{table.name}-kept")
+        self.replace_partitions(conform(source, table).unionByName(aside), table)
+        discard(aside)
 
     def _write(self, df: DataFrame, table: Table, mode: str, overwrite: str, defaults: dict, rebalance: bool = True) -> None:
         rows = conform(df, table, **defaults)

@@ -119,6 +119,14 @@ def test_upsert_twice_is_upsert_once(spark):
     assert rows(upsert(once, source, EVENT_KEY)) == rows(once)
 
 
+def test_empty_source_switches_recent_rows_off(spark, lake):
+    as_of = date(2023, 12, 31)
+    update_ledger(lake, date(2023, 2, 3), as_of, DAY1, seed_events(spark))
+    update_ledger(lake, date(2023, 2, 3), as_of, DAY2, seed_events(spark).filter("false"))
+    assert lake.read(LEDGER).count() == 11
+    assert [r.purchase_date for r in lake.read(LEDGER).filter("NOT is_active").collect()] == [date(2023, 2, 1)]
+
+
 def test_returning_row_is_active_again(spark):
     ds = date(2023, 2, 3)
     known = staged_of(spark, (1, "1/2/2023", "1"))

@@ -92,6 +92,19 @@ def test_slice_replace_leaves_other_slices(spark, lake):
     assert state(replace_slice(before, new, D2, "1")) == expected
 
 
+def test_upsert_into_a_stored_table(spark, lake):
+    touched = F.col("snapshot_date") == D2
+    first = scores(spark, (1, D2, 0.1, "1"), (2, D2, 0.2, "1"))
+    lake.append(scores(spark, (9, D1, 0.9, "1")), SCORES)
+    lake.upsert(first, SCORES, touched)
+    lake.upsert(scores(spark, (2, D2, 0.7, "1"), (3, D2, 0.3, "1")), SCORES, touched)
+    expected = [(1, D2, "1", 0.1), (2, D2, "1", 0.7), (3, D2, "1", 0.3), (9, D1, "1", 0.9)]
+    assert state(lake.read(SCORES)) == expected
+    with pytest.raises(DataQualityError, match="1 repeated values of key"):
+        lake.upsert(first.unionByName(first.limit(1)), SCORES, touched)
+    assert state(lake.read(SCORES)) == expected
+
+
 def test_append_of_nothing_changes_nothing(spark, lake):
     lake.append(scores(spark, (1, D1, 0.1, "1")), SCORES)
     lake.append(scores(spark), SCORES)
