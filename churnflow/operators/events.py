@@ -15,9 +15,8 @@ from churnflow.schemas import EVENT_KEY, PRICE, UNITS
 RECHECK_DAYS = 5
 
 
-def clean_events(raw: DataFrame) -> DataFrame:
-    """Typed event rows; a row missing any required field is dropped."""
-    typed = raw.dropna(subset=list(STAGED_REQUIRED)).select(
+def _typed(raw: DataFrame) -> DataFrame:
+    return raw.dropna(subset=list(STAGED_REQUIRED)).select(
         normalized_text(F.col("site_id")).alias("site_id"),
         "user_id",
         parse_day_month_year(F.col("purchase_date")).alias("purchase_date"),
@@ -25,8 +24,16 @@ def clean_events(raw: DataFrame) -> DataFrame:
         F.col("purchase_price").cast(PRICE).alias("purchase_price"),
         F.col("purchase_units").cast(UNITS).alias("purchase_units"),
     )
+
+
+def _with_value(events: DataFrame) -> DataFrame:
     value = (F.col("purchase_price") * F.col("purchase_units")).cast(UNITS)
-    return typed.withColumn("purchase_value", value)
+    return events.withColumn("purchase_value", value)
+
+
+def clean_events(raw: DataFrame) -> DataFrame:
+    """Typed event rows; a row missing any required field is dropped."""
+    return _with_value(_typed(raw))
 
 
 def keep_top_row(df: DataFrame, key: Sequence[str], highest: Sequence[str]) -> DataFrame:
@@ -47,7 +54,8 @@ def dedupe_latest(events: DataFrame) -> DataFrame:
 
 
 def stage_events(raw: DataFrame) -> DataFrame:
-    return dedupe_latest(clean_events(raw))
+    """Clean rows, one per event key. Values are computed last, so they are not shuffled."""
+    return _with_value(dedupe_latest(_typed(raw)))
 
 
 def recheck_start(ds: date) -> date:

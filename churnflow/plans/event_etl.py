@@ -28,7 +28,7 @@ def update_ledger(lake: Lake, ds: date | str, as_of: date | None = None, run_ts:
     """Run the load against the stored staging and ledger tables.
 
     Only months that occur in the staged rows, or lie within the re-check range, are read and
-    rewritten. Running it again after a failure gives the same ledger.
+    rewritten. Running it twice gives the same ledger as running it once.
     """
     ds, run_ts = as_date(ds), run_ts or datetime.now(timezone.utc)
     raw = lake.read(RAW_EVENTS) if raw is None else raw

@@ -41,8 +41,10 @@ def stored_schema(table: Table) -> StructType:
 class Lake:
     """Reads and writes the tables of ``schemas``.
 
-    Types, including those of directory columns, are always the declared ones. A table holds one
-    writer at a time; readers of a partition see either its old or its new files.
+    Types, including those of directory columns, are always the declared ones. A table takes one
+    writer at a time. Publishing ends with Spark's own swap of partition folders, which is not one
+    atomic step: a driver lost during it can leave partitions missing, and what ``publish`` wrote
+    aside is then still in the shared folder, since it is discarded only after success.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
