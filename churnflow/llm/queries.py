@@ -4,15 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from churnflow.llm import decontaminate, quality
+from churnflow.llm import bpe, decontaminate, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Content of a public tokenizer's file; read on the driver, then sent to the tasks."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = tokenizer_file()
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
+    return bpe.decode(encoded, tokenizer).select(
+        "doc_id", (F.length("ids") / bpe.ID.itemsize).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -25,6 +42,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op7_decontaminate": op7_decontaminate,
     "op10_quality_rules": op10_quality_rules,
 }
