@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from churnflow.llm import bpe, decontaminate, quality
+from churnflow.llm import bpe, decontaminate, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,12 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
         return file.read()
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = tokenizer_file()
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
@@ -42,9 +48,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
     "op7_decontaminate": op7_decontaminate,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+          CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+        FROM f""",
+}
