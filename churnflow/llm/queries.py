@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from churnflow.llm import bpe, decontaminate, quality, token_store, warc
+from churnflow.llm import bpe, decontaminate, quality, token_counts, token_store, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        initial, inner = token_counts.vocabulary(file.read())
+    return token_counts.count(table(spark, sf_dir, "documents").select("doc_id", "text"), initial, inner).drop("text")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
@@ -57,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_token_store": op3_token_store,
     "op7_decontaminate": op7_decontaminate,
+    "op8_token_counts": op8_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
 
