@@ -29,12 +29,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
 from churnflow.llm.columns import require, stored
 from churnflow.llm.textmap import pieces
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 ID = np.dtype("<u4")
 
 
@@ -59,60 +59,95 @@ class WordEncoder:
         return [self._tokenizer.id_to_token(i) for i in range(size)]
 
 
+# Word numbers of a block go by classes of frequency, so that frequent words have small numbers.
+_CLASSES = np.array([256, 4096, 65536])
+_FIELDS = ["block", "bucket", "classes", "words", "documents", "lengths", "numbers"]
+
+
+def _squeeze(data: bytes) -> bytes:
+    """Compressed, with the length before it."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _expand(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """32-bit numbers as four planes of bytes, compressed: the high ones are nearly all zero."""
+    return _squeeze(np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_expand(data), np.uint8).reshape(4, -1).T).view("<i4").reshape(-1)
+
+
 class _Block:
     """Documents as numbers of words, and the words."""
 
     def __init__(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.parts: list[tuple[pa.Array, list[np.ndarray]]] = []
+        self.parts: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         self.size = 0
         self.digest = 0
 
     def add(self, documents: pa.Array, texts: pa.Array) -> None:
-        numbers, coded = self.numbers, []
+        numbers, coded, lengths = self.numbers, [], []
         for value in texts:
             text = value.as_py() or b""
             self.size += len(text)
             self.digest = zlib.crc32(text, zlib.crc32(len(text).to_bytes(8, "little"), self.digest))
-            coded.append(np.array([numbers.setdefault(w, len(numbers)) for w in text.split()], np.int32))
-        self.parts.append((documents, coded))
+            before = len(coded)
+            coded += [numbers.setdefault(w, len(numbers)) for w in text.split()]
+            lengths.append(len(coded) - before)
+        self.parts.append((documents, np.array(lengths, np.int32), np.array(coded, np.int32)))
 
     def rows(self, name: str, buckets: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
         words = list(self.numbers)
         bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int32, len(words))
-        order = np.argsort(bucket, kind="stable")
+        often = sum((np.bincount(c, minlength=len(words)) for _, _, c in self.parts), np.zeros(len(words), np.int64))
+        rank = np.empty(len(words), np.int64)
+        rank[np.argsort(-often, kind="stable")] = np.arange(len(words))
+        group = np.searchsorted(_CLASSES, rank, "right")
+        # Words are numbered by class, then bucket; a bucket lists its words by class.
         place = np.empty(len(words), np.int32)
-        place[order] = np.arange(len(words), dtype=np.int32)
-        fields = ["block", "bucket", "words", "document", "numbers"]
-        for documents, coded in self.parts:
-            n = len(documents)
+        place[np.lexsort((rank, bucket, group))] = np.arange(len(words), dtype=np.int32)
+        listed = np.lexsort((rank, group, bucket))
+        for documents, lengths, coded in self.parts:
             yield pa.RecordBatch.from_arrays([
-                pa.array([name] * n, pa.string()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), documents,
-                pa.array([place[c].tobytes() for c in coded], pa.binary()),
-            ], names=fields)
-        found, first = np.unique(bucket[order], return_index=True)
-        ends = [*first[1:].tolist(), len(words)]
-        packed = [b"\n".join(words[i] for i in order[a:b].tolist()) for a, b in zip(first.tolist(), ends, strict=True)] if words else []
+                pa.array([name]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
+                pa.ListArray.from_arrays(pa.array([0, len(documents)], pa.int32()), documents).cast(kind),
+                pa.array([lengths.tobytes()], pa.binary()), pa.array([_pack(place[coded])], pa.binary()),
+            ], names=_FIELDS)
+        found, first = np.unique(bucket[listed], return_index=True)
+        bounds = [*first.tolist(), len(words)]
+        classes, packed = [], []
+        for low, high in zip(bounds, bounds[1:]):
+            mine = listed[low:high]
+            classes.append(np.bincount(group[mine], minlength=len(_CLASSES) + 1).astype("<i4").tobytes())
+            packed.append(_squeeze(b"\n".join([words[i] for i in mine.tolist()])))
         n = len(packed)
         yield pa.RecordBatch.from_arrays([
-            pa.array([name] * n, pa.string()), pa.array(found[:n], pa.int32()), pa.array(packed, pa.binary()),
-            pa.nulls(n, kind), pa.nulls(n, pa.binary()),
-        ], names=fields)
+            pa.array([name] * n, pa.string()), pa.array(found, pa.int32()), pa.array(classes, pa.binary()), pa.array(packed, pa.binary()),
+            pa.nulls(n, kind), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+        ], names=_FIELDS)
 
 
 def _blocks(documents: DataFrame, text: str, kept: list[str], buckets: int) -> DataFrame:
     whole = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("none"))
     source = documents.select(whole.alias("document"), F.col(f"`{text}`").cast("binary").alias("text"))
     schema = StructType([
-        StructField("block", StringType()), StructField("bucket", IntegerType()), StructField("words", BinaryType()),
-        StructField("document", source.schema["document"].dataType), StructField("numbers", BinaryType()),
+        StructField("block", StringType()), StructField("bucket", IntegerType()),
+        StructField("classes", BinaryType()), StructField("words", BinaryType()),
+        StructField("documents", ArrayType(source.schema["document"].dataType)),
+        StructField("lengths", BinaryType()), StructField("numbers", BinaryType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         partition, made, block = TaskContext.get().partitionId(), 0, _Block()
-        kind = to_arrow_type(schema["document"].dataType)
+        kind = to_arrow_type(schema["documents"].dataType)
         for whole in batches:
             for batch in pieces(whole, whole.column(1)):
                 block.add(batch.column(0), batch.column(1))
@@ -139,44 +174,61 @@ def encode(documents: DataFrame, tokenizer: str, text: str = "text", ids: str =
     def encode_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, known, current = WordEncoder(shared.value), {}, None
         for batch in batches:
-            for block, bucket, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for block, bucket, classes, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != current:
                     known, current = {}, bucket
-                words = packed.split(b"\n")
+                words = _expand(packed).split(b"\n")
                 if new := [w for w in words if w not in known]:
                     known.update(zip(new, encoder(new), strict=True))
                 values = [known[w] for w in words]
                 counts = np.fromiter(map(len, values), np.int32, len(values)) // ID.itemsize
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([block]), pa.array([bucket], pa.int32()),
-                    pa.array([counts.tobytes()], pa.binary()), pa.array([b"".join(values)], pa.binary()),
-                ], names=["block", "bucket", "counts", "ids"])
+                    pa.array([block]), pa.array([bucket], pa.int32()), pa.array([classes], pa.binary()),
+                    pa.array([_pack(counts)], pa.binary()), pa.array([_pack(np.frombuffer(b"".join(values), "<i4"))], pa.binary()),
+                ], names=["block", "bucket", "classes", "counts", "ids"])
 
-    words = blocks.filter("bucket IS NOT NULL").select("block", "bucket", "words")
+    words = blocks.filter("bucket IS NOT NULL").select("block", "bucket", "classes", "words")
     words = words.repartition("bucket").sortWithinPartitions("bucket")
-    answers = words.mapInArrow(encode_bucket, "block string, bucket int, counts binary, ids binary")
+    answers = words.mapInArrow(encode_bucket, "block string, bucket int, classes binary, counts binary, ids binary")
 
     def put_back(mine: pa.Table, answers: pa.Table) -> pa.Table:
-        answers = answers.sort_by("bucket")
-        counts = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(v, np.int32) for v in answers.column("counts").to_pylist())])
-        table = np.concatenate([np.zeros(0, ID), *(np.frombuffer(v, ID) for v in answers.column("ids").to_pylist())])
+        counts, table = _by_number(answers.sort_by("bucket"))
         first = np.cumsum(counts, dtype=np.int64) - counts
         out = []
-        for value in mine.column("numbers"):
-            numbers = np.frombuffer(value.as_py(), np.int32)
-            n = counts[numbers]
-            ends = np.cumsum(n, dtype=np.int64)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(table[np.repeat(first[numbers] - ends + n, n) + np.arange(total)].tobytes())
-        return pa.table({"document": mine.column("document"), "ids": pa.array(out, pa.binary())})
-
-    rows = blocks.filter("bucket IS NULL").select("block", "document", "numbers")
+        for lengths, packed in zip(mine.column("lengths"), mine.column("numbers"), strict=True):
+            at, every = 0, _unpack(packed.as_py())
+            for length in np.frombuffer(lengths.as_py(), np.int32).tolist():
+                numbers = every[at : at + length]
+                at += length
+                n = counts[numbers]
+                ends = np.cumsum(n, dtype=np.int64)
+                total = int(ends[-1]) if length else 0
+                out.append(table[np.repeat(first[numbers] - ends + n, n) + np.arange(total)].tobytes())
+        documents = pa.chunked_array([c.flatten() for c in mine.column("documents").chunks])
+        return pa.table({"document": documents, "ids": pa.array(out, pa.binary())})
+
+    rows = blocks.filter("bucket IS NULL").select("block", "documents", "lengths", "numbers")
     result = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        put_back, StructType([blocks.schema["document"], StructField("ids", BinaryType())])
+        put_back, StructType([StructField("document", blocks.schema["documents"].dataType.elementType), StructField("ids", BinaryType())])
     )
     return result.select(*[F.col(f"document.`{c}`").alias(c) for c in kept], F.col("ids").alias(ids))
 
 
+def _by_number(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of ids of a block's words, and all their ids, in the order of the words' numbers."""
+    counts = [[np.zeros(0, np.int32)] for _ in range(len(_CLASSES) + 1)]
+    ids = [[np.zeros(0, np.int32)] for _ in range(len(_CLASSES) + 1)]
+    for classes, packed_counts, packed_ids in zip(*(answers.column(c).to_pylist() for c in ("classes", "counts", "ids")), strict=True):
+        own_counts, own_ids = _unpack(packed_counts), _unpack(packed_ids)
+        ends = np.concatenate([[0], np.cumsum(own_counts)])
+        low = 0
+        for group, size in enumerate(np.frombuffer(classes, "<i4").tolist()):
+            counts[group].append(own_counts[low : low + size])
+            ids[group].append(own_ids[ends[low] : ends[low + size]])
+            low += size
+    return np.concatenate(sum(counts, [])), np.concatenate(sum(ids, [])).astype(ID)
+
+
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``encoded`` with ``text``, the decoded ids (special tokens kept); null ids decode to an empty text.
 

@@ -26,7 +26,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    # What the write shuffled is of no use to any later query, so it goes when the write is over.
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from churnflow.llm import bpe, decontaminate, quality, token_counts, token_store, warc
+from churnflow.llm import bpe, chunk_dedup, decontaminate, quality, token_counts, token_store, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents").select("doc_id", "text"), initial, inner).drop("text")
 
 
+def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunk_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_chunks", "n_removed", "n_spans", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), "text")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_store": op3_token_store,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_counts": op8_token_counts,
+    "op9_chunk_dedup": op9_chunk_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
