@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from churnflow.llm import bpe, chunk_dedup, decontaminate, quality, token_counts, token_store, warc
+from churnflow.llm import bpe, chunk_dedup, decontaminate, near_duplicates, quality, token_counts, token_store, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(encoded, end_id=2)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "n_links")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
     "op3_token_store": op3_token_store,
+    "op4_jaccard_join": op4_jaccard_join,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_counts": op8_token_counts,
     "op9_chunk_dedup": op9_chunk_dedup,
