@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from churnflow.llm import bpe, chunk_dedup, decontaminate, near_duplicates, quality, token_counts, token_store, warc
+from churnflow.llm import bpe, chunk_dedup, decontaminate, near_duplicates, quality, suffix_dedup, token_counts, token_store, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "n_links")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.coalesce("text", F.lit(b"")), 256).alias("kept_sha256"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_token_store": op3_token_store,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_counts": op8_token_counts,
     "op9_chunk_dedup": op9_chunk_dedup,
