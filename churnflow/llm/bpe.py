@@ -12,7 +12,8 @@ are those of encoding the whole text (``add_special_tokens=False``).
 
 The step between 1 and 2 is written to the shared folder, so both readers see the same numbering. A third
 of all rows in one source, or one hot word, makes no hot task: blocks are equal in size, and a word occurs
-once a block at most. Memory of a task: a block, or the distinct words of one bucket.
+once a block at most. Memory of a task: a block while it is made, the distinct words of one bucket, or the
+distinct words of a block with one piece of its documents.
 
 Null and empty texts, and texts of white space, have no ids. Rows are encoded one by one: repeated rows
 give repeated results, an empty table an empty one. Other columns pass through; one with the name of the
@@ -60,7 +61,7 @@ class WordEncoder:
 
 
 # Word numbers of a block go by classes of frequency, so that frequent words have small numbers.
-_CLASSES = np.array([256, 4096, 65536])
+_CLASSES = 4 ** np.arange(2, 11)
 _FIELDS = ["block", "bucket", "classes", "words", "documents", "lengths", "numbers"]
 
 
@@ -191,34 +192,45 @@ def encode(documents: DataFrame, tokenizer: str, text: str = "text", ids: str =
     words = words.repartition("bucket").sortWithinPartitions("bucket")
     answers = words.mapInArrow(encode_bucket, "block string, bucket int, classes binary, counts binary, ids binary")
 
-    def put_back(mine: pa.Table, answers: pa.Table) -> pa.Table:
-        counts, table = _by_number(answers.sort_by("bucket"))
-        first = np.cumsum(counts, dtype=np.int64) - counts
-        out = []
-        for lengths, packed in zip(mine.column("lengths"), mine.column("numbers"), strict=True):
-            at, every = 0, _unpack(packed.as_py())
-            for length in np.frombuffer(lengths.as_py(), np.int32).tolist():
-                numbers = every[at : at + length]
-                at += length
-                n = counts[numbers]
-                ends = np.cumsum(n, dtype=np.int64)
-                total = int(ends[-1]) if length else 0
-                out.append(table[np.repeat(first[numbers] - ends + n, n) + np.arange(total)].tobytes())
-        documents = pa.chunked_array([c.flatten() for c in mine.column("documents").chunks])
-        return pa.table({"document": documents, "ids": pa.array(out, pa.binary())})
-
-    rows = blocks.filter("bucket IS NULL").select("block", "documents", "lengths", "numbers")
-    result = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        put_back, StructType([StructField("document", blocks.schema["documents"].dataType.elementType), StructField("ids", BinaryType())])
-    )
+    document = blocks.schema["documents"].dataType.elementType
+    schema = StructType([StructField("document", document), StructField("ids", BinaryType())])
+
+    def put_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The answers to a block come before its documents, which then pass piece by piece."""
+        current, answers, counts, table, first = None, [], None, None, None
+        for batch in batches:
+            for i, (block, bucket) in enumerate(zip(batch.column("block").to_pylist(), batch.column("bucket").to_pylist(), strict=True)):
+                if block != current:
+                    current, answers, counts = block, [], None
+                if bucket is not None:
+                    answers.append(tuple(batch.column(c)[i].as_py() for c in ("classes", "counts", "ids")))
+                    continue
+                if counts is None:
+                    counts, table = _by_number(answers)
+                    first = np.cumsum(counts, dtype=np.int64) - counts
+                    answers = []
+                out, at, every = [], 0, _unpack(batch.column("numbers")[i].as_py())
+                for length in np.frombuffer(batch.column("lengths")[i].as_py(), np.int32).tolist():
+                    numbers = every[at : at + length]
+                    at += length
+                    n = counts[numbers]
+                    ends = np.cumsum(n, dtype=np.int64)
+                    total = int(ends[-1]) if length else 0
+                    out.append(table[np.repeat(first[numbers] - ends + n, n) + np.arange(total)].tobytes())
+                documents = batch.column("documents").slice(i, 1).flatten()
+                yield pa.RecordBatch.from_arrays([documents, pa.array(out, pa.binary())], names=schema.names)
+
+    rows = blocks.filter("bucket IS NULL").select("block", "bucket", "documents", "lengths", "numbers")
+    both = answers.unionByName(rows, allowMissingColumns=True)
+    result = both.repartition("block").sortWithinPartitions("block", F.col("bucket").asc_nulls_last()).mapInArrow(put_back, schema)
     return result.select(*[F.col(f"document.`{c}`").alias(c) for c in kept], F.col("ids").alias(ids))
 
 
-def _by_number(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _by_number(answers: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of ids of a block's words, and all their ids, in the order of the words' numbers."""
     counts = [[np.zeros(0, np.int32)] for _ in range(len(_CLASSES) + 1)]
     ids = [[np.zeros(0, np.int32)] for _ in range(len(_CLASSES) + 1)]
-    for classes, packed_counts, packed_ids in zip(*(answers.column(c).to_pylist() for c in ("classes", "counts", "ids")), strict=True):
+    for classes, packed_counts, packed_ids in answers:
         own_counts, own_ids = _unpack(packed_counts), _unpack(packed_ids)
         ends = np.concatenate([[0], np.cumsum(own_counts)])
         low = 0

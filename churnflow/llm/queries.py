@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from churnflow.llm import bpe, chunk_dedup, decontaminate, near_duplicates, quality, suffix_dedup, token_counts, token_store, warc
+from churnflow.llm import bpe, chunk_dedup, decontaminate, html_extract, near_duplicates, quality, suffix_dedup, token_counts, token_store, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.coalesce("text", F.lit(b"")), 256).alias("kept_sha256"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_store": op3_token_store,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_html_extract": op6_html_extract,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_counts": op8_token_counts,
     "op9_chunk_dedup": op9_chunk_dedup,
