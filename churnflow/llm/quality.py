@@ -113,7 +113,7 @@ def measure(documents: DataFrame, text: str = "text") -> DataFrame:
         IF(size(array_distinct(windows)) = size(windows), array(), array_sort(transform(windows, (x, i) -> struct(x AS x, i AS i))))""")).drop("windows")
     work = work.withColumn("starts", F.expr("""
         sort_array(transform(filter(found, (p, j) -> p.x <=> get(found, j - 1).x OR p.x <=> get(found, j + 1).x), p -> p.i))""")).drop("found")
-    work = work.select("row", *_rows_of(f"""
+    counted = _rows_of(f"""
         n_words
         {_without("t", r"^\x20\x09-\x0D")} AS word_chars
         {_without("t", r"#*$%&|<>")} AS n_symbols
@@ -123,7 +123,10 @@ def measure(documents: DataFrame, text: str = "text") -> DataFrame:
         {_without("t", "!")} AS n_exclamations
         {_without("t", "A-ZÀ-ÖØ-Þ")} AS n_capitals
         n_stop_words
-        n_stutters"""))
+        n_stutters""")
+    # A filter on a count stops at a generator. Pushed below the projections it would be taken apart into them,
+    # and each step would be written out as often as all later ones use it.
+    work = work.select("row", F.inline(F.array(F.struct(*[c.alias(n) for c, n in zip(counted, COUNTS, strict=True)]))))
     return work.select("row.*", *COUNTS)
 
 
