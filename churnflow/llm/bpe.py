@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -65,9 +66,12 @@ _CLASSES = 4 ** np.arange(2, 11)
 _FIELDS = ["block", "bucket", "classes", "words", "documents", "lengths", "numbers"]
 
 
+_CODEC = pa.Codec("zstd", compression_level=6)
+
+
 def _squeeze(data: bytes) -> bytes:
     """Compressed, with the length before it."""
-    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+    return len(data).to_bytes(8, "little") + _CODEC.compress(data, asbytes=True)
 
 
 def _expand(data: bytes) -> bytes:
@@ -98,10 +102,13 @@ class _Block:
             text = value.as_py() or b""
             self.size += len(text)
             self.digest = zlib.crc32(text, zlib.crc32(len(text).to_bytes(8, "little"), self.digest))
-            before = len(coded)
-            coded += [numbers.setdefault(w, len(numbers)) for w in text.split()]
-            lengths.append(len(coded) - before)
-        self.parts.append((documents, np.array(lengths, np.int32), np.array(coded, np.int32)))
+            words = text.split()
+            own = np.fromiter(map(numbers.get, words, repeat(-1)), np.int32, len(words))
+            for i in np.flatnonzero(own < 0).tolist():
+                own[i] = numbers.setdefault(words[i], len(numbers))
+            coded.append(own)
+            lengths.append(len(words))
+        self.parts.append((documents, np.array(lengths, np.int32), np.concatenate([np.zeros(0, np.int32), *coded])))
 
     def rows(self, name: str, buckets: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
         words = list(self.numbers)
@@ -110,10 +117,13 @@ class _Block:
         rank = np.empty(len(words), np.int64)
         rank[np.argsort(-often, kind="stable")] = np.arange(len(words))
         group = np.searchsorted(_CLASSES, rank, "right")
-        # Words are numbered by class, then bucket; a bucket lists its words by class.
+        # Words are numbered by class, then bucket; a bucket lists its words by class. Among these they are
+        # in alphabetic order, in which both words and their ids take least room.
+        spelling = np.empty(len(words), np.int64)
+        spelling[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
         place = np.empty(len(words), np.int32)
-        place[np.lexsort((rank, bucket, group))] = np.arange(len(words), dtype=np.int32)
-        listed = np.lexsort((rank, group, bucket))
+        place[np.lexsort((spelling, bucket, group))] = np.arange(len(words), dtype=np.int32)
+        listed = np.lexsort((spelling, group, bucket))
         for documents, lengths, coded in self.parts:
             yield pa.RecordBatch.from_arrays([
                 pa.array([name]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
@@ -161,15 +171,18 @@ def _blocks(documents: DataFrame, text: str, kept: list[str], buckets: int) -> D
     return source.mapInArrow(run, schema)
 
 
-def encode(documents: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    documents: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", *, blocks_at: str | None = None
+) -> DataFrame:
     """``documents`` without ``text`` and with ``ids``: little-endian unsigned 32-bit ids as binary.
 
-    ``tokenizer`` is the content of a tokenizer file.
+    ``tokenizer`` is the content of a tokenizer file. ``blocks_at`` names the folder of the blocks, for a caller
+    that stores the result and deletes them.
     """
     require(documents, text)
     spark = documents.sparkSession
     kept = [c for c in documents.columns if c not in (text, ids)]
-    blocks = stored(_blocks(documents, text, kept, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bpe-blocks")
+    blocks = stored(_blocks(documents, text, kept, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bpe-blocks", blocks_at)
     shared = spark.sparkContext.broadcast(tokenizer)
 
     def encode_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,10 +22,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors.
+
+    Give a ``path`` to ``delete`` it early; otherwise it stays as long as the shared folder keeps it.
+    """
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = path or shared_path(spark, name)
     # What the write shuffled is of no use to any later query, so it goes when the write is over.
     with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
         df.write.option("compression", "zstd").parquet(path)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from churnflow.llm import bpe, chunk_dedup, decontaminate, html_extract, near_duplicates, quality, suffix_dedup, token_counts, token_store, warc
 
+from churnflow.llm.columns import shared_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,8 +39,9 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
-    return token_store.round_trip(encoded, end_id=2)
+    blocks = shared_path(spark, "bpe-blocks")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file(), blocks_at=blocks)
+    return token_store.round_trip(encoded, end_id=2, spent=blocks)
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

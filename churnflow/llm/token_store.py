@@ -1,17 +1,18 @@
 """Token ids in files: canonical length-limited Huffman codes from global counts.
 
 A file is a magic number, the compressed code lengths, then blocks, then a footer with the documents and
-the place of every block. A block has up to ``BLOCK_IDS`` ids and its codes start at a byte, so blocks decode
-alone; a checkpoint every ``STRIDE`` ids gives the bit where the next id starts. Codes are at most ``LIMIT``
-bits, so one table look-up decodes an id; all checkpoints of a block advance side by side.
-
-Files follow each other in ascending document order, and a document may run over blocks but not over
-files. Order: document id (nulls first), then number of ids, then their checksum, so repeated rows have a
-defined order among themselves. A null document id is kept. Empty texts have the end id alone; an empty
-table makes no file. Other columns are not stored.
-
-Tasks hold one block and one document. Code lengths are computed on the driver from one count per id of
-the vocabulary, which bounds them; of the documents, only one row per file gets there.
+the place of every block. A block has whole documents with about ``BLOCK_IDS`` ids. Blocks and documents start at
+a byte, so blocks decode alone; a checkpoint every ``STRIDE`` ids of a document gives the bit of the block
+where the next id starts. Codes are at most ``LIMIT`` bits (more only for vocabularies that need them), so
+one table look-up decodes an id; all checkpoints of a block advance side by side.
+
+Documents are coded where they are, and only codes are shuffled into order. Files follow each other in
+ascending document order: document id (nulls first), then number of ids, then their checksum, so repeated
+rows have a defined order among themselves. A null document id is kept. Empty texts have the end id alone;
+an empty table makes no file. Other columns are not stored.
+
+Tasks hold one block, and a document at a time. Code lengths are computed on the driver from one count per
+id of the vocabulary, which bounds them; of the documents, only one row per file gets there.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
 from churnflow.llm.bpe import ID
-from churnflow.llm.columns import require, shared_path, stored
+from churnflow.llm.columns import delete, require, shared_path, stored
 from churnflow.llm.files import RangeReader, writing
+from churnflow.llm.textmap import pieces
 
 LIMIT = 18
 STRIDE = 256
@@ -85,50 +87,58 @@ class Codebook:
         self.sizes[: int(widths.sum())] = np.repeat(self.lengths[order], widths)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """Packed codes, and the bit where each stride of ids starts."""
+        """Packed codes, ended by a whole byte, and the bit where each stride of ids starts."""
         lengths, codes = self.lengths[ids], self.codes[ids]
         if len(ids) and not lengths.all():
             raise ValueError("an id has no code")
         ends = np.cumsum(lengths)
         starts = ends - lengths
-        words = int(ends[-1] + 31) // 32 if len(ids) else 0
+        bits = int(ends[-1]) if len(ids) else 0
+        words = (bits + 31) // 32
         # A code lies in a 32-bit word and at most the next; no two codes share a bit, so sums unite them.
         word, room = starts >> 5, 64 - (starts & 31) - lengths
         shifted = codes << room
         low = np.bincount(word, (shifted >> 32).astype(np.float64), words + 1)
         high = np.bincount(word + 1, (shifted & 0xFFFFFFFF).astype(np.float64), words + 1)
         packed = (low[: words + 1] + high[: words + 1]).astype(">u4")[:words].tobytes()
-        return packed, starts[::STRIDE].astype("<u4")
+        return packed[: (bits + 7) // 8], starts[::STRIDE]
 
-    def decode(self, packed: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
-        """``n`` ids; lane k decodes the ids from checkpoint k on."""
+    def decode(self, packed: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The ids of all lanes, one after the other: lane k has ``sizes[k]`` ids from bit ``starts[k]`` on."""
         data = np.frombuffer(packed + bytes(8), np.uint8).astype(np.int64)
         windows = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
-        at = checkpoints.astype(np.int64)
-        out = np.zeros((STRIDE, len(at)), ID)
-        last = (n - 1) % STRIDE + 1 if n else 0
+        order = np.argsort(-sizes, kind="stable")  # so that the lanes still running are the first ones
+        at, left = starts[order].astype(np.int64), sizes[order]
+        places = (np.cumsum(sizes) - sizes)[order]
+        out = np.empty(int(sizes.sum()), ID)
         mask, down = (1 << self.top) - 1, 32 - self.top
-        for step in range(STRIDE if len(at) > 1 else last):
-            lanes = len(at) if step < last else len(at) - 1
+        for step in range(int(left[0]) if len(left) else 0):
+            lanes = int(np.searchsorted(-left, -step, "left"))
             here = at[:lanes]
             found = (windows[here >> 3] >> (down - (here & 7))) & mask
-            out[step, :lanes] = self.ids[found]
+            out[places[:lanes] + step] = self.ids[found]
             at[:lanes] = here + self.sizes[found]
-        return out.T.reshape(-1)[:n]
+        return out
 
 
-if LIMIT + 7 > 32:
-    raise ValueError("a code and its bit in a byte must fit 32 bits")
+def _lanes(sizes: np.ndarray) -> np.ndarray:
+    """Ids of each lane of documents with so many ids: full strides and a rest."""
+    lanes = -(-sizes // STRIDE)
+    out = np.full(int(lanes.sum()), STRIDE, np.int64)
+    last = np.cumsum(lanes)[lanes > 0] - 1
+    out[last] = (sizes - (lanes - 1) * STRIDE)[lanes > 0]
+    return out
 
 
 class FileWriter:
-    """Writes one file of documents; ``add`` them in order, then ``finish``."""
+    """Writes one file of coded documents; ``add`` them in order, then ``finish``."""
 
     def __init__(self, out, lengths: np.ndarray) -> None:
-        self._out, self._book, self._place = out, Codebook(lengths), 0
-        self._waiting: list[np.ndarray] = []
-        self._size = self.ids = 0
-        self._blocks: list[tuple[int, int, int]] = []
+        self._out, self._place, self._first = out, 0, 0
+        self._parts: list[bytes] = []
+        self._marks: list[np.ndarray] = []
+        self._size = self._bytes = self.ids = 0
+        self._blocks: list[tuple[int, int, int, int]] = []
         self._documents: list[tuple[int | None, int]] = []
         packed = zlib.compress(lengths.astype(np.uint8).tobytes(), 9)
         self._write(_MAGIC + struct.pack("<II", len(lengths), len(packed)) + packed)
@@ -137,29 +147,32 @@ class FileWriter:
         self._out.write(data)
         self._place += len(data)
 
-    def add(self, document: int | None, ids: np.ndarray) -> None:
-        self._documents.append((document, len(ids)))
-        self._waiting.append(ids)
-        self._size += len(ids)
-        self.ids += len(ids)
-        while self._size >= BLOCK_IDS:
-            self._flush(BLOCK_IDS)
-
-    def _flush(self, n: int) -> None:
-        whole = np.concatenate(self._waiting)
-        self._waiting = [whole[n:]]
-        self._size -= n
-        packed, checkpoints = self._book.encode(whole[:n])
-        self._blocks.append((self._place, n, len(packed)))
-        self._write(checkpoints.tobytes() + packed)
+    def add(self, document: int | None, n: int, packed: bytes, marks: np.ndarray) -> None:
+        self._documents.append((document, n))
+        self._parts.append(packed)
+        self._marks.append(marks.astype(np.int64) + 8 * self._bytes)
+        self._bytes += len(packed)
+        self._size += n
+        self.ids += n
+        if self._size >= BLOCK_IDS:
+            self._flush()
+
+    def _flush(self) -> None:
+        """Place, first document, checkpoints and bytes of codes of a block go to the footer."""
+        marks, codes = np.concatenate(self._marks).astype("<u8"), b"".join(self._parts)
+        self._blocks.append((self._place, self._first, len(marks), len(codes)))
+        # Differences of neighbouring checkpoints are small.
+        packed = zlib.compress(np.diff(marks, prepend=np.uint64(0)).astype("<u4").tobytes(), 6)
+        self._write(struct.pack("<Q", len(packed)) + packed + codes)
+        self._first, self._size, self._bytes = len(self._documents), 0, 0
+        self._parts, self._marks = [], []
 
     def finish(self) -> None:
-        if self._size:
-            self._flush(self._size)
-        footer = json.dumps({"blocks": self._blocks}).encode()
+        if self._parts:
+            self._flush()
         none = -(1 << 63)
         table = np.array([(none if d is None else d, n) for d, n in self._documents], "<i8").reshape(-1, 2).tobytes()
-        packed = zlib.compress(footer, 6), zlib.compress(table, 6)
+        packed = zlib.compress(json.dumps({"blocks": self._blocks}).encode(), 6), zlib.compress(table, 6)
         self._write(packed[0] + packed[1] + struct.pack("<QQ", *map(len, packed)) + _MAGIC)
 
 
@@ -176,33 +189,43 @@ class FileReader:
         self._book = Codebook(np.frombuffer(zlib.decompress(file.read(16, size)), np.uint8)[:n])
         sizes = struct.unpack("<QQ", foot[:16])
         start = file.size - 24 - sum(sizes)
-        self.blocks = json.loads(zlib.decompress(file.read(start, sizes[0])))["blocks"]
+        self._blocks = json.loads(zlib.decompress(file.read(start, sizes[0])))["blocks"]
         table = np.frombuffer(zlib.decompress(file.read(start + sizes[0], sizes[1])), "<i8").reshape(-1, 2)
         self.documents = [(None if d == -(1 << 63) else d, n) for d, n in table.tolist()]
-
-    def block(self, number: int) -> np.ndarray:
-        place, n, size = self.blocks[number]
-        marks = -(-n // STRIDE) * 4
-        data = self._file.read(place, marks + size)
-        return self._book.decode(data[marks:], np.frombuffer(data[:marks], "<u4"), n)
-
-    def ids(self, start: int, n: int) -> np.ndarray:
-        """``n`` ids from position ``start`` of the file on, reading from the checkpoint before it."""
-        parts, base = [np.zeros(0, ID)], 0
-        for place, size, packed in self.blocks:
-            low, high = max(start, base), min(start + n, base + size)
-            if low < high:
-                first, last = (low - base) // STRIDE, -(-(high - base) // STRIDE)
-                marks = -(-size // STRIDE)
-                points = np.frombuffer(self._file.read(place + 4 * first, 4 * (min(last + 1, marks) - first)), "<u4").astype(np.int64)
-                begin = int(points[0]) // 8
-                end = -(-int(points[last - first]) // 8) if last < marks else packed
-                data = self._file.read(place + 4 * marks + begin, end - begin)
-                wanted = min(size, last * STRIDE) - first * STRIDE
-                got = self._book.decode(data, points[: last - first] - 8 * begin, wanted)
-                parts.append(got[low - base - first * STRIDE : high - base - first * STRIDE])
-            base += size
-        return np.concatenate(parts)
+        self._sizes = table[:, 1]
+
+    def __len__(self) -> int:
+        return len(self._blocks)
+
+    def _head(self, number: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+        """First document, place of the codes, checkpoints and sizes of the lanes of a block."""
+        place, first, _, _ = self._blocks[number]
+        last = self._blocks[number + 1][1] if number + 1 < len(self._blocks) else len(self.documents)
+        size = struct.unpack("<Q", self._file.read(place, 8))[0]
+        steps = np.frombuffer(zlib.decompress(self._file.read(place + 8, size)), "<u4")
+        return first, place + 8 + size, np.cumsum(steps, dtype=np.int64), self._sizes[first:last]
+
+    def block(self, number: int) -> list[np.ndarray]:
+        """The ids of each document of a block."""
+        _, place, marks, sizes = self._head(number)
+        ids = self._book.decode(self._file.read(place, self._blocks[number][3]), marks, _lanes(sizes))
+        return np.split(ids, np.cumsum(sizes)[:-1])
+
+    def ids(self, document: int, start: int = 0, n: int | None = None) -> np.ndarray:
+        """``n`` ids of the ``document``-th document from ``start`` on, reading from the checkpoint before them."""
+        number = max(i for i, (_, first, _, _) in enumerate(self._blocks) if first <= document)
+        first, place, marks, sizes = self._head(number)
+        own = int(sizes[document - first])
+        end = own if n is None else min(own, start + n)
+        if start >= end:
+            return np.zeros(0, ID)
+        before = int((-(-sizes[: document - first] // STRIDE)).sum())
+        low, high = before + start // STRIDE, before + -(-end // STRIDE)
+        begin = int(marks[low]) // 8
+        stop = -(-int(marks[high]) // 8) if high < len(marks) else self._blocks[number][3]
+        lanes = _lanes(np.array([own]))[start // STRIDE : -(-end // STRIDE)]
+        found = self._book.decode(self._file.read(place + begin, stop - begin), marks[low:high] - 8 * begin, lanes)
+        return found[start % STRIDE : start % STRIDE + end - start]
 
 
 def counts(encoded: DataFrame, ids: str = "ids") -> DataFrame:
@@ -234,21 +257,35 @@ def write(encoded: DataFrame, folder: str, doc_id: str = "doc_id", ids: str = "i
     limit = max(LIMIT, int(np.ceil(np.log2(max(2, len(found))))) + 1)
     shared = encoded.sparkSession.sparkContext.broadcast(code_lengths(table, limit))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book = Codebook(shared.value)
+        for whole in batches:
+            for batch in pieces(whole, whole.column(1)):
+                out: list[list] = [[], [], [], []]
+                for value in batch.column(1):
+                    data = value.as_py() or b""
+                    packed, marks = book.encode(np.frombuffer(data, ID))
+                    for column, item in zip(out, (len(data) // ID.itemsize, zlib.crc32(data), packed, marks.astype("<u8").tobytes()), strict=True):
+                        column.append(item)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())],
+                    names=["document", "n", "check", "codes", "marks"],
+                )
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         filled = (b for b in batches if len(b))
-        first = next(filled, None)
-        if first is None:
+        batch = next(filled, None)
+        if batch is None:
             return
         path, documents = f"{folder}/part-{part:06d}.ids", 0
         with writing(path) as out:
             writer = FileWriter(out, shared.value)
-            batch = first
             while batch is not None:
-                for document, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    writer.add(document, np.frombuffer(value.as_py() or b"", ID))
+                for document, n, codes, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    writer.add(document, n, codes, np.frombuffer(marks, "<u8"))
                     documents += 1
                 batch = next(filled, None)
             writer.finish()
@@ -258,9 +295,10 @@ def write(encoded: DataFrame, folder: str, doc_id: str = "doc_id", ids: str = "i
         )
 
     rows = encoded.select(F.col(f"`{doc_id}`").cast("long").alias("document"), F.col(f"`{ids}`").alias("ids"))
-    rows = rows.withColumns({"n": F.length("ids"), "check": F.crc32("ids")})
-    ordered = rows.repartitionByRange("document", "n", "check").sortWithinPartitions("document", "n", "check").select("document", "ids")
-    return stored(ordered.mapInArrow(run, "part long, path string, documents long, ids long"), "token-files")
+    rows = rows.mapInArrow(code, "document long, n long, check long, codes binary, marks binary")
+    order = ["document", "n", "check"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("check")
+    return stored(rows.mapInArrow(fill, "part long, path string, documents long, ids long"), "token-files")
 
 
 def read(files: DataFrame) -> DataFrame:
@@ -281,15 +319,7 @@ def read(files: DataFrame) -> DataFrame:
         for path, base in (pair for b in batches for pair in zip(*(c.to_pylist() for c in b.columns), strict=True)):
             with RangeReader(path) as opened:
                 file = FileReader(opened)
-                checks, number, have = [], 0, np.zeros(0, ID)
-                for _, n in file.documents:
-                    check, left = 0, n
-                    while left:
-                        if not len(have):
-                            have, number = file.block(number), number + 1
-                        check = zlib.crc32(have[:left].tobytes(), check)
-                        left, have = left - min(left, len(have)), have[left:]
-                    checks.append(check)
+                checks = [zlib.crc32(ids.tobytes()) for number in range(len(file)) for ids in file.block(number)]
                 sizes = np.array([n for _, n in file.documents], np.int64)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([d for d, _ in file.documents], pa.int64()), pa.array(base + np.cumsum(sizes) - sizes, pa.int64()),
@@ -300,9 +330,15 @@ def read(files: DataFrame) -> DataFrame:
     return paths.mapInArrow(run, schema)
 
 
-def round_trip(encoded: DataFrame, end_id: int) -> DataFrame:
-    """Append ``end_id`` to the ids of each document, write the files, and read them back."""
+def round_trip(encoded: DataFrame, end_id: int, spent: str | None = None) -> DataFrame:
+    """Append ``end_id`` to the ids of each document, write the files, and read them back.
+
+    ``spent`` names a folder that ``encoded`` is made from, deleted as soon as the ids are stored.
+    """
+    spark = encoded.sparkSession
     tail = F.unhex(F.lit(int(end_id).to_bytes(4, "little").hex()))
     rows = encoded.select("doc_id", F.concat(F.coalesce("ids", F.lit(b"")), tail).alias("ids"))
     rows = stored(rows, "token-ids")
-    return read(write(rows, shared_path(encoded.sparkSession, "token-store")))
+    if spent:
+        delete(spark, spent)
+    return read(write(rows, shared_path(spark, "token-store")))
