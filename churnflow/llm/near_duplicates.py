@@ -13,6 +13,7 @@ their shingle sets have a Jaccard similarity of at least ``SIMILARITY``.
    than ``BLOCK_NODES`` nodes or ``BLOCK_BYTES`` of text are compared block against block, and only sums per
    node leave a task, never pairs. This work grows with the square of the *different* texts of
    one component, as their links do; copies are one node and cost a row.
+   Candidates, prefixes and texts meet in sorted shuffles at any size: their tables grow with the documents.
 3. Classes are the connected components of verified links, named by their smallest document id.
 
 A document's links are counted with copies: the other documents of its node, and all those of linked nodes.
@@ -140,7 +141,7 @@ def _candidates(marked: DataFrame) -> DataFrame:
     nodes = stored(nodes, "nodes")
     entries = nodes.select("node", F.posexplode("keys").alias("tree", "key"))
     crowded = entries.groupBy("tree", "key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    edges = entries.join(crowded, ["tree", "key"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    edges = entries.join(crowded.hint("merge"), ["tree", "key"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
     found = components(edges)
     return found.join(nodes.drop("keys"), "node").select("node", "component", "copies", "size", "one.*")
 
@@ -203,7 +204,7 @@ def links(documents: DataFrame, marked: DataFrame, doc_id: str, text: str, simil
     )
     texts = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text"))
     on = texts["doc_id"].eqNullSafe(found["doc_id"]) & (texts["text_hash"] == found["text_hash"])
-    rows = texts.join(found, on).select("node", "component", "copies", "text").join(blocks, "component")
+    rows = texts.join(found.hint("merge"), on).select("node", "component", "copies", "text").join(blocks, "component")
     # Repeated rows of one id and text would come more than once. Names are of the shingles, so any will do.
     rows = rows.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("component", "copies", "text", "blocks")])
     side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("side")
@@ -213,7 +214,11 @@ def links(documents: DataFrame, marked: DataFrame, doc_id: str, text: str, simil
 
 
 def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """Per document: doc_id, text_hash, class_id, n_links."""
+    """Per document: doc_id, text_hash, component, class_id and n_links.
+
+    ``component`` tells classes apart even where different texts have one document id; it is null
+    without words.
+    """
     marked = stored(mark(documents, doc_id, text, similarity), "marked")
     found = stored(links(documents, marked, doc_id, text, similarity), "links")
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
@@ -223,11 +228,11 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     names = names.join(joined, "node", "left").join(counted, "node", "left")
     names = names.withColumn("component", F.coalesce("component", "node"))
     first = names.groupBy("component").agg(F.min("first").alias("class_id"))
-    names = names.join(first, "component").select("node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    names = names.join(first, "component").select("node", "component", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     rows = marked.select("doc_id", "text_hash", "node").join(names, "node", "left")
     return rows.select(
         "doc_id", "text_hash", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("node").isNull().alias("empty"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), "component",
     )
 
 
@@ -235,11 +240,11 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """One document of each class: that with the smallest id, nulls last. Documents without words all stay."""
     found = classes(documents, doc_id, text, similarity)
     chosen = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("chosen")
-    chosen = found.filter("NOT empty").groupBy("class_id").agg(chosen).select(F.col("chosen.doc_id").alias("doc_id"), F.col("chosen.text_hash").alias("text_hash"))
-    kept = chosen.withColumn("alone", F.lit(True)).union(found.filter("empty").select("doc_id", "text_hash", F.lit(False)).distinct())
+    chosen = found.filter("component IS NOT NULL").groupBy("component").agg(chosen).select(F.col("chosen.doc_id").alias("doc_id"), F.col("chosen.text_hash").alias("text_hash"))
+    kept = chosen.withColumn("alone", F.lit(True)).union(found.filter("component IS NULL").select("doc_id", "text_hash", F.lit(False)).distinct())
     row = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("document"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_hash"))
     on = row["doc_id"].eqNullSafe(kept["doc_id"]) & (row["text_hash"] == kept["text_hash"])
-    rows = row.join(kept, on).select("document", row["doc_id"], row["text_hash"], "alone")
+    rows = row.join(kept.hint("merge"), on).select("document", row["doc_id"], row["text_hash"], "alone")
     # Repeated rows of the chosen document are all found; the first of them stays.
     number = F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy(F.lit(0)))
     return rows.withColumn("number", number).filter("number = 1 OR NOT alone").select("document.*")
