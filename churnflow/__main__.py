@@ -24,7 +24,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="churnflow", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("--lake", required=True, help="root folder of all tables")
     jobs = parser.add_subparsers(dest="job", required=True)
-    jobs.add_parser("load").add_argument("files", nargs="+", metavar="TABLE=PATH")
+    load = jobs.add_parser("load")
+    load.add_argument("files", nargs="+", metavar="TABLE=PATH")
+    load.add_argument("--multiline", action="store_true", help="fields may hold line breaks; one task reads a file")
     today = datetime.now(timezone.utc).date().isoformat()
     for job in ("events", "train", "score"):
         jobs.add_parser(job).add_argument("--date", default=today)
@@ -36,7 +38,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"churnflow-{options.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     lake = Lake(spark, options.lake)
     if options.job == "load":
-        load_raw_tables(lake, dict(item.split("=", 1) for item in options.files))
+        load_raw_tables(lake, dict(item.split("=", 1) for item in options.files), multiline=options.multiline)
     elif options.job == "events":
         update_ledger(lake, options.date)
     elif options.job == "features":

@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from churnflow.schemas import LABEL
 
-_RANGES = 256
-
 
 def counts_by_score(predictions: DataFrame, score: str = "score", prediction: str = "prediction", label: str = LABEL) -> DataFrame:
     """Per distinct score: positive, negative and correctly predicted rows. All metrics follow from it."""
@@ -29,10 +27,11 @@ def roc_auc(by_score: DataFrame) -> DataFrame:
 
     The number of negatives below each score is a running total over all distinct scores. It is
     taken in two steps so that no task sees them all: within score ranges of about equal size, cut
-    at quantiles of the data, and over the totals of those (at most 256) ranges. ``by_score`` is
+    at quantiles of the data, and over the totals of those ranges, as many as shuffle partitions. ``by_score`` is
     read twice, first for the cuts, so it should be a stored table.
     """
-    quantiles = [i / _RANGES for i in range(1, _RANGES)]
+    ranges = max(2, int(by_score.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    quantiles = [i / ranges for i in range(1, ranges)]
     cuts = by_score.agg(F.percentile_approx("score", quantiles, 10_000).alias("cuts")).first().cuts or [0.5]
     ends = [float("-inf"), *sorted(set(cuts)), float("inf")]
     ranged = Bucketizer(splits=ends, inputCol="score", outputCol="score_range").transform(by_score)

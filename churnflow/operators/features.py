@@ -24,10 +24,6 @@ INVESTED_STATES = ["eligible", "active", "invested"]
 
 WINDOWS = (7, 30, 90)
 
-# Longer lists are computed in several passes, since a day's payments count for every later date
-# of a pass. A quarter of weekly snapshots fits into one.
-SNAPSHOTS_PER_PASS = 13
-
 CUSTOMER_SOURCES = ("payments", "marketplace", "active_user", "demographics", "balances")
 
 
@@ -42,31 +38,45 @@ def customer_base(raw: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, ids).distinct()
 
 
-def _passes(snapshots: Sequence[date]) -> list[list[date]]:
-    ordered = sorted(set(snapshots))
-    if not ordered:
+def _ordered(snapshots: Sequence[date]) -> list[date]:
+    if not snapshots:
         raise ValueError("no snapshot dates given")
-    return [ordered[i:i + SNAPSHOTS_PER_PASS] for i in range(0, len(ordered), SNAPSHOTS_PER_PASS)]
+    return sorted(set(snapshots))
 
 
 def _dates(snapshots: Sequence[date]) -> Column:
     return F.array(*(date_literal(s) for s in snapshots))
 
 
-def _window_totals(payments: DataFrame, snapshots: Sequence[date], first_day: date) -> DataFrame:
+def _covered(snapshots: Sequence[date]) -> Column:
+    """Whether a payment lies in the longest window of some snapshot: one range for windows that touch."""
+    ranges: list[list[date]] = []
+    for snapshot in snapshots:
+        first = snapshot - timedelta(days=WINDOWS[-1])
+        if ranges and first <= ranges[-1][1]:
+            ranges[-1][1] = snapshot
+        else:
+            ranges.append([first, snapshot])
+    day = F.col("fecha")
+    return reduce(lambda a, b: a | b, ((day >= date_literal(first)) & (day < date_literal(end)) for first, end in ranges))
+
+
+def _window_totals(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame:
     """(customer_id, totals) where ``totals`` maps a snapshot date to its sums over the windows.
 
     Payments are first added up per customer and day, which bounds a customer's rows by the number
     of days. Those few rows are then brought together by customer once; both later groupings, by
-    snapshot and by customer, use that same partitioning.
+    snapshot and by customer, use that same partitioning. A day goes to the dates in whose longest
+    window it lies, and to no others.
     """
     daily = (
-        payments.filter((F.col("fecha") >= date_literal(first_day)) & (F.col("fecha") < date_literal(snapshots[-1])))
+        payments.filter(_covered(snapshots))
         .groupBy(_customer("payments"), "fecha")
         .agg(F.sum("spent").alias("spent"), F.sum("descuento").alias("discount"), F.count("*").alias("payments"))
         .repartition("customer_id")
     )
-    ahead = daily.withColumn("snapshot_date", F.explode(_dates(snapshots))).filter(F.col("fecha") < F.col("snapshot_date"))
+    reached = F.filter(_dates(snapshots), lambda s: (s > F.col("fecha")) & (s <= F.date_add("fecha", WINDOWS[-1])))
+    ahead = daily.withColumn("snapshot_date", F.explode(reached))
 
     def total(column: str, days: int) -> Column:
         inside = F.col("fecha") >= F.date_sub("snapshot_date", days)
@@ -76,23 +86,24 @@ def _window_totals(payments: DataFrame, snapshots: Sequence[date], first_day: da
         *(total("spent", days) for days in WINDOWS),
         *(total("payments", days) for days in WINDOWS[1:]),
         *(total("discount", days) for days in WINDOWS[1:]),
-        F.max("fecha").alias("last_payment_date"),
     )
     entry = F.struct("snapshot_date", F.struct(*(c for c in totals.columns if c not in ("customer_id", "snapshot_date"))))
     return totals.groupBy("customer_id").agg(F.map_from_entries(F.collect_list(entry)).alias("totals"))
 
 
 def _payers(payments: DataFrame, snapshots: Sequence[date], *, match_null: bool = False) -> DataFrame:
-    """One row per paying customer: the last payment before all windows, and the window totals.
+    """One row per paying customer: the last payment days between snapshots, and the window totals.
 
-    Only customer and date are read for the whole history; amounts only for the days that some
-    window covers, by a filter that reaches the scan. ``match_null`` also finds the totals of
-    payments without a customer, at the price of shuffling the customers again.
+    Only customer and date are read for the whole history, once for any number of dates: the last day
+    after each snapshot and before the next is kept, at most one per date. Amounts are read only for the
+    days that some window covers, by a filter that reaches the scan. ``match_null`` also finds the totals
+    of payments without a customer, at the price of shuffling the customers again.
     """
-    first_day = snapshots[0] - timedelta(days=WINDOWS[-1])
-    earlier = F.max(F.when(F.col("fecha") < date_literal(first_day), F.col("fecha")))
-    history = payments.groupBy(_customer("payments")).agg(earlier.alias("earlier_payment_date"))
-    totals = _window_totals(payments, snapshots, first_day)
+    passed = F.size(F.filter(_dates(snapshots), lambda s: s <= F.col("fecha"))).alias("passed")
+    between = payments.groupBy(_customer("payments"), passed).agg(F.max("fecha").alias("day"))
+    history = between.repartition("customer_id").groupBy("customer_id").agg(
+        F.collect_list(F.struct("passed", "day")).alias("last_days"))
+    totals = _window_totals(payments, snapshots)
     if not match_null:
         return history.join(totals, "customer_id", "left")
     same = history["customer_id"].eqNullSafe(totals["customer_id"])
@@ -101,16 +112,16 @@ def _payers(payments: DataFrame, snapshots: Sequence[date], *, match_null: bool
 
 def _one_row_per_snapshot(payers: DataFrame, snapshots: Sequence[date]) -> DataFrame:
     """Spreads ``payers`` over the snapshot dates. Sums are NULL, and counts 0, where nothing was paid."""
-    kept = [c for c in payers.columns if c not in ("totals", "earlier_payment_date")]
-    rows = payers.withColumn("snapshot_date", F.explode(_dates(snapshots))).withColumn(
+    kept = [c for c in payers.columns if c not in ("totals", "last_days")]
+    rows = payers.select("*", F.posexplode(_dates(snapshots)).alias("number", "snapshot_date")).withColumn(
         "t", F.try_element_at("totals", F.col("snapshot_date")))
+    before = F.filter("last_days", lambda d: d["passed"] <= F.col("number"))
     return rows.select(
         *kept, "snapshot_date",
         *(F.col(f"t.{c}_{days}d").alias(f"{c}_{days}d") for c, days in (
             ("spent", 7), ("spent", 30), ("spent", 90), ("discount", 30), ("discount", 90))),
         *(F.coalesce(F.col(f"t.payments_{days}d"), F.lit(0)).alias(f"payments_{days}d") for days in WINDOWS[1:]),
-        # Days inside the windows come after those before them.
-        F.coalesce(F.col("t.last_payment_date"), F.col("earlier_payment_date")).alias("last_payment_date"),
+        F.array_max(F.transform(before, lambda d: d["day"])).alias("last_payment_date"),
     )
 
 
@@ -120,11 +131,9 @@ def payment_metrics(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame
     Customers without any payment before a date have no row for it. Sums are NULL, and counts 0,
     when no payment falls in the window.
     """
-    def one_pass(dates: list[date]) -> DataFrame:
-        rows = _one_row_per_snapshot(_payers(payments, dates, match_null=True), dates)
-        return rows.filter(F.col("last_payment_date").isNotNull())
-
-    return reduce(DataFrame.unionByName, (one_pass(dates) for dates in _passes(snapshots)))
+    dates = _ordered(snapshots)
+    rows = _one_row_per_snapshot(_payers(payments, dates, match_null=True), dates)
+    return rows.filter(F.col("last_payment_date").isNotNull())
 
 
 def activity_metrics(active_user: DataFrame) -> DataFrame:
@@ -202,15 +211,10 @@ def build_features(raw: Mapping[str, DataFrame], snapshots: Sequence[date], run_
     are already partitioned. A customer with several known outcomes, or a missing customer id,
     fails the build.
     """
-    profiles = _profiles(raw)
-
-    def one_pass(dates: list[date]) -> DataFrame:
-        payers = _payers(raw["payments"], dates).withColumn("has_paid", F.lit(True))
-        customers = payers.join(profiles, "customer_id", "full").filter(F.col("has_paid") | F.col("is_customer"))
-        return _one_row_per_snapshot(customers, dates)
-
-    rows = reduce(DataFrame.unionByName, (one_pass(dates) for dates in _passes(snapshots)))
-    return _finished(rows, run_ts)
+    dates = _ordered(snapshots)
+    payers = _payers(raw["payments"], dates).withColumn("has_paid", F.lit(True))
+    customers = payers.join(_profiles(raw), "customer_id", "full").filter(F.col("has_paid") | F.col("is_customer"))
+    return _finished(_one_row_per_snapshot(customers, dates), run_ts)
 
 
 def _finished(rows: DataFrame, run_ts: datetime) -> DataFrame:

@@ -41,7 +41,7 @@ def count_broken(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 def require(df: DataFrame, checks: Sequence[Check]) -> None:
     """Raise ``DataQualityError`` if any check counts an offending row."""
     failed = [
-        f"check {row.check_name} failed with {row.offending_rows} offending rows"
+        f"{row.check_name}: {row.offending_rows} rows break this rule"
         for row in count_broken(df, checks).collect()  # one row per check
         if row.offending_rows
     ]
@@ -53,9 +53,9 @@ def staged_event_checks(as_of: date) -> list[Check]:
     """Missing required fields, dates after tomorrow, and values that are not price times units."""
     product = F.col("purchase_price") * F.col("purchase_units")
     return [
-        Check("null_required", reduce(lambda a, b: a | b, (F.col(c).isNull() for c in STAGED_REQUIRED))),
-        Check("date_in_future", F.col("purchase_date") > F.date_add(date_literal(as_of), 1)),
-        Check("mismatched_value", F.abs(F.col("purchase_value") - product) > F.lit(VALUE_TOLERANCE)),
+        Check("required_value_missing", reduce(lambda a, b: a | b, (F.col(c).isNull() for c in STAGED_REQUIRED))),
+        Check("dated_after_tomorrow", F.col("purchase_date") > F.date_add(date_literal(as_of), 1)),
+        Check("value_is_not_price_times_units", F.abs(F.col("purchase_value") - product) > F.lit(VALUE_TOLERANCE)),
     ]
 
 
@@ -77,9 +77,9 @@ def require_snapshots(features: DataFrame, snapshots: Sequence[date]) -> None:
     for snapshot in snapshots:
         row = found.get(snapshot)
         if row is None:
-            raise DataQualityError(f"no features generated for snapshot_date={snapshot}")
+            raise DataQualityError(f"nothing was built for {snapshot}")
         if row.null_customers:
-            raise DataQualityError(f"{row.null_customers} rows without customer_id for snapshot_date={snapshot}")
+            raise DataQualityError(f"{snapshot}: {row.null_customers} rows lack a customer")
 
 
 def key_repeats(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -39,6 +39,6 @@ def update_ledger(lake: Lake, ds: date | str, as_of: date | None = None, run_ts:
     month = F.trunc("purchase_date", "MM")
     months = [r.m for r in staged.select(month.alias("m")).distinct().collect()]  # calendar months
     first_due_month = recheck_start(ds).replace(day=1)
-    touched = lake.read(LEDGER).filter(
+    touched = lake.read_or_empty(LEDGER).filter(
         F.col("purchase_month").isin(months) | (F.col("purchase_month") >= date_literal(first_due_month)))
     lake.publish(unmatched_after_run(touched, staged, ds, run_ts), as_ledger_rows(staged, run_ts), LEDGER)

@@ -11,7 +11,7 @@ from churnflow.functions import as_date
 from churnflow.operators.features import build_features
 from churnflow.operators.quality import require_snapshots
 from churnflow.schemas import FEATURES, RAW_CUSTOMER_TABLES
-from churnflow.sources import Lake, discard, stage
+from churnflow.sources import Lake, staged
 
 
 def update_features(lake: Lake, snapshots: Sequence[date | str], run_ts: datetime | None = None, raw: Mapping[str, DataFrame] | None = None) -> None:
@@ -21,8 +21,8 @@ def update_features(lake: Lake, snapshots: Sequence[date | str], run_ts: datetim
     """
     snapshots = [as_date(s) for s in snapshots]
     raw = raw or {name: lake.read(table) for name, table in RAW_CUSTOMER_TABLES.items()}
-    built = stage(build_features(raw, snapshots, run_ts or datetime.now(timezone.utc)), FEATURES.name)
-    require_snapshots(built, snapshots)
-    # One row per customer and date by construction.
-    lake.upsert(built, FEATURES, F.col("snapshot_date").isin(snapshots), keys_unique=True)
-    discard(built)
+    rows = build_features(raw, snapshots, run_ts or datetime.now(timezone.utc))
+    with staged(rows, FEATURES.name) as built:
+        require_snapshots(built, snapshots)
+        # One row per customer and date by construction.
+        lake.upsert(built, FEATURES, F.col("snapshot_date").isin(snapshots), keys_unique=True)

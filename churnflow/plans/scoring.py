@@ -16,18 +16,18 @@ from churnflow.sources import Lake, read_snapshot
 
 
 def load_production_model(lake: Lake, model_name: str = MODEL_NAME) -> tuple[PipelineModel, int]:
-    live = current_model(lake.read(MODEL_LOG)).filter(F.col("model_name") == model_name).first()
+    live = current_model(lake.read_or_empty(MODEL_LOG)).filter(F.col("model_name") == model_name).first()
     if live is None:
-        raise RuntimeError(f"no production model found for {model_name}")
+        raise RuntimeError(f"{model_name} has no promoted version to score with")
     return PipelineModel.load(live.path), live.version
 
 
 def score_snapshot(lake: Lake, snapshot: date | str, threshold: float = DECISION_THRESHOLD, model_name: str = MODEL_NAME, run_ts: datetime | None = None) -> int:
     """Score one snapshot with the production model, replacing that model's scores for the date."""
     snapshot = as_date(snapshot)
-    features = read_snapshot(lake.read(FEATURES), snapshot)
+    features = read_snapshot(lake.read_or_empty(FEATURES), snapshot)
     if features.isEmpty():
-        raise ValueError(f"no features available for snapshot_date={snapshot}")
+        raise ValueError(f"the feature table holds nothing for {snapshot}")
     model, version = load_production_model(lake, model_name)
     scored = score(features, model, str(version), run_ts or datetime.now(timezone.utc), threshold)
     lake.replace_partitions(scored, SCORES, rebalance=False)

@@ -20,7 +20,7 @@ from churnflow.operators.modeling import (
 )
 from churnflow.operators.registry import PROMOTED, REGISTERED, next_version
 from churnflow.schemas import CATEGORICAL_FEATURES, FEATURES, LABEL, MODEL_LOG, TRAINING_RUNS
-from churnflow.sources import Lake, discard, stage
+from churnflow.sources import Lake, staged
 
 MODEL_NAME = "churn-logreg"
 
@@ -37,16 +37,11 @@ def fit_and_evaluate(rows: DataFrame) -> tuple[PipelineModel, dict[str, float]]:
 
     predicted = model.transform(split.filter(F.col("split") == "test")).select(
         vector_to_array("probability")[1].alias("score"), "prediction", LABEL)
-    by_score = stage(counts_by_score(predicted), "counts-by-score")
-    metrics = {
-        "roc_auc": roc_auc(by_score).first().roc_auc,
-        "accuracy": accuracy(by_score).first().accuracy,
-        "positive_rate_train": summary["train"].positive_rate,
-        "positive_rate_test": summary["test"].positive_rate,
-        "train_rows": summary["train"].n_rows,
-        "test_rows": summary["test"].n_rows,
-    }
-    discard(by_score)
+    with staged(counts_by_score(predicted), "counts-by-score") as by_score:
+        metrics = {"roc_auc": roc_auc(by_score).first().roc_auc, "accuracy": accuracy(by_score).first().accuracy}
+    for name in ("train", "test"):
+        metrics[f"positive_rate_{name}"] = summary[name].positive_rate
+        metrics[f"{name}_rows"] = summary[name].n_rows
     return model, metrics
 
 
@@ -55,12 +50,13 @@ def train_and_register(lake: Lake, snapshot: date | str, lookback_weeks: int = 8
     spark, run_ts, snapshot = lake.spark, run_ts or datetime.now(timezone.utc), as_date(snapshot)
     rows = with_split(training_set(lake.read(FEATURES), snapshot, lookback_weeks, keys_unique=True))
     # Fitting and measuring read the rows several times.
-    rows = stage(rows, "training-rows")
-    model, metrics = fit_and_evaluate(rows)
+    with staged(rows, "training-rows") as rows:
+        model, metrics = fit_and_evaluate(rows)
 
-    version = next_version(lake.read(MODEL_LOG), model_name)
+    version = next_version(lake.read_or_empty(MODEL_LOG), model_name)
     path = f"{lake.root}/models/{model_name}/v={version}"
-    model.write().overwrite().save(path)
+    model.write().save(path)  # fails where another run has taken the version
+    PipelineModel.load(path)  # only what can be read back is promoted
 
     params = {
         "snapshot_date": snapshot.isoformat(),
@@ -76,5 +72,4 @@ def train_and_register(lake: Lake, snapshot: date | str, lookback_weeks: int = 8
     lake.append(spark.createDataFrame([tuple(run[c] for c in TRAINING_RUNS.columns)], TRAINING_RUNS.schema), TRAINING_RUNS)
     events = [(model_name, version, path, event, run_ts) for event in (REGISTERED, PROMOTED)]
     lake.append(spark.createDataFrame(events, MODEL_LOG.schema), MODEL_LOG)
-    discard(rows)
     return version

@@ -23,6 +23,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# Numbers as they arrive, kept to 18 digits on both sides of the point, so that they are rounded once, on use.
+RAW_NUMBER = DecimalType(38, 18)
 # Amounts of unstated precision. Sums widen to (28,6), so totals stay exact and order-independent.
 AMOUNT = DecimalType(18, 6)
 AMOUNT_TOTAL = DecimalType(28, 6)
@@ -64,18 +66,18 @@ TEXT, DAY, ID = StringType(), DateType(), LongType()
 
 RAW_EVENTS = Table("raw", "crypto_transaction_history", _columns(
     site_id=TEXT, user_id=ID, purchase_date=TEXT, crypto_type=TEXT,
-    purchase_price=AMOUNT, purchase_units=UNITS,
+    purchase_price=RAW_NUMBER, purchase_units=RAW_NUMBER,
 ))
 RAW_MARKETPLACE = Table("raw", "marketplace_data", _columns(
-    cus_cust_id_buy=ID, spent_ml=AMOUNT, recency_ml=DAY, frequency_ml=IntegerType(),
+    cus_cust_id_buy=ID, spent_ml=RAW_NUMBER, recency_ml=DAY, frequency_ml=IntegerType(),
 ))
 RAW_PAYMENTS = Table("raw", "payments", _columns(
-    fecha=DAY, cus_cust_id_sel=ID, cus_cust_id_buy=ID, spent=AMOUNT,
-    tpv_segment_detail=TEXT, descuento=AMOUNT,
+    fecha=DAY, cus_cust_id_sel=ID, cus_cust_id_buy=ID, spent=RAW_NUMBER,
+    tpv_segment_detail=TEXT, descuento=RAW_NUMBER,
 ))
 RAW_ACTIVE_USER = Table("raw", "active_user", _columns(
     cus_cust_id_buy=ID,
-    mau_mp_3=AMOUNT, mau_ml_3=AMOUNT, mau_mp_2=AMOUNT, mau_ml_2=AMOUNT, mau_mp_1=AMOUNT, mau_ml_1=AMOUNT,
+    mau_mp_3=RAW_NUMBER, mau_ml_3=RAW_NUMBER, mau_mp_2=RAW_NUMBER, mau_ml_2=RAW_NUMBER, mau_mp_1=RAW_NUMBER, mau_ml_1=RAW_NUMBER,
     last_login_mp_date_1=DAY, last_login_ml_date_1=DAY,
 ))
 RAW_DEMOGRAPHICS = Table("raw", "demograficos", _columns(
@@ -83,9 +85,9 @@ RAW_DEMOGRAPHICS = Table("raw", "demograficos", _columns(
 ))
 # Account ids arrive as decimals and are rounded to whole ids on use.
 RAW_BALANCES = Table("raw", "dinero_cuenta", _columns(
-    cus_cust_id_buy=DecimalType(24, 4), plata_cuenta_1=AMOUNT, plata_cuenta_2=AMOUNT, inversion=TEXT,
+    cus_cust_id_buy=RAW_NUMBER, plata_cuenta_1=RAW_NUMBER, plata_cuenta_2=RAW_NUMBER, inversion=TEXT,
 ))
-RAW_OUTCOMES = Table("raw", "evaluate", _columns(cus_cust_id_buy=ID, churn=AMOUNT))
+RAW_OUTCOMES = Table("raw", "evaluate", _columns(cus_cust_id_buy=ID, churn=RAW_NUMBER))
 
 EVENT_KEY = ("site_id", "user_id", "purchase_date", "crypto_type")
 _EVENT = {

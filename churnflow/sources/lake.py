@@ -8,15 +8,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from churnflow.functions import timestamp_literal
+from churnflow.functions import fail_when, timestamp_literal
 from churnflow.operators.merge import survivors
 from churnflow.operators.quality import require_unique_key
 from churnflow.schemas import Table
-from churnflow.sources.scratch import discard, stage
+from churnflow.sources.scratch import staged
 
 
 def conform(df: DataFrame, table: Table, **defaults) -> DataFrame:
-    """The table's columns in order and type. Unlisted ones come from ``defaults``; others are dropped."""
+    """The table's columns in order and type. Unlisted ones come from ``defaults``; others are dropped.
+
+    A row without a value in a required column fails the write, in the same pass.
+    """
     given = set(df.columns)
     picked = []
     for f in table.schema.fields:
@@ -29,7 +32,10 @@ def conform(df: DataFrame, table: Table, **defaults) -> DataFrame:
             value = F.lit(None)
         else:
             raise ValueError(f"{table.name}.{f.name} is required and has no default")
-        picked.append(value.cast(f.dataType).alias(f.name))
+        value = value.cast(f.dataType)
+        if not f.nullable:
+            value = fail_when(value.isNull(), F.lit(f"{table.name}.{f.name} is required"), value, f.dataType)
+        picked.append(value.alias(f.name))
     return df.select(*picked)
 
 
@@ -44,7 +50,7 @@ class Lake:
     Types, including those of directory columns, are always the declared ones. A table takes one
     writer at a time. Publishing ends with Spark's own swap of partition folders, which is not one
     atomic step: a driver lost during it can leave partitions missing, and what ``publish`` wrote
-    aside is then still in the shared folder, since it is discarded only after success.
+    aside is then still in the shared folder: it is removed when ``publish`` ends, not before.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -55,14 +61,17 @@ class Lake:
         return f"{self.root}/{table.zone}/{table.name}"
 
     def read(self, table: Table) -> DataFrame:
-        """The stored rows with their directory columns; no rows if nothing was written yet."""
-        schema = stored_schema(table)
+        """The stored rows with their directory columns. An absent table is an error."""
+        return self.spark.read.schema(stored_schema(table)).parquet(self.path(table))
+
+    def read_or_empty(self, table: Table) -> DataFrame:
+        """``read``, or no rows if nothing was written yet: only for tables that the jobs themselves create."""
         try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
+            return self.read(table)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], stored_schema(table))
 
     def append(self, df: DataFrame, table: Table, **defaults) -> None:
         """Add rows. Adding no rows changes nothing."""
@@ -74,10 +83,9 @@ class Lake:
             self._write(df, table, "overwrite", "static", defaults)
             return
         # Asking a deep plan whether it is empty costs about as much as running it, so run it once.
-        staged = stage(df, table.name)
-        if not staged.isEmpty():
-            self._write(staged, table, "overwrite", "static", defaults)
-        discard(staged)
+        with staged(df, table.name) as rows:
+            if not rows.isEmpty():
+                self._write(rows, table, "overwrite", "static", defaults)
 
     def replace_partitions(self, df: DataFrame, table: Table, *, rebalance: bool = True, **defaults) -> None:
         """Replace only the partitions that occur in ``df``; all others stay as they are.
@@ -97,7 +105,7 @@ class Lake:
         """
         if not keys_unique:
             require_unique_key(source, table.key)
-        stored = self.read(table).filter(touched)
+        stored = self.read_or_empty(table).filter(touched)
         if stored.isEmpty():
             self.replace_partitions(source, table)
         else:
@@ -109,9 +117,8 @@ class Lake:
         ``kept`` comes from the files about to be replaced, so it is written aside first. In an
         upsert these are the stored rows without a match; matched ones are not copied at all.
         """
-        aside = stage(conform(kept, table), f"{table.name}-kept")
-        self.replace_partitions(conform(source, table).unionByName(aside), table)
-        discard(aside)
+        with staged(conform(kept, table), f"{table.name}-kept") as aside:
+            self.replace_partitions(conform(source, table).unionByName(aside), table)
 
     def _write(self, df: DataFrame, table: Table, mode: str, overwrite: str, defaults: dict, rebalance: bool = True) -> None:
         rows = conform(df, table, **defaults)

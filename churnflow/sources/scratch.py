@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,18 +31,24 @@ def scratch_root(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and return a reader of what was written."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/churnflow/{name}-{uuid.uuid4().hex}"
+    return _write(df, _new_path(df.sparkSession, name))
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``stage`` for the time of a block: the written table is removed afterwards, also on failure."""
+    path = _new_path(df.sparkSession, name)
+    try:
+        yield _write(df, path)
+    finally:
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _new_path(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(spark)}/churnflow/{name}-{uuid.uuid4().hex}"
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(staged: DataFrame) -> None:
-    """Delete a table made by ``stage`` once nothing needs it any more."""
-    spark = staged.sparkSession
-    folders = {path.rsplit("/", 1)[0] for path in staged.inputFiles()}
-    for folder in folders:
-        if "/churnflow/" not in folder:
-            raise ValueError(f"{folder} is not a staged table")
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,6 +19,11 @@ DINERO = """
     FROM {customer} WHERE c_custkey % 10 <> 0"""
 EVALUATE = "SELECT c_custkey AS cus_cust_id_buy, CAST(c_custkey % 2 AS DECIMAL(10,0)) AS churn FROM {customer} WHERE c_custkey % 7 = 0"
 
+MARKETPLACE = """
+    SELECT o_custkey AS cus_cust_id_buy, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS spent_ml,
+      MAX(CAST(o_orderdate AS DATE)) AS recency_ml, CAST(COUNT(*) AS INT) AS frequency_ml
+    FROM {orders} WHERE o_orderstatus = 'F' GROUP BY o_custkey"""
+
 FEATURE_TOTALS = {
     "0.001": {
         "customers": 150, "spent_7d": "1082082.74", "spent_90d": "10492152.85", "payments_30d": 12,
@@ -51,7 +56,7 @@ def sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     customer = spark.read.parquet(f"{d}/customer.parquet")
     return {
         "payments": view(spark, d, "raw_payments").filter(F.col("cus_cust_id_buy") % 11 != 0),
-        "marketplace": view(spark, d, "raw_marketplace_data"),
+        "marketplace": spark.sql(MARKETPLACE, orders=spark.read.parquet(f"{d}/orders.parquet")),
         "active_user": view(spark, d, "raw_active_user"),
         "demographics": view(spark, d, "raw_demograficos").filter(F.col("cus_cust_id_buy") % 13 != 0),
         "balances": spark.sql(DINERO, customer=customer),

@@ -77,13 +77,13 @@ def test_checks_count_each_kind_of_offence(spark):
     })
     counts = {r.check_name: r.offending_rows for r in count_broken(staged, staged_event_checks(date(2023, 1, 13))).collect()}
     # 14 January is the day after, so only the two rows of 1 February are in the future; they are one event.
-    assert counts == {"null_required": 1, "date_in_future": 1, "mismatched_value": 1}
+    assert counts == {"required_value_missing": 1, "dated_after_tomorrow": 1, "value_is_not_price_times_units": 1}
 
 
 def test_failed_check_names_it_and_changes_nothing(spark, lake):
-    with pytest.raises(DataQualityError, match="check date_in_future failed with 1 offending rows"):
+    with pytest.raises(DataQualityError, match="dated_after_tomorrow: 1 rows"):
         update_ledger(lake, date(2023, 1, 14), date(2023, 1, 14), DAY1, seed_events(spark))
-    assert lake.read(LEDGER).count() == 0
+    assert lake.read_or_empty(LEDGER).count() == 0
 
 
 def staged_of(spark, *specs):
@@ -181,3 +181,9 @@ def test_ledger_job_rewrites_only_what_it_touches(spark, lake, tmp_path):
     before = rows(lake.read(LEDGER))
     update_ledger(lake, date(2023, 2, 3), as_of, DAY2, seed_events(spark).filter("purchase_date <> '1/2/2023'"))
     assert rows(lake.read(LEDGER)) == before
+
+
+def test_event_job_fails_without_the_raw_table_and_leaves_the_ledger(spark, lake):
+    with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
+        update_ledger(lake, date(2023, 2, 3))
+    assert lake.read_or_empty(LEDGER).isEmpty()

@@ -15,6 +15,7 @@ from churnflow.operators.merge import upsert
 from churnflow.operators.quality import DataQualityError
 from churnflow.plans import update_features
 from churnflow.schemas import FEATURE_KEY, FEATURES, RAW_CUSTOMER_TABLES
+from churnflow.sources import Lake
 
 NOW = datetime(2024, 1, 1)
 S = date(2019, 5, 26)
@@ -69,9 +70,9 @@ def test_several_snapshots_equal_single_builds(spark):
     assert plain(together) == sorted(apart, key=repr)
 
 
-def test_more_snapshots_than_one_pass(spark):
+def test_many_snapshots_equal_a_single_build(spark):
     raw = gapped.sources(spark, "0.001")
-    dates = [date(2001, 6, 3) - timedelta(weeks=w) for w in range(ft.SNAPSHOTS_PER_PASS + 2)]
+    dates = [date(2001, 6, 3) - timedelta(weeks=w) for w in range(15)]
     built = ft.build_features(raw, dates, NOW)
     assert built.groupBy("snapshot_date").count().filter("count = 150").count() == len(dates)
     last = built.filter(F.col("snapshot_date") == dates[-1])
@@ -217,6 +218,20 @@ def test_feature_job_upserts_into_stored_partitions(spark, lake, tmp_path):
 
 
 def test_feature_job_fails_without_customers(spark, lake):
-    with pytest.raises(DataQualityError, match=f"no features generated for snapshot_date={S}"):
+    with pytest.raises(DataQualityError, match=f"nothing was built for {S}"):
         update_features(lake, [S], NOW, tables(spark))
-    assert lake.read(FEATURES).count() == 0
+    assert lake.read_or_empty(FEATURES).count() == 0
+
+
+def test_feature_job_fails_for_each_absent_raw_table(spark, lake):
+    given = tables(spark, payments=[pay(1, S)])
+    update_features(lake, [S], NOW, given)
+    before = lake.read(FEATURES).count()
+    for absent, table in RAW_CUSTOMER_TABLES.items():
+        other = Lake(spark, f"{lake.root}-without-{absent}")
+        for name, rows in given.items():
+            if name != absent:
+                other.append(rows, RAW_CUSTOMER_TABLES[name])
+        with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
+            update_features(other, [S], NOW)
+    assert lake.read(FEATURES).count() == before

@@ -181,7 +181,7 @@ def test_promotion_leaves_one_version_in_production(spark):
 def test_train_twice_then_score(spark, lake):
     dates = [S - timedelta(weeks=w) for w in range(3)]
     update_features(lake, dates, NOW, gapped.sources(spark, "0.001"))
-    with pytest.raises(RuntimeError, match="no production model"):
+    with pytest.raises(RuntimeError, match="no promoted version"):
         score_snapshot(lake, S)
     assert train_and_register(lake, S, run_ts=NOW) == 1
     assert train_and_register(lake, S, lookback_weeks=1, run_ts=NOW + timedelta(days=1)) == 2
@@ -204,7 +204,7 @@ def test_train_twice_then_score(spark, lake):
     again = score(lake.read(FEATURES).filter(F.col("snapshot_date") == S), loaded, "2", NOW)
     same = scores.select("customer_id", "score", "prediction").exceptAll(again.select("customer_id", "score", "prediction"))
     assert same.isEmpty()
-    with pytest.raises(ValueError, match="no features available"):
+    with pytest.raises(ValueError, match="the feature table holds nothing"):
         score_snapshot(lake, date(1999, 1, 1))
 
 

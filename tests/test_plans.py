@@ -48,10 +48,11 @@ def exchanges(text):
 def test_feature_build_shuffles_do_not_grow_with_the_snapshots(big, tmp_path):
     raw = {name: stored(big, tmp_path, table) for name, table in RAW_CUSTOMER_TABLES.items()}
     texts = [
-        plan(ft.build_features(raw, [S - timedelta(weeks=w) for w in range(n)], NOW)) for n in (1, 9, ft.SNAPSHOTS_PER_PASS)]
-    # Payers, payments per day, those days by customer, and all other sources together.
-    assert [exchanges(t) for t in texts] == [4, 4, 4]
+        plan(ft.build_features(raw, [S - timedelta(weeks=w) for w in range(n)], NOW)) for n in (1, 9, 14, 60)]
+    # Last days between snapshots, those by customer, payments per day, those by customer, and all other sources.
+    assert [exchanges(t) for t in texts] == [5] * 4
     assert all(t.count("SortMergeJoin") == 2 for t in texts)
+    assert [len(re.findall(r"FileScan parquet \[.*fecha", t)) for t in texts] == [2] * 4
 
 
 def test_payment_history_reads_two_columns_and_amounts_only_recent_days(big, tmp_path):

@@ -2,10 +2,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
 
+from churnflow.operators.events import stage_events
+from churnflow.operators.features import balance_metrics
 from churnflow.operators.merge import replace_slice
 from churnflow.operators.quality import (
     Check,
@@ -18,8 +21,8 @@ from churnflow.operators.quality import (
     require_unique_key,
 )
 from churnflow.plans import load_raw_tables
-from churnflow.schemas import RAW_BALANCES, RAW_DEMOGRAPHICS, RAW_MARKETPLACE, RAW_PAYMENTS, SCORES, STAGED_EVENTS
-from churnflow.sources import discard, literal_rows, load_csv, param_query, read_snapshot, read_window, stage
+from churnflow.schemas import RAW_BALANCES, RAW_DEMOGRAPHICS, RAW_EVENTS, RAW_MARKETPLACE, RAW_PAYMENTS, SCORES, STAGED_EVENTS
+from churnflow.sources import literal_rows, load_csv, param_query, read_snapshot, read_window, stage, staged
 from churnflow.sources.lake import conform
 from churnflow.sources.scratch import scratch_root
 
@@ -150,25 +153,69 @@ def test_param_query_binds_values_and_keeps_columns_when_empty(spark):
     assert empty.columns == ["id", "name"] and empty.isEmpty()
 
 
-def test_stage_uses_the_shared_folder_and_discard_removes_only_its_own(spark):
-    staged = stage(spark.range(5), "numbers")
+def folders(spark):
+    root = Path(scratch_root(spark)) / "churnflow"
+    return set(root.iterdir()) if root.exists() else set()
+
+
+def test_stage_uses_the_shared_folder(spark):
+    rows = stage(spark.range(5), "numbers")
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert all(scratch_root(spark) in path for path in staged.inputFiles()) and staged.count() == 5
-    discard(staged)
-    with pytest.raises(PySparkException):
-        spark.read.parquet(staged.inputFiles()[0])
+    assert all(scratch_root(spark) in path for path in rows.inputFiles()) and rows.count() == 5
+
+
+def test_staged_rows_go_after_success_and_after_failure(spark):
+    before = folders(spark)
+    with staged(spark.range(5), "numbers") as rows:
+        assert rows.count() == 5 and len(folders(spark) - before) == 1
+    with pytest.raises(RuntimeError), staged(spark.range(5).filter("false"), "numbers") as rows:
+        assert rows.isEmpty()
+        raise RuntimeError
+    assert folders(spark) == before
+
+
+def test_absent_tables_are_an_error(spark, lake):
+    with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
+        lake.read(SCORES)
+    assert lake.read_or_empty(SCORES).isEmpty()
+
+
+def test_failed_load_keeps_the_old_rows(spark, tmp_path, lake):
+    good = write(tmp_path / "good.csv", "i,a,b,v\n1.0,5,,Active\n")
+    load_raw_tables(lake, {"dinero_cuenta": good})
+    before = folders(spark)
+    bad = write(tmp_path / "bad.csv", "i,a,b,v\n2.0,5,,Active\nx,1,,\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        load_raw_tables(lake, {"dinero_cuenta": bad})
+    assert [int(r.cus_cust_id_buy) for r in lake.read(RAW_BALANCES).collect()] == [1]
+    assert folders(spark) == before
+
+
+def test_load_reads_line_breaks_inside_quotes(spark, tmp_path, lake):
+    path = write(tmp_path / "d.csv", 'c,i,g,r,t,e\n"two\nlines",1,,,,\n')
+    load_raw_tables(lake, {"demograficos": path}, multiline=True)
+    assert lake.read(RAW_DEMOGRAPHICS).first().city == "two\nlines"
+
+
+def test_numbers_are_rounded_once(spark, tmp_path, lake):
+    """Prices keep their digits until they get their type, and ids theirs until they become whole."""
+    events = write(tmp_path / "c.csv", "s,u,d,t,p,n\nA,1,1/1/2023,B,1.23444996,1\n")
+    accounts = write(tmp_path / "b.csv", "i,a,b,v\n1.49996,5,,Active\n")
+    load_raw_tables(lake, {"crypto_transaction_history": events, "dinero_cuenta": accounts})
+    assert stage_events(lake.read(RAW_EVENTS)).first().purchase_price == Decimal("1.2344")
+    assert balance_metrics(lake.read(RAW_BALANCES)).first().customer_id == 1
 
 
-def test_discard_refuses_other_folders(spark, tmp_path):
-    spark.range(3).write.parquet(str(tmp_path / "kept"))
-    with pytest.raises(ValueError, match="not a staged table"):
-        discard(spark.read.parquet(str(tmp_path / "kept")))
+def test_required_columns_reject_rows_on_write(spark, lake):
+    rows = scores(spark, (1, D1, 0.1, "1")).withColumn("customer_id", F.lit(None).cast("long"))
+    with pytest.raises(PySparkException, match="churn_scoring.customer_id is required"):
+        lake.append(rows, SCORES)
 
 
 def test_checks(spark):
     df = spark.range(10)
     require(df, [Check("negative", F.col("id") < 0)])
-    with pytest.raises(DataQualityError, match="check big failed with 3 offending rows"):
+    with pytest.raises(DataQualityError, match="big: 3 rows"):
         require(df, [Check("negative", F.col("id") < 0), Check("big", F.col("id") > 6)])
     assert {r.check_name: r.offending_rows for r in count_broken(df.filter("false"), [Check("any", F.col("id") >= 0)]).collect()} == {"any": 0}
 
@@ -189,5 +236,5 @@ def test_not_null_checks_follow_the_declared_columns(spark):
 def test_required_snapshots(spark):
     df = spark.createDataFrame([(1, D1), (None, D2)], "customer_id long, snapshot_date date")
     require_snapshots(df, [D1])
-    with pytest.raises(DataQualityError, match="1 rows without customer_id"):
+    with pytest.raises(DataQualityError, match="1 rows lack a customer"):
         require_snapshots(df, [D1, D2])

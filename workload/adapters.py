@@ -43,7 +43,7 @@ VIEWS = {
     "raw_marketplace_data": """
         SELECT o_custkey AS cus_cust_id_buy, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS spent_ml,
           MAX(CAST(o_orderdate AS DATE)) AS recency_ml, CAST(COUNT(*) AS INT) AS frequency_ml
-        FROM {orders} WHERE o_orderstatus = 'F' GROUP BY o_custkey""",
+        FROM {orders} GROUP BY o_custkey""",
     "raw_evaluate": """
         SELECT doc_id AS cus_cust_id_buy, CAST(quality AS DECIMAL(10,0)) AS churn FROM {labels}""",
     "raw_crypto": """
