@@ -93,14 +93,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
-
-ORACLE_SQL: dict[str, str] = {
-    "op1_warc": """
-        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
-        d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
-        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
-        SELECT page_id, payload_bytes, payload_digest,
-          CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
-          CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
-        FROM f""",
-}

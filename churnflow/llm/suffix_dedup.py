@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from churnflow.llm.columns import require, stored
+from churnflow.llm.columns import delete, require, shared_path, stored
 from churnflow.llm.suffix_array import repeated_starts
 from churnflow.llm.textmap import pieces as slices
 
@@ -321,7 +321,8 @@ def dedup(documents: DataFrame, text: str = "text", *, length: int = LENGTH) ->
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = StructType([documents.schema[c] for c in documents.columns])
     document = StructField("document", kind)
-    blocks = stored(_blocks(documents, text, length, buckets, document), "suffix-blocks")
+    blocks_at = shared_path(spark, "suffix-blocks")
+    blocks = stored(_blocks(documents, text, length, buckets, document), "suffix-blocks", blocks_at)
     counted = blocks.filter("bucket IS NOT NULL").select("block", "bucket", "values", "several")
     again = counted.groupBy("bucket").applyInArrow(_repeated, "block string, bucket int, bits binary")
     asked = StructType([
@@ -330,6 +331,7 @@ def dedup(documents: DataFrame, text: str = "text", *, length: int = LENGTH) ->
     ])
     rows = blocks.filter("bucket IS NULL").select("block", "documents").groupBy("block").cogroup(again.groupBy("block"))
     pieces = stored(rows.applyInArrow(_ask(length, buckets, documents.columns.index(text), asked), asked), "suffix-pieces")
+    delete(spark, blocks_at)  # ``pieces`` holds the documents from here on
     answers = pieces.filter("bucket IS NOT NULL").select("block", "bucket", *[f.name for f in _ASKED]).groupBy("bucket")
     answers = answers.applyInArrow(_judge(length), "block string, bucket int, sizes binary, bits binary")
     result = StructType([
