@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date, datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from churnflow.functions import as_date
 from churnflow.operators.registry import current_model
-from churnflow.operators.scoring import DECISION_THRESHOLD, score
+from churnflow.operators.scoring import DECISION_THRESHOLD, scenario_grid, score
 from churnflow.plans.training import MODEL_NAME
 from churnflow.schemas import FEATURES, MODEL_LOG, SCORES
 from churnflow.sources import Lake, read_snapshot
@@ -32,3 +33,10 @@ def score_snapshot(lake: Lake, snapshot: date | str, threshold: float = DECISION
     scored = score(features, model, str(version), run_ts or datetime.now(timezone.utc), threshold)
     lake.replace_partitions(scored, SCORES, rebalance=False)
     return version
+
+
+def score_scenarios(lake: Lake, snapshot: date | str, scenarios: Mapping[str, Mapping[str, object]], threshold: float = DECISION_THRESHOLD, model_name: str = MODEL_NAME, run_ts: datetime | None = None) -> DataFrame:
+    """What the production model says of a snapshot under each named scenario. Nothing is stored."""
+    model, version = load_production_model(lake, model_name)
+    grid = scenario_grid(read_snapshot(lake.read(FEATURES), as_date(snapshot)), scenarios)
+    return score(grid, model, str(version), run_ts or datetime.now(timezone.utc), threshold)

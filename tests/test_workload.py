@@ -6,13 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from workload.oracle import ORACLE_SQL as ORACLE
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
-# Fitting a model has no SQL counterpart.
-WITHOUT_SQL = {"train_and_score"}
 TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date", "BOOLEAN": "boolean"}
 
 
@@ -25,8 +24,9 @@ def duck():
     connection.close()
 
 
-def test_every_query_but_model_fitting_has_sql():
-    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL and set(ORACLE) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -39,11 +39,6 @@ def test_query_agrees_with_sql(spark, duck, name):
     assert sorted(repr(tuple(r)) for r in df.select(*names).collect()) == want and want
 
 
-def test_model_fitting_scores_every_customer(spark):
-    rows = QUERIES["train_and_score"](spark, SF_DIR).collect()
-    assert len(rows) == 150 and all(0 <= r.score <= 1 and r.prediction == (r.score >= 0.5) for r in rows)
-
-
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.count() == 150 and "labeled_churn" in df.columns

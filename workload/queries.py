@@ -9,8 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, IntegerType, TimestampType
 
@@ -38,7 +42,8 @@ from churnflow.operators.scoring import (
     scenario_grid,
     score_output,
 )
-from churnflow.plans import run_event_etl, score_snapshot, train_and_register
+from churnflow.plans import run_event_etl, score_scenarios, score_snapshot, train_and_register
+from churnflow.plans.training import MODEL_NAME
 from churnflow.schemas import (
     CATEGORICAL_FEATURES,
     EVENT_KEY,
@@ -46,14 +51,16 @@ from churnflow.schemas import (
     FEATURES,
     LABEL,
     LEDGER,
+    MODEL_LOG,
     PRICE,
     RAW_EVENTS,
     RAW_OUTCOMES,
     SCORES,
+    TRAINING_RUNS,
     UNITS,
     UNKNOWN,
 )
-from churnflow.sources import literal_rows, param_query, read_snapshot, read_window, stage
+from churnflow.sources import Lake, literal_rows, param_query, read_snapshot, read_window, stage
 from workload.adapters import customer_sources, view
 from workload.stored import RUN_TS, SNAPSHOT, WEEKS, feature_lake, feature_table, new_lake
 
@@ -391,7 +398,60 @@ def _train_and_score(spark, d):
     lake = feature_lake(spark, d)
     train_and_register(lake, SNAPSHOT, run_ts=RUN_TS)
     version = score_snapshot(lake, SNAPSHOT, run_ts=RUN_TS)
-    return plain(lake.read(SCORES).filter(F.col("model_version") == str(version)).drop("model_version"))
+    scores = lake.read(SCORES).filter((F.col("model_version") == str(version)) & (F.col("snapshot_date") == date_literal(SNAPSHOT)))
+    # What holds for any fitted model: one row a customer, a chance, the decision made from it, and its registration.
+    promotions = lake.read(MODEL_LOG).filter((F.col("version") == version) & (F.col("event") == PROMOTED)).count()
+    runs = lake.read(TRAINING_RUNS).filter(F.col("model_version") == version).count()
+    return scores.select(
+        *FEATURE_KEY, F.col("score").between(0, 1).alias("score_is_a_chance"),
+        (F.col("prediction") == (F.col("score") >= 0.5).cast("int")).alias("prediction_follows"),
+        F.lit(promotions).cast("bigint").alias("promotions"), F.lit(runs).cast("bigint").alias("runs"))
+
+
+# Fixed coefficients of a model for scoring that SQL can follow; the intercept is the last.
+MODEL_WEIGHTS = {"days_since_activity": 0.011, "spent_90d": -0.0000021, "payments_30d": -0.23, "mau_mp_1": -0.05, "has_inversion": -0.31}
+MODEL_INTERCEPT = -0.4
+
+
+def fixed_model_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake with one feature snapshot and, promoted, a logistic model of the fixed coefficients."""
+    lake = new_lake(spark)
+    lake.append(read_snapshot(feature_table(spark, sf_dir), SNAPSHOT), FEATURES)
+    context = spark.sparkContext
+    weights = _py2java(context, Vectors.dense(list(MODEL_WEIGHTS.values())))
+    made = context._jvm.org.apache.spark.ml.classification.LogisticRegressionModel("fixed", weights, MODEL_INTERCEPT)
+    model = PipelineModel([
+        VectorAssembler(inputCols=list(MODEL_WEIGHTS), outputCol="features"), LogisticRegressionModel._from_java(made)])
+    path = f"{lake.root}/models/{MODEL_NAME}/v=1"
+    model.write().save(path)
+    events = [(MODEL_NAME, 1, path, event, RUN_TS) for event in (REGISTERED, PROMOTED)]
+    lake.append(spark.createDataFrame(events, MODEL_LOG.schema), MODEL_LOG)
+    return lake
+
+
+def _rounded(scores: DataFrame) -> DataFrame:
+    return plain(scores.withColumn("score", F.round("score", 9)).drop("created_at"))
+
+
+def _score_with_model(spark, d):
+    lake = fixed_model_lake(spark, d)
+    score_snapshot(lake, SNAPSHOT, run_ts=RUN_TS)
+    return _rounded(lake.read(SCORES))
+
+
+def _what_if_scores(spark, d):
+    return _rounded(score_scenarios(fixed_model_lake(spark, d), SNAPSHOT, SCENARIOS, run_ts=RUN_TS))
+
+
+def _exact_numbers(spark, d):
+    """Prices of 12 digits behind the point and account ids of 5, each rounded once."""
+    events = view(spark, d, "raw_crypto").withColumn(
+        "purchase_price", F.col("purchase_price") + F.lit("0.000049960004").cast("decimal(18,12)"))
+    accounts = view(spark, d, "raw_dinero_cuenta").withColumn(
+        "cus_cust_id_buy", F.col("cus_cust_id_buy") + F.lit("0.89996").cast("decimal(6,5)"))
+    prices = ev.clean_events(events).groupBy("purchase_price").agg(F.count("*").alias("n"))
+    ids = ft.balance_metrics(accounts).select(F.col("customer_id").cast("decimal(18,4)").alias("number"), F.lit(1).cast("bigint").alias("n"))
+    return plain(prices.select(F.lit("price").alias("kind"), F.col("purchase_price").alias("number"), "n").unionByName(ids.select(F.lit("id").alias("kind"), "number", "n")))
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -439,4 +499,7 @@ QUERIES: dict[str, Query] = {
     "scenario_grid": _scenario_grid,
     "category_domain_check": _category_domain_check,
     "train_and_score": _train_and_score,
+    "score_with_model": _score_with_model,
+    "what_if_scores": _what_if_scores,
+    "exact_numbers": _exact_numbers,
 }
