@@ -118,6 +118,9 @@ class _Reader(HTMLParser):
 
 def blocks(html: str) -> list[Block]:
     """Blocks in page order, white space inside them turned into single spaces, references decoded."""
+    last = html.rfind("<")
+    if last > html.rfind(">") and html[last + 1 : last + 2].isalpha():
+        html = html[:last]  # a page that ends inside a tag: the tag is dropped, as browsers do
     reader = _Reader()
     reader.feed(html)
     reader.close()
