@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from churnflow.functions import split_bucket
 from churnflow.schemas import BINARY_FEATURES, CATEGORICAL_FEATURES, FEATURE_KEY, LABEL, NUMERIC_FEATURES, UNKNOWN
@@ -78,10 +78,13 @@ def churn_estimator(rows: DataFrame) -> Pipeline:
 
 
 def category_index(rows: DataFrame, categories: Sequence[str] = tuple(CATEGORICAL_FEATURES)) -> DataFrame:
-    """(feature, label, n_rows, idx) for all features: most frequent label first, ties by label."""
-    pairs = rows.select(F.inline(F.array(*(
-        F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c), F.lit(UNKNOWN)).alias("label")) for c in categories
-    ))))
+    """(feature, label, n_rows, idx) for all features, as a fitted index numbers them: most frequent label
+    first, ties by label. The labels are those a fitted model holds anyway."""
+    filled = rows.select(*(F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in categories))
+    fitted = category_stages(categories)[0].fit(filled)
+    numbered = [
+        (feature, label, i) for feature, labels in zip(categories, fitted.labelsArray, strict=True) for i, label in enumerate(labels)]
+    pairs = filled.select(F.inline(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).alias("label")) for c in categories))))
     counted = pairs.groupBy("feature", "label").agg(F.count("*").alias("n_rows"))
-    order = Window.partitionBy("feature").orderBy(F.desc("n_rows"), F.asc("label"))
-    return counted.withColumn("idx", F.row_number().over(order) - 1)
+    index = rows.sparkSession.createDataFrame(numbered, "feature string, label string, idx int")
+    return counted.join(index, ["feature", "label"]).select("feature", "label", "n_rows", "idx")
