@@ -30,6 +30,7 @@ def update_ledger(lake: Lake, ds: date | str, as_of: date | None = None, run_ts:
     Only months that occur in the staged rows, or lie within the re-check range, are read and
     rewritten. Running it twice gives the same ledger as running it once.
     """
+    lake.recover(LEDGER)
     ds, run_ts = as_date(ds), run_ts or datetime.now(timezone.utc)
     raw = lake.read(RAW_EVENTS) if raw is None else raw
     lake.replace(stage_events(raw), STAGED_EVENTS, load_ts=run_ts)

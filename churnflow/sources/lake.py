@@ -12,7 +12,7 @@ from churnflow.functions import fail_when, timestamp_literal
 from churnflow.operators.merge import survivors
 from churnflow.operators.quality import require_unique_key
 from churnflow.schemas import Table
-from churnflow.sources.scratch import staged
+from churnflow.sources.scratch import new_path, remove, staged
 
 
 def conform(df: DataFrame, table: Table, **defaults) -> DataFrame:
@@ -48,9 +48,10 @@ class Lake:
     """Reads and writes the tables of ``schemas``.
 
     Types, including those of directory columns, are always the declared ones. A table takes one
-    writer at a time. Publishing ends with Spark's own swap of partition folders, which is not one
-    atomic step: a driver lost during it can leave partitions missing, and what ``publish`` wrote
-    aside is then still in the shared folder: it is removed when ``publish`` ends, not before.
+    writer at a time. ``upsert`` and ``publish`` are all or nothing: what they are about to put in place is
+    first written aside in full, and a note in the table's folder says so until the swap of partition
+    folders is over. A reader that finds the note is refused rather than shown part of a table, and the next
+    writer, or ``recover``, finishes the swap from the rows set aside.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -62,6 +63,11 @@ class Lake:
 
     def read(self, table: Table) -> DataFrame:
         """The stored rows with their directory columns. An absent table is an error."""
+        if self._note(table) is not None:
+            raise RuntimeError(f"{table.name} is being replaced, or that was cut short: wait, or call recover")
+        return self._rows(table)
+
+    def _rows(self, table: Table) -> DataFrame:
         return self.spark.read.schema(stored_schema(table)).parquet(self.path(table))
 
     def read_or_empty(self, table: Table) -> DataFrame:
@@ -105,20 +111,61 @@ class Lake:
         """
         if not keys_unique:
             require_unique_key(source, table.key)
+        self.recover(table)
         stored = self.read_or_empty(table).filter(touched)
-        if stored.isEmpty():
-            self.replace_partitions(source, table)
-        else:
-            self.publish(survivors(stored, source, table.key), source, table)
+        self.publish(survivors(stored, source, table.key), source, table)
 
     def publish(self, kept: DataFrame, source: DataFrame, table: Table) -> None:
-        """Replace the partitions of ``source`` and ``kept`` by the rows of both.
+        """Replace the partitions of ``source`` and ``kept`` by the rows of both, all or nothing.
 
-        ``kept`` comes from the files about to be replaced, so it is written aside first. In an
-        upsert these are the stored rows without a match; matched ones are not copied at all.
+        ``kept`` comes from the files about to be replaced. In an upsert these are the stored rows without
+        a match; matched ones are not copied at all.
         """
-        with staged(conform(kept, table), f"{table.name}-kept") as aside:
-            self.replace_partitions(conform(source, table).unionByName(aside), table)
+        aside = new_path(self.spark, f"{table.name}-new")
+        try:
+            conform(source, table).unionByName(conform(kept, table)).write.parquet(aside)
+        except BaseException:
+            remove(self.spark, aside)
+            raise
+        self._set_note(table, aside)
+        self.recover(table)
+
+    def recover(self, table: Table) -> None:
+        """Finish a replacement that was cut short, if there is one. Doing it again changes nothing."""
+        aside = self._note(table)
+        if aside is None:
+            return
+        self.replace_partitions(self.spark.read.schema(table.schema).parquet(aside), table)
+        self._set_note(table, None)
+        remove(self.spark, aside)
+
+    def _note(self, table: Table) -> str | None:
+        """Where the rows of an unfinished replacement are."""
+        files, path = self._note_file(table)
+        if not files.exists(path):
+            return None
+        with_text = self.spark._jvm.org.apache.commons.io.IOUtils
+        stream = files.open(path)
+        try:
+            return with_text.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _set_note(self, table: Table, aside: str | None) -> None:
+        files, path = self._note_file(table)
+        if aside is None:
+            files.delete(path, False)
+            return
+        # Renamed into place, so a note is there in full or not at all.
+        draft = path.suffix(".draft")
+        stream = files.create(draft, True)
+        stream.write(bytearray(aside, "utf-8"))
+        stream.close()
+        files.rename(draft, path)
+
+    def _note_file(self, table: Table):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/_replacing")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def _write(self, df: DataFrame, table: Table, mode: str, overwrite: str, defaults: dict, rebalance: bool = True) -> None:
         rows = conform(df, table, **defaults)

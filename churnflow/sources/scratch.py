@@ -31,24 +31,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and return a reader of what was written."""
-    return _write(df, _new_path(df.sparkSession, name))
+    return _write(df, new_path(df.sparkSession, name))
 
 
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``stage`` for the time of a block: the written table is removed afterwards, also on failure."""
-    path = _new_path(df.sparkSession, name)
+    path = new_path(df.sparkSession, name)
     try:
         yield _write(df, path)
     finally:
-        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        remove(df.sparkSession, path)
 
 
-def _new_path(spark: SparkSession, name: str) -> str:
+def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/churnflow/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

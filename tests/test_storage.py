@@ -72,6 +72,11 @@ def test_reload_replaces_raw_tables(spark, tmp_path, lake):
         load_raw_tables(lake, {"nothing": path})
 
 
+def folders(spark):
+    root = Path(scratch_root(spark)) / "churnflow"
+    return set(root.iterdir()) if root.exists() else set()
+
+
 def scores(spark, *rows):
     return spark.createDataFrame(
         [(c, d, s, int(s >= 0.5), v, NOW) for c, d, s, v in rows], SCORES.schema)
@@ -108,6 +113,30 @@ def test_upsert_into_a_stored_table(spark, lake):
     assert state(lake.read(SCORES)) == expected
 
 
+def test_an_upsert_that_breaks_off_leaves_the_old_or_the_new_table(spark, lake, monkeypatch):
+    touched = F.col("snapshot_date") == D2
+    lake.append(scores(spark, (1, D2, 0.1, "1"), (2, D2, 0.2, "1"), (9, D1, 0.9, "1")), SCORES)
+    old = state(lake.read(SCORES))
+    source = scores(spark, (2, D2, 0.7, "1"))
+    before = folders(spark)
+    with monkeypatch.context() as broken:  # before the rows are set aside
+        broken.setattr(lake, "_set_note", lambda *_: pytest.fail("nothing was written aside"))
+        failing = source.withColumn("score", F.raise_error(F.lit("lost")).cast("double"))
+        with pytest.raises(PySparkException, match="lost"):
+            lake.upsert(failing, SCORES, touched, keys_unique=True)
+    assert state(lake.read(SCORES)) == old and folders(spark) == before
+    with monkeypatch.context() as broken:  # during the swap
+        broken.setattr(lake, "replace_partitions", lambda *_, **__: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            lake.upsert(source, SCORES, touched)
+    with pytest.raises(RuntimeError, match="is being replaced"):
+        lake.read(SCORES)
+    for _ in range(2):
+        lake.recover(SCORES)
+        assert state(lake.read(SCORES)) == [(1, D2, "1", 0.1), (2, D2, "1", 0.7), (9, D1, "1", 0.9)]
+    assert folders(spark) == before
+
+
 def test_append_of_nothing_changes_nothing(spark, lake):
     lake.append(scores(spark, (1, D1, 0.1, "1")), SCORES)
     lake.append(scores(spark), SCORES)
@@ -153,11 +182,6 @@ def test_param_query_binds_values_and_keeps_columns_when_empty(spark):
     assert empty.columns == ["id", "name"] and empty.isEmpty()
 
 
-def folders(spark):
-    root = Path(scratch_root(spark)) / "churnflow"
-    return set(root.iterdir()) if root.exists() else set()
-
-
 def test_stage_uses_the_shared_folder(spark):
     rows = stage(spark.range(5), "numbers")
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
