@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
 from churnflow.llm.columns import require, stored
-from churnflow.llm.textmap import pieces
+from churnflow.llm.textmap import pieces, release
 
 BLOCK_BYTES = 32 << 20
 ID = np.dtype("<u4")
@@ -167,6 +167,8 @@ def _blocks(documents: DataFrame, text: str, kept: list[str], buckets: int) -> D
                     made, block = made + 1, _Block()
         if block.parts:
             yield from block.rows(f"{partition}-{made}-{block.digest:08x}", buckets, kind)
+        del block
+        release()
 
     return source.mapInArrow(run, schema)
 
@@ -232,6 +234,7 @@ def encode(
                     out.append(table[np.repeat(first[numbers] - ends + n, n) + np.arange(total)].tobytes())
                 documents = batch.column("documents").slice(i, 1).flatten()
                 yield pa.RecordBatch.from_arrays([documents, pa.array(out, pa.binary())], names=schema.names)
+        release()
 
     rows = blocks.filter("bucket IS NULL").select("block", "bucket", "documents", "lengths", "numbers")
     both = answers.unionByName(rows, allowMissingColumns=True)
@@ -283,5 +286,6 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "te
                     out.append(b" ".join([table[i] for i in numbers]))
                 decoded = pa.array(out, pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=schema.names)
+        release()
 
     return encoded.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)

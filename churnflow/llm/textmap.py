@@ -34,6 +34,11 @@ def pieces(batch: pa.RecordBatch, texts: pa.Array, limit: int = PIECE_BYTES) ->
     yield batch.slice(start)
 
 
+def release() -> None:
+    """Give back what Arrow keeps of freed memory, since a worker process outlives its task."""
+    pa.default_memory_pool().release_unused()
+
+
 def with_text_columns(
     df: DataFrame, text: str, added: StructType, factory: Callable[[], Callable[[list[str]], list[list]]]
 ) -> DataFrame:
@@ -56,6 +61,7 @@ def with_text_columns(
                 values = work([t or "" for t in batch.column(reads).to_pylist()])
                 arrays = [pa.array(v, t) if not isinstance(v, pa.Array) else v for v, t in zip(values, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(batch.columns[: len(kept)] + arrays, names=schema.names)
+        release()
 
     extra = [] if text in kept else [F.col(f"`{text}`").alias(_TEXT)]
     return df.select(*[F.col(f"`{c}`") for c in kept], *extra).mapInArrow(run, schema)
