@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -54,7 +55,7 @@ class WordEncoder:
     def __call__(self, words: list[bytes]) -> list[bytes]:
         """Little-endian ids of each word."""
         found = self._tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, ID).tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def pieces(self) -> list[str | None]:
         size = max(self._tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1
@@ -66,21 +67,18 @@ _CLASSES = 4 ** np.arange(2, 11)
 _FIELDS = ["block", "bucket", "classes", "words", "documents", "lengths", "numbers"]
 
 
-_CODEC = pa.Codec("zstd", compression_level=6)
-
-
-def _squeeze(data: bytes) -> bytes:
+def _squeeze(data: bytes, level: int = 6) -> bytes:
     """Compressed, with the length before it."""
-    return len(data).to_bytes(8, "little") + _CODEC.compress(data, asbytes=True)
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(data, asbytes=True)
 
 
 def _expand(data: bytes) -> bytes:
     return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
 
 
-def _pack(numbers: np.ndarray) -> bytes:
+def _pack(numbers: np.ndarray, level: int = 6) -> bytes:
     """32-bit numbers as four planes of bytes, compressed: the high ones are nearly all zero."""
-    return _squeeze(np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes())
+    return _squeeze(np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes(), level)
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -90,7 +88,8 @@ def _unpack(data: bytes) -> np.ndarray:
 class _Block:
     """Documents as numbers of words, and the words."""
 
-    def __init__(self) -> None:
+    def __init__(self, compact: bool) -> None:
+        self.compact, self.level = compact, 6 if compact else 1
         self.numbers: dict[bytes, int] = {}
         self.parts: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         self.size = 0
@@ -117,10 +116,11 @@ class _Block:
         rank = np.empty(len(words), np.int64)
         rank[np.argsort(-often, kind="stable")] = np.arange(len(words))
         group = np.searchsorted(_CLASSES, rank, "right")
-        # Words are numbered by class, then bucket; a bucket lists its words by class. Among these they are
-        # in alphabetic order, in which both words and their ids take least room.
-        spelling = np.empty(len(words), np.int64)
-        spelling[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
+        # Words are numbered by class, then bucket; a bucket lists its words by class. Among these, alphabetic
+        # order makes both words and their ids take least room.
+        spelling = np.arange(len(words))
+        if self.compact:
+            spelling[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
         place = np.empty(len(words), np.int32)
         place[np.lexsort((spelling, bucket, group))] = np.arange(len(words), dtype=np.int32)
         listed = np.lexsort((spelling, group, bucket))
@@ -128,7 +128,7 @@ class _Block:
             yield pa.RecordBatch.from_arrays([
                 pa.array([name]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
                 pa.ListArray.from_arrays(pa.array([0, len(documents)], pa.int32()), documents).cast(kind),
-                pa.array([lengths.tobytes()], pa.binary()), pa.array([_pack(place[coded])], pa.binary()),
+                pa.array([lengths.tobytes()], pa.binary()), pa.array([_pack(place[coded], self.level)], pa.binary()),
             ], names=_FIELDS)
         found, first = np.unique(bucket[listed], return_index=True)
         bounds = [*first.tolist(), len(words)]
@@ -136,7 +136,7 @@ class _Block:
         for low, high in zip(bounds, bounds[1:]):
             mine = listed[low:high]
             classes.append(np.bincount(group[mine], minlength=len(_CLASSES) + 1).astype("<i4").tobytes())
-            packed.append(_squeeze(b"\n".join([words[i] for i in mine.tolist()])))
+            packed.append(_squeeze(b"\n".join([words[i] for i in mine.tolist()]), self.level))
         n = len(packed)
         yield pa.RecordBatch.from_arrays([
             pa.array([name] * n, pa.string()), pa.array(found, pa.int32()), pa.array(classes, pa.binary()), pa.array(packed, pa.binary()),
@@ -144,7 +144,7 @@ class _Block:
         ], names=_FIELDS)
 
 
-def _blocks(documents: DataFrame, text: str, kept: list[str], buckets: int) -> DataFrame:
+def _blocks(documents: DataFrame, text: str, kept: list[str], buckets: int, compact: bool) -> DataFrame:
     whole = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("none"))
     source = documents.select(whole.alias("document"), F.col(f"`{text}`").cast("binary").alias("text"))
     schema = StructType([
@@ -157,14 +157,14 @@ def _blocks(documents: DataFrame, text: str, kept: list[str], buckets: int) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        partition, made, block = TaskContext.get().partitionId(), 0, _Block()
+        partition, made, block = TaskContext.get().partitionId(), 0, _Block(compact)
         kind = to_arrow_type(schema["documents"].dataType)
         for whole in batches:
             for batch in pieces(whole, whole.column(1)):
                 block.add(batch.column(0), batch.column(1))
                 if block.size >= BLOCK_BYTES:
                     yield from block.rows(f"{partition}-{made}-{block.digest:08x}", buckets, kind)
-                    made, block = made + 1, _Block()
+                    made, block = made + 1, _Block(compact)
         if block.parts:
             yield from block.rows(f"{partition}-{made}-{block.digest:08x}", buckets, kind)
         del block
@@ -174,17 +174,17 @@ def _blocks(documents: DataFrame, text: str, kept: list[str], buckets: int) -> D
 
 
 def encode(
-    documents: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", *, blocks_at: str | None = None
+    documents: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", *, blocks_at: str | None = None, compact: bool = True
 ) -> DataFrame:
     """``documents`` without ``text`` and with ``ids``: little-endian unsigned 32-bit ids as binary.
 
     ``tokenizer`` is the content of a tokenizer file. ``blocks_at`` names the folder of the blocks, for a caller
-    that stores the result and deletes them.
+    that stores the result and deletes them. Blocks that are not ``compact`` take less time and more room.
     """
     require(documents, text)
     spark = documents.sparkSession
     kept = [c for c in documents.columns if c not in (text, ids)]
-    blocks = stored(_blocks(documents, text, kept, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bpe-blocks", blocks_at)
+    blocks = stored(_blocks(documents, text, kept, int(spark.conf.get("spark.sql.shuffle.partitions")), compact), "bpe-blocks", blocks_at)
     shared = spark.sparkContext.broadcast(tokenizer)
 
     def encode_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,7 +40,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = shared_path(spark, "bpe-blocks")
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file(), blocks_at=blocks)
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file(), blocks_at=blocks, compact=False)
     return token_store.round_trip(encoded, end_id=2, spent=blocks)
 
 
