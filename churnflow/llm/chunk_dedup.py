@@ -5,14 +5,16 @@ A gear hash rolls over the bytes of a text; a chunk ends after a byte whose hash
 same way wherever it stands, and an insertion moves no cut beyond its neighbourhood. Cuts move on to the
 next character, so no character is split.
 
-Of the chunks with one digest, the first stays: that of the smallest document id (nulls last), then of the
-smallest offset. Later ones are removed where consecutive ones have at least ``MIN_RUN`` bytes together;
-shorter repeats, such as stock phrases and lines, stay. Texts of less than that are never changed. A copy of a
-whole text is a run of removed chunks and is left empty.
+Compared are windows: the ``MIN_RUN`` bytes that lie around a cut, from ``LEADS`` bytes before it on, and chunks
+that are longer. Of the windows with one digest, the first stays: that of the smallest document id (nulls
+last), then of the smallest offset. The bytes of later ones are removed, but for parts of characters at their
+ends. So all that goes stands in one piece of ``MIN_RUN`` bytes at one earlier place, which may overlap it;
+shorter repeats, such as stock phrases and lines, stay in whatever order they come. Texts of less than that
+are never changed. The windows of a text leave no gap, so a copy of a whole text is left empty.
 
 Tasks collect blocks of about ``BLOCK_BYTES`` of text and send each digest once a block to its bucket, with the
-first document that has it. Buckets answer each block with one bit a digest: whether the first chunk is
-here. So a chunk that a third of all documents have is one row a block, and no task sees all its copies.
+first document that has it. Buckets answer each block with one bit a digest: whether the first window is
+here. So a window that a third of all documents have is one row a block, and no task sees all its copies.
 Blocks are written to the shared folder, so that the answers always meet the blocks they were made for.
 
 Null texts stay null and have no bytes. Repeated rows: the first one in a block stays, blocks in order of
@@ -36,6 +38,8 @@ from churnflow.llm.textmap import pieces
 
 REACH = 12
 MIN_RUN = 160
+# A cut depends on 28 bytes before it, so a window has them all.
+LEADS = (28,)
 BLOCK_BYTES = 16 << 20
 _DIGEST = np.dtype("<u8")
 _LAST = np.iinfo(np.int64).max
@@ -76,14 +80,20 @@ def cuts(data: bytes) -> np.ndarray:
     return np.unique(np.append(ends, n))
 
 
-def digests(data: bytes, ends: np.ndarray) -> np.ndarray:
-    from xxhash import xxh3_64_intdigest
+def windows(ends: np.ndarray, size: int) -> np.ndarray:
+    """Byte ranges [start, end) to compare, in a text with these chunks; none if it has less than ``size`` bytes."""
+    if not len(ends) or ends[-1] < size:
+        return np.zeros((0, 2), np.int64)
+    at = np.concatenate(([0], ends))
+    starts = np.unique(np.clip(at - np.array(LEADS)[:, None], 0, at[-1] - size))
+    long = np.flatnonzero(np.diff(at) > size)  # windows around its ends would leave a gap
+    return np.concatenate((np.stack((starts, starts + size), 1), np.stack((at[long], at[long + 1]), 1)))
 
-    view, out, start = memoryview(data), [], 0
-    for end in ends.tolist():
-        out.append(xxh3_64_intdigest(view[start:end]))
-        start = end
-    return np.array(out, _DIGEST)
+
+def digests(data: bytes, ranges: np.ndarray) -> np.ndarray:
+    from xxhash import xxh3_64_digest
+
+    return np.frombuffer(b"".join([xxh3_64_digest(data[a:b]) for a, b in ranges.tolist()]), ">u8").astype(_DIGEST)
 
 
 def _squeeze(values: np.ndarray) -> bytes:
@@ -98,7 +108,8 @@ def _expand(data: bytes, kind: str) -> np.ndarray:
 
 
 class _Block:
-    def __init__(self) -> None:
+    def __init__(self, min_run: int) -> None:
+        self.min_run = min_run
         self.size = self.digest = 0
         self.parts: list[pa.Array] = []
         self.found: list[np.ndarray] = []
@@ -109,7 +120,7 @@ class _Block:
             text = value.as_py() or b""
             self.size += len(text)
             self.digest = zlib.crc32(text, zlib.crc32(len(text).to_bytes(8, "little"), self.digest))
-            found = np.unique(digests(text, cuts(text)))
+            found = np.unique(digests(text, windows(cuts(text), self.min_run)))
             self.found.append(found)
             self.owners.append(np.full(len(found), _LAST if number is None else number, np.int64))
         self.parts.append(documents)
@@ -138,7 +149,7 @@ class _Block:
         ], names=fields)
 
 
-def _blocks(documents: DataFrame, doc_id: str, text: str, buckets: int) -> DataFrame:
+def _blocks(documents: DataFrame, doc_id: str, text: str, buckets: int, min_run: int) -> DataFrame:
     source = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("document"),
         F.col(f"`{doc_id}`").cast("long").alias("number"), F.col(f"`{text}`").cast("binary").alias("text"),
@@ -151,14 +162,14 @@ def _blocks(documents: DataFrame, doc_id: str, text: str, buckets: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        partition, made, block = TaskContext.get().partitionId(), 0, _Block()
+        partition, made, block = TaskContext.get().partitionId(), 0, _Block(min_run)
         kind = to_arrow_type(schema["documents"].dataType)
         for whole in batches:
             for batch in pieces(whole, whole.column(2)):
                 block.add(*batch.columns)
                 if block.size >= BLOCK_BYTES:
                     yield from block.rows(f"{partition:06d}-{made:06d}-{block.digest:08x}", buckets, kind)
-                    made, block = made + 1, _Block()
+                    made, block = made + 1, _Block(min_run)
         if block.parts:
             yield from block.rows(f"{partition:06d}-{made:06d}-{block.digest:08x}", buckets, kind)
 
@@ -166,7 +177,7 @@ def _blocks(documents: DataFrame, doc_id: str, text: str, buckets: int) -> DataF
 
 
 def _own(group: pa.Table) -> pa.Table:
-    """For the blocks of one bucket, bits: whether the block has the first chunk of each of its digests."""
+    """For the blocks of one bucket, bits: whether the block has the first window of each of its digests."""
     group = group.sort_by("block")
     found = [np.cumsum(_expand(v, "<u8"), dtype=_DIGEST) for v in group.column("digests").to_pylist()]
     owners = np.concatenate([_expand(v, "<i8") for v in group.column("owners").to_pylist()])
@@ -182,22 +193,29 @@ def _own(group: pa.Table) -> pa.Table:
     })
 
 
-def removed_runs(ends: np.ndarray, later: np.ndarray, min_run: int) -> np.ndarray:
-    """Byte ranges [start, end) of consecutive chunks marked ``later`` with ``min_run`` bytes at least."""
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], later.astype(np.int8), [0])))).reshape(-1, 2)
-    places = np.concatenate(([0], ends))
-    runs = places[edges].reshape(-1, 2)
-    return runs[runs[:, 1] - runs[:, 0] >= min_run]
+def removed_runs(data: bytes, later: np.ndarray) -> np.ndarray:
+    """Byte ranges [start, end) that the windows ``later`` cover, of whole characters."""
+    if not len(later):
+        return later
+    later = later[np.argsort(later[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(later[:, 1])
+    fresh = np.flatnonzero(np.append(True, later[1:, 0] > reach[:-1]))
+    runs = np.stack((later[fresh, 0], reach[np.append(fresh[1:], len(later)) - 1]), 1)
+    inside = np.append((np.frombuffer(data, np.uint8) & 0xC0) == 0x80, False)
+    for _ in range(3):
+        runs[:, 0] += inside[runs[:, 0]]
+        runs[:, 1] -= inside[runs[:, 1]]
+    return runs
 
 
 def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", *, min_run: int = MIN_RUN) -> DataFrame:
-    """``documents`` with repeated chunks cut out of ``text``, and ``n_bytes`` (before), ``n_chunks``,
+    """``documents`` with repeated windows cut out of ``text``, and ``n_bytes`` (before), ``n_chunks``,
     ``n_removed`` (bytes) and ``n_spans`` (removed runs)."""
     require(documents, doc_id, text)
     counted = ["n_bytes", "n_chunks", "n_removed", "n_spans"]
     documents = documents.drop(*counted)
     spark = documents.sparkSession
-    blocks = stored(_blocks(documents, doc_id, text, int(spark.conf.get("spark.sql.shuffle.partitions"))), "chunk-blocks")
+    blocks = stored(_blocks(documents, doc_id, text, int(spark.conf.get("spark.sql.shuffle.partitions")), min_run), "chunk-blocks")
     sent = blocks.filter("bucket IS NOT NULL").select("block", "bucket", "digests", "owners")
     answers = sent.groupBy("bucket").applyInArrow(_own, "block string, bucket int, n int, bits binary")
     columns = documents.columns
@@ -210,11 +228,12 @@ def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", *, m
         whole = pa.concat_arrays([c.flatten() for c in mine.column("documents").chunks])
         fields = whole.flatten()
         ids, texts = fields[ids_at].to_pylist(), fields[text_at]
-        ends, found, at = [], [], []
+        ends, ranges, found = [], [], []
         for value in texts:
             data = (value.as_py() or "").encode("utf-8")
             ends.append(cuts(data))
-            found.append(digests(data, ends[-1]))
+            ranges.append(windows(ends[-1], min_run))
+            found.append(digests(data, ranges[-1]))
         sizes = [len(f) for f in found]
         every = np.concatenate(found)
         named, number = np.unique(every, return_inverse=True)
@@ -227,16 +246,18 @@ def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", *, m
         kept &= first_here[number]
         out = {name: [] for name in counted}
         new, low = [], 0
-        for value, own_ends, size in zip(texts, ends, sizes, strict=True):
-            runs = removed_runs(own_ends, ~kept[low : low + size], min_run)
-            low += size
+        for value, own_ends, own_ranges in zip(texts, ends, ranges, strict=True):
+            later = own_ranges[~kept[low : low + len(own_ranges)]]
+            low += len(own_ranges)
             value = value.as_py()
-            out["n_bytes"].append(int(own_ends[-1]) if size else 0)
-            out["n_chunks"].append(size)
+            data = (value or "").encode("utf-8") if len(later) else b""
+            runs = removed_runs(data, later)
+            out["n_bytes"].append(int(own_ends[-1]) if len(own_ends) else 0)
+            out["n_chunks"].append(len(own_ends))
             out["n_removed"].append(int((runs[:, 1] - runs[:, 0]).sum()))
             out["n_spans"].append(len(runs))
             if len(runs):
-                data, parts, at = value.encode("utf-8"), [], 0
+                parts, at = [], 0
                 for start, end in runs.tolist():
                     parts.append(data[at:start])
                     at = end

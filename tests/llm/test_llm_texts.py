@@ -221,6 +221,36 @@ def test_chunk_dedup(documents, texts, nothing, monkeypatch):
     assert chunk_dedup.dedup(nothing).count() == 0
 
 
+def covered_by_earlier(texts, size):
+    """Brute force: bytes of each text inside a string of ``size`` bytes that starts at an earlier place, too."""
+    seen, out = set(), []
+    for data in texts:
+        hit = np.zeros(len(data), bool)
+        for k in range(len(data) - size + 1):
+            if data[k : k + size] in seen:
+                hit[k : k + size] = True
+            seen.add(data[k : k + size])
+        out.append(hit)
+    return out
+
+
+def test_chunks_of_stock_lines_in_a_new_order_stay(spark, monkeypatch):
+    monkeypatch.setattr(chunk_dedup, "BLOCK_BYTES", 20_000)
+    rng = random.Random(12)
+    stock = [words(rng, rng.randint(6, 14)) for _ in range(200)]
+    texts = ["\n".join(rng.choices(stock, k=30)) for _ in range(150)]
+    texts[70] = texts[20][300:1100] + "\n" + texts[70]
+    rows = chunk_dedup.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    hits = covered_by_earlier([t.encode() for t in texts], chunk_dedup.MIN_RUN)
+    for r in rows:
+        left, given, hit = iter(r.text.encode()), texts[r.doc_id].encode(), hits[r.doc_id]
+        assert r.n_removed <= hit.sum() and len(r.text.encode()) == len(given) - r.n_removed
+        # What cannot go is still there, in its order.
+        assert all(b in left for b in (g for g, h in zip(given, hit, strict=True) if not h))
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[70].n_removed > 700 and sum(r.n_removed == 0 for r in rows) == sum(not h.any() for h in hits) > 50
+
+
 def test_cuts_follow_insertions():
     rng = random.Random(5)
     data = words(rng, 3000).encode()
