@@ -10,7 +10,8 @@ that are longer. Of the windows with one digest, the first stays: that of the sm
 last), then of the smallest offset. The bytes of later ones are removed, but for parts of characters at their
 ends. So all that goes stands in one piece of ``MIN_RUN`` bytes at one earlier place, which may overlap it;
 shorter repeats, such as stock phrases and lines, stay in whatever order they come. Texts of less than that
-are never changed. The windows of a text leave no gap, so a copy of a whole text is left empty.
+are never changed. The windows of a text leave no gap, so a copy of a whole text is left empty. Other repeats
+of ``MIN_RUN`` bytes and little more may hold no window and stay; the README has how many.
 
 Tasks collect blocks of about ``BLOCK_BYTES`` of text and send each digest once a block to its bucket, with the
 first document that has it. Buckets answer each block with one bit a digest: whether the first window is
@@ -38,8 +39,9 @@ from churnflow.llm.textmap import pieces
 
 REACH = 12
 MIN_RUN = 160
-# A cut depends on 28 bytes before it, so a window has them all.
-LEADS = (28,)
+# A cut depends on 28 bytes before it and 12 after. A repeat of n bytes is found if one of its cuts lies between
+# a lead and n - MIN_RUN bytes more; with two leads one may lie in either of two stretches.
+LEADS = (28, 88)
 BLOCK_BYTES = 16 << 20
 _DIGEST = np.dtype("<u8")
 _LAST = np.iinfo(np.int64).max

@@ -251,6 +251,20 @@ def test_chunks_of_stock_lines_in_a_new_order_stay(spark, monkeypatch):
     assert by_id[70].n_removed > 700 and sum(r.n_removed == 0 for r in rows) == sum(not h.any() for h in hits) > 50
 
 
+def test_repeats_little_longer_than_a_window_go(spark):
+    rng = random.Random(6)
+
+    def some(n, longest):
+        return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, longest))) for _ in range(n))
+
+    passages = [some(51, 5) for _ in range(150)] + [some(80, 6)[:180] for _ in range(150)]
+    rows = [(2 * i + k, f"{some(30, 8)} {p} {some(30, 8)}") for i, p in enumerate(passages) for k in (0, 1)]
+    removed = {r.doc_id: r.n_removed for r in chunk_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = [removed[2 * i + 1] > 0 for i in range(len(passages))]
+    assert not any(removed[2 * i] for i in range(len(passages)))
+    assert sum(found[:150]) >= 148 and sum(found[150:]) >= 138
+
+
 def test_cuts_follow_insertions():
     rng = random.Random(5)
     data = words(rng, 3000).encode()
