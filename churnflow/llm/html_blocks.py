@@ -9,6 +9,8 @@ from html.parser import HTMLParser
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template svg math head title iframe object textarea select datalist audio video canvas".split())
+# Anything else directly in a head ends it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -74,6 +76,10 @@ class _Reader(HTMLParser):
         return 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "body" and (at := self._find({"head"}, set())):
+            self._pop_to(at)
+        elif tag not in IN_HEAD and self._stack[-1].tag == "head":
+            self._pop_to(len(self._stack) - 1)
         if tag in BLOCK:
             self._flush()
             if tag in _ENDS_P and (at := self._find({"p"}, {"button", "td", "th", "table"})):
@@ -103,6 +109,8 @@ class _Reader(HTMLParser):
             self._flush()
 
     def handle_data(self, data: str) -> None:
+        if self._stack[-1].tag == "head" and not data.isspace():
+            self._pop_to(len(self._stack) - 1)
         here = self._stack[-1]
         if here.silent:
             return

@@ -125,6 +125,15 @@ def test_blocks():
     assert blocks("") == [] and [b.text for b in blocks("<p>cut short <b")] == ["cut short"]
 
 
+def test_head_without_end_tag():
+    for start in ("<body>", "", "<body class=x>\n"):
+        page = f"<html><head>\n<meta charset=utf-8><title>t</title><style>p{{}}</style><noscript>n</noscript>\n{start}<article><h1>One</h1><p>Two three, four.</article></html>"
+        assert [b.text for b in blocks(page)] == ["One", "Two three, four."]
+        assert html_extract.main_text(page, html_extract.trained()) == "One\nTwo three, four."
+    assert [b.text for b in blocks("<head><title>t</title>\nloose <i>text</i></head><p>one")] == ["loose text", "one"]
+    assert [b.text for b in blocks("<head><title>t</title> <script>x</script> </head> <p>one")] == ["one"]
+
+
 def test_extraction_of_held_out_pages():
     model = html_extract.trained()
     right = total = whole = 0
