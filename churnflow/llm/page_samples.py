@@ -103,6 +103,36 @@ class Page:
                 self._links(self._r.randint(2, 6), False)
         self._out.append(f"</{tag}>")
 
+    def _list(self, tag: str) -> None:
+        self._out.append(f"<{tag}>")
+        for _ in range(self._r.randint(2, 5)):
+            self._text("li", self._words(1, 9) if self._r.random() < 0.6 else self._sentences(1, 2), True)
+        self._out.append(f"</{tag}>")
+
+    def _terms(self) -> None:
+        self._out.append("<dl>")
+        for _ in range(self._r.randint(1, 4)):
+            self._text("dt", self._words(1, 3), True)
+            self._text("dd", self._sentences(1, 2) if self._r.random() < 0.6 else self._words(1, 9), True)
+        self._out.append("</dl>")
+
+    def _figure(self) -> None:
+        self._out.append('<figure><img src="x">')
+        self._text("figcaption", self._sentences(1, 2) if self._r.random() < 0.6 else self._words(2, 9), True)
+        self._out.append("</figure>")
+
+    def _table(self) -> None:
+        self._out.append("<table>")
+        columns = self._r.randint(2, 4)
+        if self._r.random() < 0.3:
+            self._text("caption", self._words(1, 6), True)
+        for row in range(self._r.randint(2, 4)):
+            self._out.append("<tr>")
+            for _ in range(columns):
+                self._text("th" if not row else "td", self._words(1, 3) if self._r.random() < 0.6 else str(self._r.randint(0, 9999)), True)
+            self._out.append("</tr>")
+        self._out.append("</table>")
+
     def _article(self) -> None:
         kind = self._r.random()
         if kind < 0.55:
@@ -119,19 +149,22 @@ class Page:
             self._out.append(f'<div class="{self._r.choice(_CONTENT_NAMES)}">')
         for _ in range(self._r.randint(1, 12)):
             r = self._r.random()
-            if r < 0.78:
+            if r < 0.65:
                 self._text("p", self._sentences(1, self._r.choice([1, 1, 3, 8])), True)
-            elif r < 0.84:
-                self._text(self._r.choice(["h2", "h3"]), self._words(1, 7), True)
-            elif r < 0.89:
-                self._out.append("<ul>")
-                for _ in range(self._r.randint(2, 5)):
-                    self._text("li", self._words(1, 9), True)
-                self._out.append("</ul>")
-            elif r < 0.93:
+            elif r < 0.73:
+                self._text(self._r.choice(["h2", "h3", "h4", "h5", "h6"]), self._words(1, 7), True)
+            elif r < 0.80:
+                self._list(self._r.choice(["ul", "ol"]))
+            elif r < 0.83:
                 self._text("blockquote", self._sentences(1, 3), True)
-            elif r < 0.95:
+            elif r < 0.85:
                 self._text("pre", self._words(2, 12), True)
+            elif r < 0.88:
+                self._terms()
+            elif r < 0.92:
+                self._figure()
+            elif r < 0.95:
+                self._table()
             else:
                 self._noise(self._r.choice(["ad", "share", "form", "aside", "notice"]))
         if inner:

@@ -134,6 +134,31 @@ def test_head_without_end_tag():
     assert [b.text for b in blocks("<head><title>t</title> <script>x</script> </head> <p>one")] == ["one"]
 
 
+PARTS = {
+    "ol": ("<ol><li>Peel the apples<li>Cut them into slices.</ol>", ["Peel the apples", "Cut them into slices."]),
+    "h4": ("<h4>What to buy</h4><p>Six apples, and some flour.</p>", ["What to buy", "Six apples, and some flour."]),
+    "h5": ("<h5>A note</h5>", ["A note"]),
+    "h6": ("<h6>Sources</h6>", ["Sources"]),
+    "dl": ("<dl><dt>Flour<dd>Ground grain, white or brown.<dt>Salt<dd>A pinch</dl>", ["Flour", "Ground grain, white or brown.", "Salt", "A pinch"]),
+    "figure": ('<figure><img src="a.png"><figcaption>The pie after an hour</figcaption></figure>', ["The pie after an hour"]),
+    "table": ("<table><caption>Amounts</caption><tr><th>What<th>Grams<tr><td>Flour<td>300</table>", ["Amounts", "What", "Grams", "Flour", "300"]),
+}
+
+
+@pytest.mark.parametrize("around", ["article", 'div class="entry-content"', "main"])
+@pytest.mark.parametrize("part", PARTS)
+def test_parts_of_articles(part, around):
+    html, texts = PARTS[part]
+    page = (
+        f'<html><head><title>x</title></head><body><nav class="menu"><ul><li><a href="/">Home</a><li><a href="/b">Blog</a></ul></nav><{around}><h1>Apple pie</h1>'
+        f"<p>My aunt made this pie every autumn, and we all liked it.</p>{html}<p>Let it cool before you eat it.</p></{around.split()[0]}>"
+        '<section class="comments"><ol><li><p>So good, thanks!</p></li></ol></section><aside class="sidebar"><h4>Popular</h4><p>Ten cakes to try.</p></aside>'
+        '<footer class="footer"><p>© Pies. All rights reserved.</p></footer></body></html>'
+    )
+    want = ["Apple pie", "My aunt made this pie every autumn, and we all liked it.", *texts, "Let it cool before you eat it."]
+    assert html_extract.main_text(page, html_extract.trained()).split("\n") == want
+
+
 def test_extraction_of_held_out_pages():
     model = html_extract.trained()
     right = total = whole = 0
