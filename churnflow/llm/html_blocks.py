@@ -8,7 +8,7 @@ from html.parser import HTMLParser
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template svg math head title iframe object textarea select datalist audio video canvas".split())
+SILENT = frozenset("script style noscript template svg annotation annotation-xml head title iframe object textarea select datalist audio video canvas".split())
 # Anything else directly in a head ends it.
 IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
 BLOCK = frozenset(
@@ -63,7 +63,7 @@ class _Reader(HTMLParser):
             self._open = _Open()
 
     def _pop_to(self, index: int) -> None:
-        if any(e.tag in BLOCK for e in self._stack[index:]):
+        if any(e.tag in BLOCK and not e.silent for e in self._stack[index:]):
             self._flush()
         del self._stack[index:]
 
@@ -76,6 +76,10 @@ class _Reader(HTMLParser):
         return 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self._stack[-1].silent and self._find({"annotation-xml"}, {"math"}):
+            if tag not in VOID:  # ends nothing outside, and no block
+                self._stack.append(Element(tag, silent=True))
+            return
         if tag == "body" and (at := self._find({"head"}, set())):
             self._pop_to(at)
         elif tag not in IN_HEAD and self._stack[-1].tag == "head":

@@ -134,6 +134,11 @@ def test_head_without_end_tag():
     assert [b.text for b in blocks("<head><title>t</title> <script>x</script> </head> <p>one")] == ["one"]
 
 
+def test_formulas_stay_but_not_their_annotations():
+    formula = '<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding="t">x = {2}</annotation><annotation-xml><p>no</p></annotation-xml></semantics></math>'
+    assert [b.text for b in blocks(f"<p>So {formula} holds.<p>End")] == ["So x=2 holds.", "End"]
+
+
 PARTS = {
     "ol": ("<ol><li>Peel the apples<li>Cut them into slices.</ol>", ["Peel the apples", "Cut them into slices."]),
     "h4": ("<h4>What to buy</h4><p>Six apples, and some flour.</p>", ["What to buy", "Six apples, and some flour."]),
