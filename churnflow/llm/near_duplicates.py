@@ -1,13 +1,13 @@
-"""N-gram Jaccard join: MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: MinHash bands of a fixed depth, then exact verification.
 
 Words are runs of characters other than ASCII white space, in ASCII lower case; a shingle is five
 consecutive words, and a text of fewer words, but not none, is one shingle. Two documents are linked if
 their shingle sets have a Jaccard similarity of at least ``SIMILARITY``.
 
-1. Documents with one shingle set are one node. A node has a signature in each of ``TREES`` tries: its least
-   shingle hashes in some order. Matched prefixes start at ``DEEPEST`` hashes and are shortened until a pair
-   at the very bound shares one in some trie with the probability ``RECALL``. The nodes below a trie node of
-   that depth are joined to the least of them, so a crowded one costs a row a member.
+1. Documents with one shingle set are one node. A node has a key in each of ``TREES`` bands: a hash of its least
+   shingle hashes in some orders. No tries are sorted or descended: the depth of all bands is worked out once, as the
+   deepest, up to ``DEEPEST``, at which a pair at the very bound shares a key with the probability ``RECALL``. The
+   nodes with one key are joined to the least of them, so a crowded one costs a row a member.
 2. Connected nodes may be linked; all pairs inside a candidate component are verified, not only those that met.
    Sets are compared exactly, as bit rows over the shingles that two of them share. Components of more
    than ``BLOCK_NODES`` nodes or ``BLOCK_BYTES`` of text are compared block against block, and only sums per
