@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from churnflow.llm import bpe, chunk_dedup, decontaminate, html_extract, near_duplicates, quality, suffix_dedup, token_counts, token_store, warc
+from churnflow.llm import bpe, chunk_dedup, decontaminate, html_extract, near_duplicates, quality, sharding, suffix_dedup, token_counts, token_store, warc
 
 from churnflow.llm.columns import shared_path
 
+SHARDS = 40
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -80,6 +82,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
+def op11_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    records = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long").alias("key"),
+    )
+    return sharding.assign(records, SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
@@ -92,4 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_sampled_splitters": op11_sampled_splitters,
 }
