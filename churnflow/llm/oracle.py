@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from churnflow.llm import near_duplicates, quality
+from churnflow.llm.queries import SHARDS
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -76,9 +77,58 @@ def _quality() -> str:
     FROM counted"""
 
 
+_BYTES = "list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: ('0x' || x)::BIGINT)"
+_TABLE = "range(256)"
+for _ in range(8):  # the table of the checksum, from its rule
+    _TABLE = f"list_transform({_TABLE}, lambda c: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+
+# Ranges decide only who does the work, so the shards follow from the sums of the sizes before each row.
+SHARDING = f"""
+    WITH k AS (SELECT {_TABLE} AS crc),
+    d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    s AS (SELECT doc_id, (octet_length(encode(t)) + 16)::BIGINT AS size, substr(sha256(t), 1, 15) AS key,
+      xor(4294967295, list_reduce(list_prepend(4294967295, {_BYTES}), lambda a, b: xor(a >> 8, crc[1 + (xor(a, b) & 255)])))::BIGINT AS text_crc32
+      FROM d, k),
+    p AS (SELECT *, sum(size) OVER w AS upto, row_number() OVER w AS r, sum(size) OVER () AS total
+      FROM s WINDOW w AS (ORDER BY key, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING)),
+    q AS (SELECT *, least({SHARDS - 1}, ((2 * upto - size) * {SHARDS}) // (2 * total))::INTEGER AS shard FROM p)
+    SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+      row_number() OVER (PARTITION BY shard ORDER BY r) - 1 AS slot, NULL::INTEGER AS grown_shard
+    FROM q"""
+
+FILTER_AUDIT = rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, regexp_extract_all(t, '{_WORD}') AS w FROM d),
+    good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1), toxic AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1),
+    fails AS (SELECT r, part, doc_id IN (FROM good) IS TRUE AS good, doc_id IN (FROM toxic) IS TRUE AS toxic,
+      concat(CASE WHEN len(w) < 100 THEN 'A' ELSE '' END,
+        CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END,
+        CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]+', '', 'g'))) > 10 * length(t) THEN 'C' ELSE '' END,
+        CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+        CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS failed
+      FROM w),
+    sets AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM fails GROUP BY ALL),
+    f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+    orders AS (SELECT concat(a.f, b.f, c.f, d.f, e.f) AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+    steps AS (SELECT filter_order, s::INTEGER AS step, filter_order[s] AS f FROM orders, range(1, 6) AS t(s)),
+    judged AS (SELECT part, filter_order, step, f, n, good, toxic, contains(failed, f) AS own, failed = f AS alone,
+      length(translate(filter_order[1 : step - 1], failed, '')) < step - 1 AS earlier FROM sets, steps),
+    counted AS (SELECT part, filter_order, step, f, sum(n) FILTER (NOT own AND NOT earlier) AS kept, sum(n) FILTER (own AND NOT earlier) AS removed,
+      sum(n) FILTER (own AND earlier) AS redundant, sum(n) FILTER (alone) AS unique_fails,
+      sum(good) FILTER (own AND NOT earlier) AS good_lost, sum(toxic) FILTER (own AND NOT earlier) AS toxic_lost FROM judged GROUP BY ALL)
+    SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+      coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+      coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+      coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+    FROM counted"""
+
+
 ORACLE_SQL = {
     "op1_warc": WARC,
     "op4_jaccard_join": JACCARD_JOIN,
     "op7_decontaminate": DECONTAMINATE,
     "op10_quality_rules": _quality(),
+    "op11_sampled_splitters": SHARDING,
+    "op13_filter_audit": FILTER_AUDIT,
 }

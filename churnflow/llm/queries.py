@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from churnflow.llm import bpe, chunk_dedup, decontaminate, html_extract, near_duplicates, quality, sharding, suffix_dedup, token_counts, token_store, warc
+from churnflow.llm import bpe, chunk_dedup, decontaminate, filter_audit, html_extract, near_duplicates, quality, sharding, suffix_dedup, token_counts, token_store, warc
 
 from churnflow.llm.columns import shared_path
 
@@ -92,6 +92,9 @@ def op11_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
@@ -105,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_sampled_splitters": op11_sampled_splitters,
+    "op13_filter_audit": op13_filter_audit,
 }

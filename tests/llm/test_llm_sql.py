@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_query_agrees_with_sql(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     with duckdb.connect() as duck:
-        for table in ("documents", "pages", "benchmark"):
+        for table in ("documents", "pages", "benchmark", "labels", "conversations"):
             duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
         cursor = duck.execute(ORACLE_SQL[name])
         names = [c[0] for c in cursor.description]
