@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from churnflow.llm import bpe, chunk_dedup, decontaminate, filter_audit, html_extract, near_duplicates, quality, sharding, suffix_dedup, token_counts, token_store, warc
+from churnflow.llm import bpe, chunk_dedup, conversation_repair, decontaminate, filter_audit, html_extract, near_duplicates, quality, sharding, suffix_dedup, token_counts, token_store, warc
 
 from churnflow.llm.columns import shared_path
 
@@ -92,6 +92,24 @@ def op11_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with the faults that ``op12_conversation_repair`` mends; ``times`` says how often a row stands there."""
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    text = F.coalesce("text", F.lit(" "))
+    rows = conversations.withColumn("fault", F.crc32(name.cast("binary")) % 20)
+    return rows.select(
+        "conv_id", "turn",
+        F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(F.col("fault") == 0, 0).when(F.col("fault") == 3, 2).otherwise(1).alias("times"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.summary(conversation_repair.repair(rows, F.col("times")))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -108,5 +126,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_sampled_splitters": op11_sampled_splitters,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_filter_audit": op13_filter_audit,
 }
