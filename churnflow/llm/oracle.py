@@ -124,11 +124,57 @@ FILTER_AUDIT = rf"""
     FROM counted"""
 
 
+def _conversation_repair() -> str:
+    """Backward costs b0 to b3 of the four states (nothing, after s, after u, after a), then the least letters forward."""
+    insert = lambda own, to: f"least({own}, 2 + {to})"
+    kept = {0: "WHEN c = 's' THEN t + b1 WHEN c = 'u' THEN t + b2", 1: "WHEN c = 'u' THEN t + b2", 2: "WHEN c = 'a' THEN t + b3", 3: "WHEN c = 'u' THEN t + b2"}
+    row = ", ".join(
+        f"least(3 + b{q}, CASE WHEN must THEN 1e9::BIGINT ELSE least(2 + t + b{3 if q == 2 else 2}, CASE {kept[q]} ELSE 1e9::BIGINT END) END) AS e{q}" for q in range(4))
+    after = "[n.b0, n.b1, n.b2, n.b3]"
+    return rf"""
+    WITH RECURSIVE k AS (SELECT {_TABLE} AS crc),
+    named AS (SELECT *, concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')) AS t FROM conversations),
+    hit AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, {_BYTES}), lambda a, b: xor(a >> 8, crc[1 + (xor(a, b) & 255)]))) % 20 AS fault FROM named, k),
+    bad AS (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g, conv_id, turn, fault,
+      CASE WHEN fault = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+      CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text FROM hit),
+    r AS (SELECT g, turn, role, text, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, md5(text)) AS i
+      FROM bad, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS x(time)),
+    f AS (SELECT *, left(role, 1) AS c, NOT regexp_matches(text, '{_WORD}') AS blank,
+      row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+      lag(left(role, 1)) OVER (PARTITION BY g ORDER BY i) AS previous FROM r),
+    judged AS (SELECT *, blank OR again AS must, (cut AND NOT blank AND NOT again)::BIGINT AS t FROM f),
+    ends AS (SELECT g, count(*) AS n FROM judged GROUP BY g),
+    b(g, i, b0, b1, b2, b3) AS (SELECT g, n + 1, 0::BIGINT, 4::BIGINT, 2::BIGINT, 0::BIGINT FROM ends UNION ALL
+      SELECT g, i, {insert('e0', insert('e2', 'e3'))}, {insert('e1', insert('e2', 'e3'))}, {insert('e2', 'e3')}, {insert('e3', 'e2')}
+      FROM (SELECT b.g, judged.i, {row} FROM b JOIN judged ON judged.g = b.g AND judged.i = b.i - 1)),
+    steps AS (SELECT a.g, a.i, [a.b0, a.b1, a.b2, a.b3] AS now, {after} AS later, must, t, role, text, c
+      FROM b a LEFT JOIN b n ON n.g = a.g AND n.i = a.i + 1 LEFT JOIN judged ON judged.g = a.g AND judged.i = a.i),
+    walk(g, i, q, audit, lines) AS (SELECT g, 1::BIGINT, 1, '', []::VARCHAR[] FROM ends UNION ALL
+      SELECT g, CASE WHEN letter = 'I' THEN i ELSE i + 1 END, CASE WHEN letter = 'D' THEN q WHEN letter = 'K' THEN CASE c WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END ELSE fits END,
+        audit || letter, CASE letter WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+          ELSE list_append(lines, CASE fits WHEN 3 THEN 'user:' ELSE 'assistant:' END || CASE letter WHEN 'R' THEN text ELSE '' END) END
+      FROM (SELECT walk.*, role, text, c, CASE q WHEN 3 THEN 4 ELSE 3 END AS fits,
+          CASE WHEN steps.later[1] IS NOT NULL AND 3 + later[q] = now[q] THEN 'D' WHEN 2 + now[CASE q WHEN 3 THEN 4 ELSE 3 END] = now[q] THEN 'I'
+            WHEN NOT must AND ((c = 's' AND q = 1 AND t + later[2] = now[q]) OR (c = 'u' AND q <> 3 AND t + later[3] = now[q]) OR (c = 'a' AND q = 3 AND t + later[4] = now[q])) THEN 'K'
+            WHEN must IS NOT NULL THEN 'R' END AS letter
+        FROM walk JOIN steps ON steps.g = walk.g AND steps.i = walk.i)
+      WHERE letter IS NOT NULL),
+    done AS (SELECT walk.g, audit, lines FROM walk JOIN ends ON ends.g = walk.g AND i = n + 1 AND q IN (1, 4) QUALIFY row_number() OVER (PARTITION BY walk.g ORDER BY length(audit)) = 1),
+    counted AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+      count(*) FILTER (again AND NOT blank) AS duplicate, sum(t)::BIGINT AS truncated,
+      count(*) FILTER (previous IS NOT NULL AND previous || c NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY g)
+    SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+      coalesce(illegal, 0) AS illegal, coalesce(b0, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT g, conv_id FROM bad) LEFT JOIN counted USING (g) LEFT JOIN done USING (g) LEFT JOIN b ON b.g = done.g AND b.i = 1"""
+
+
 ORACLE_SQL = {
     "op1_warc": WARC,
     "op4_jaccard_join": JACCARD_JOIN,
     "op7_decontaminate": DECONTAMINATE,
     "op10_quality_rules": _quality(),
     "op11_sampled_splitters": SHARDING,
+    "op12_conversation_repair": _conversation_repair(),
     "op13_filter_audit": FILTER_AUDIT,
 }
