@@ -1,8 +1,9 @@
 """Run one job: ``spark-submit --py-files ... churnflow/__main__.py --lake ROOT JOB ...``
 
     load payments=PAYMENTS.csv evaluate=EVALUATE.csv ...   reload raw tables from CSV files
-    events [--date D]          daily event load into the ledger
-    features [--date D ...]    weekly feature build, one or many snapshot dates
+    events [--date D] [--keep-unchanged]   daily event load into the ledger
+    features [--date D ...] [--incremental]   weekly feature build, one or many snapshot dates
+    payments --since D --date D   take changed payments anew into the totals that incremental builds use
     train [--date D]           monthly training and promotion
     score [--date D]           weekly scoring
 
@@ -16,7 +17,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from churnflow.plans import load_raw_tables, score_snapshot, train_and_register, update_features, update_ledger
+from churnflow.plans import load_raw_tables, score_snapshot, train_and_register, update_features, update_ledger, update_payment_totals
 from churnflow.sources import Lake
 
 
@@ -28,11 +29,15 @@ def main(arguments: list[str] | None = None) -> None:
     load.add_argument("files", nargs="+", metavar="TABLE=PATH")
     load.add_argument("--multiline", action="store_true", help="fields may hold line breaks; one task reads a file")
     today = datetime.now(timezone.utc).date().isoformat()
-    for job in ("events", "train", "score"):
+    for job in ("events", "train", "score", "payments"):
         jobs.add_parser(job).add_argument("--date", default=today)
+    jobs.choices["events"].add_argument("--keep-unchanged", action="store_true", help="leave months alone in which only update times would change")
     jobs.choices["train"].add_argument("--lookback-weeks", type=int, default=8)
     jobs.choices["score"].add_argument("--threshold", type=float, default=0.5)
-    jobs.add_parser("features").add_argument("--date", nargs="+", default=[today])
+    jobs.choices["payments"].add_argument("--since")
+    features = jobs.add_parser("features")
+    features.add_argument("--date", nargs="+", default=[today])
+    features.add_argument("--incremental", action="store_true", help="read only payments newer than the kept totals")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName(f"churnflow-{options.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -40,9 +45,11 @@ def main(arguments: list[str] | None = None) -> None:
     if options.job == "load":
         load_raw_tables(lake, dict(item.split("=", 1) for item in options.files), multiline=options.multiline)
     elif options.job == "events":
-        update_ledger(lake, options.date)
+        update_ledger(lake, options.date, keep_unchanged=options.keep_unchanged)
     elif options.job == "features":
-        update_features(lake, options.date)
+        update_features(lake, options.date, incremental=options.incremental)
+    elif options.job == "payments":
+        update_payment_totals(lake, options.date, options.since)
     elif options.job == "train":
         print(train_and_register(lake, options.date, options.lookback_weeks))
     else:

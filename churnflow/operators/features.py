@@ -8,9 +8,10 @@ number of dates only at the very end, in place.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime, timedelta
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
@@ -48,8 +49,11 @@ def _dates(snapshots: Sequence[date]) -> Column:
     return F.array(*(date_literal(s) for s in snapshots))
 
 
-def _covered(snapshots: Sequence[date]) -> Column:
-    """Whether a payment lies in the longest window of some snapshot: one range for windows that touch."""
+def _covered(payments: DataFrame, snapshots: Sequence[date]) -> Column:
+    """Whether a payment lies in the longest window of some snapshot: one range for windows that touch.
+
+    Where payments lie by month, the months of the ranges are named too, so no other folder is read.
+    """
     ranges: list[list[date]] = []
     for snapshot in snapshots:
         first = snapshot - timedelta(days=WINDOWS[-1])
@@ -57,24 +61,65 @@ def _covered(snapshots: Sequence[date]) -> Column:
             ranges[-1][1] = snapshot
         else:
             ranges.append([first, snapshot])
-    day = F.col("fecha")
-    return reduce(lambda a, b: a | b, ((day >= date_literal(first)) & (day < date_literal(end)) for first, end in ranges))
+    by_month = "pay_month" in payments.columns
+    return reduce(lambda a, b: a | b, (between_days(first, end, by_month) for first, end in ranges))
+
+
+def between_days(first: date | None, end: date, by_month: bool) -> Column:
+    """From ``first`` on, before ``end``; with ``by_month``, also said of the month that partitions the table."""
+    inside = F.col("fecha") < date_literal(end)
+    if by_month:
+        inside = inside & (F.col("pay_month") <= date_literal((end - timedelta(days=1)).replace(day=1)))
+    if first is not None:
+        inside = inside & (F.col("fecha") >= date_literal(first))
+        if by_month:
+            inside = inside & (F.col("pay_month") >= date_literal(first.replace(day=1)))
+    return inside
+
+
+def daily_totals(payments: DataFrame) -> DataFrame:
+    """Payments added up per customer and day, which bounds a customer's rows by the number of days."""
+    return payments.groupBy(_customer("payments"), "fecha").agg(
+        F.sum("spent").alias("spent"), F.sum("descuento").alias("discount"), F.count("*").alias("payments"))
+
+
+class PaymentHistory(NamedTuple):
+    """What the build needs to know of payments.
+
+    ``days``: totals per customer and day, for the days that some window covers. ``seen``: customer and ``day``, with
+    at least each customer's last day before every snapshot, and every customer who ever paid.
+    """
 
+    days: DataFrame
+    seen: DataFrame
 
-def _window_totals(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame:
+
+def history_of(payments: DataFrame, snapshots: Sequence[date]) -> PaymentHistory:
+    """From the payments themselves: customer and date of all of them, amounts of the days in windows."""
+    return PaymentHistory(
+        daily_totals(payments.filter(_covered(payments, snapshots))), payments.select(_customer("payments"), F.col("fecha").alias("day")))
+
+
+def history_from_state(days: DataFrame, months: DataFrame, snapshots: Sequence[date]) -> PaymentHistory:
+    """From the kept totals (``PAYMENT_DAYS``) and last days of months (``PAYMENT_MONTHS``).
+
+    Days are read for the months of the windows only. The last day of a month says all that a snapshot needs of a
+    month it does not lie in; of its own month the days are read.
+    """
+    own = F.coalesce(F.col("pay_month").isin(sorted({s.replace(day=1) for s in snapshots})), F.lit(False))
+    seen = months.filter(~own).select("customer_id", F.col("last_day").alias("day"))
+    return PaymentHistory(
+        days.filter(_covered(days, snapshots)).select("customer_id", "fecha", "spent", "discount", "payments"),
+        seen.unionByName(days.filter(own).select("customer_id", F.col("fecha").alias("day"))))
+
+
+def _window_totals(days: DataFrame, snapshots: Sequence[date]) -> DataFrame:
     """(customer_id, totals) where ``totals`` maps a snapshot date to its sums over the windows.
 
-    Payments are first added up per customer and day, which bounds a customer's rows by the number
-    of days. Those few rows are then brought together by customer once; both later groupings, by
-    snapshot and by customer, use that same partitioning. A day goes to the dates in whose longest
-    window it lies, and to no others.
+    The days of a customer are brought together once; both later groupings, by snapshot and by
+    customer, use that same partitioning. A day goes to the dates in whose longest window it lies, and to no others.
     """
-    daily = (
-        payments.filter(_covered(snapshots))
-        .groupBy(_customer("payments"), "fecha")
-        .agg(F.sum("spent").alias("spent"), F.sum("descuento").alias("discount"), F.count("*").alias("payments"))
-        .repartition("customer_id")
-    )
+    daily = days.repartition("customer_id")
     reached = F.filter(_dates(snapshots), lambda s: (s > F.col("fecha")) & (s <= F.date_add("fecha", WINDOWS[-1])))
     ahead = daily.withColumn("snapshot_date", F.explode(reached))
 
@@ -91,19 +136,17 @@ def _window_totals(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame:
     return totals.groupBy("customer_id").agg(F.map_from_entries(F.collect_list(entry)).alias("totals"))
 
 
-def _payers(payments: DataFrame, snapshots: Sequence[date], *, match_null: bool = False) -> DataFrame:
+def _payers(known: PaymentHistory, snapshots: Sequence[date], *, match_null: bool = False) -> DataFrame:
     """One row per paying customer: the last payment days between snapshots, and the window totals.
 
-    Only customer and date are read for the whole history, once for any number of dates: the last day
-    after each snapshot and before the next is kept, at most one per date. Amounts are read only for the
-    days that some window covers, by a filter that reaches the scan. ``match_null`` also finds the totals
-    of payments without a customer, at the price of shuffling the customers again.
+    The last day after each snapshot and before the next is kept, at most one per date. ``match_null`` also finds the
+    totals of payments without a customer, at the price of shuffling the customers again.
     """
-    passed = F.size(F.filter(_dates(snapshots), lambda s: s <= F.col("fecha"))).alias("passed")
-    between = payments.groupBy(_customer("payments"), passed).agg(F.max("fecha").alias("day"))
+    passed = F.size(F.filter(_dates(snapshots), lambda s: s <= F.col("day"))).alias("passed")
+    between = known.seen.groupBy("customer_id", passed).agg(F.max("day").alias("day"))
     history = between.repartition("customer_id").groupBy("customer_id").agg(
         F.collect_list(F.struct("passed", "day")).alias("last_days"))
-    totals = _window_totals(payments, snapshots)
+    totals = _window_totals(known.days, snapshots)
     if not match_null:
         return history.join(totals, "customer_id", "left")
     same = history["customer_id"].eqNullSafe(totals["customer_id"])
@@ -132,7 +175,7 @@ def payment_metrics(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame
     when no payment falls in the window.
     """
     dates = _ordered(snapshots)
-    rows = _one_row_per_snapshot(_payers(payments, dates, match_null=True), dates)
+    rows = _one_row_per_snapshot(_payers(history_of(payments, dates), dates, match_null=True), dates)
     return rows.filter(F.col("last_payment_date").isNotNull())
 
 
@@ -204,15 +247,18 @@ def _profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def build_features(raw: Mapping[str, DataFrame], snapshots: Sequence[date], run_ts: datetime) -> DataFrame:
+def build_features(raw: Mapping[str, DataFrame], snapshots: Sequence[date], run_ts: datetime, history: Callable[[Sequence[date]], PaymentHistory] | None = None) -> DataFrame:
     """The feature table's rows for every customer at every given snapshot date.
 
+    ``history`` gives what is known of payments; without it, ``raw["payments"]`` is read whole.
+
     Payments and the other sources meet once, in a full outer join on the customer, by which both
     are already partitioned. A customer with several known outcomes, or a missing customer id,
     fails the build.
     """
     dates = _ordered(snapshots)
-    payers = _payers(raw["payments"], dates).withColumn("has_paid", F.lit(True))
+    known = history(dates) if history else history_of(raw["payments"], dates)
+    payers = _payers(known, dates).withColumn("has_paid", F.lit(True))
     customers = payers.join(_profiles(raw), "customer_id", "full").filter(F.col("has_paid") | F.col("is_customer"))
     return _finished(_one_row_per_snapshot(customers, dates), run_ts)
 

@@ -1,5 +1,5 @@
-from churnflow.plans.event_etl import run_event_etl, update_ledger
-from churnflow.plans.feature_build import update_features
+from churnflow.plans.event_etl import update_ledger
+from churnflow.plans.feature_build import payments_covered_until, update_features, update_payment_totals
 from churnflow.plans.loading import load_raw_tables
 from churnflow.plans.scoring import load_production_model, score_scenarios, score_snapshot
 from churnflow.plans.training import train_and_register
@@ -7,10 +7,11 @@ from churnflow.plans.training import train_and_register
 __all__ = [
     "load_production_model",
     "load_raw_tables",
-    "run_event_etl",
+    "payments_covered_until",
     "score_scenarios",
     "score_snapshot",
     "train_and_register",
     "update_features",
     "update_ledger",
+    "update_payment_totals",
 ]

@@ -7,28 +7,21 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, functions as F
 
 from churnflow.functions import as_date, date_literal
-from churnflow.operators.events import as_ledger_rows, merge_events, recheck_start, stage_events, unmatched_after_run
+from churnflow.operators.events import as_ledger_rows, recheck_start, stage_events, unmatched_after_run
 from churnflow.operators.quality import require, staged_event_checks
 from churnflow.schemas import LEDGER, RAW_EVENTS, STAGED_EVENTS
-from churnflow.sources import Lake, stage
+from churnflow.sources import Lake
 
 
-def run_event_etl(raw: DataFrame, ledger: DataFrame, ds: date, as_of: date, run_ts: datetime) -> DataFrame:
-    """The whole ledger after one run. Raises, before anything is merged, if a check fails.
+def update_ledger(lake: Lake, ds: date | str, as_of: date | None = None, run_ts: datetime | None = None, raw: DataFrame | None = None, *, keep_unchanged: bool = False) -> None:
+    """Clean, check, upsert and switch off, against the stored staging and ledger tables.
 
-    The staged events are used by the checks and by both halves of the merge, so they are written
-    once. Their keys are unique by construction.
-    """
-    staged = stage(stage_events(raw), STAGED_EVENTS.name)
-    require(staged, staged_event_checks(as_of))
-    return merge_events(ledger, staged, ds, run_ts)
-
-
-def update_ledger(lake: Lake, ds: date | str, as_of: date | None = None, run_ts: datetime | None = None, raw: DataFrame | None = None) -> None:
-    """Run the load against the stored staging and ledger tables.
+    Only months that occur in the staged rows, or lie within the re-check range, are read and rewritten. Raises, before
+    anything is merged, if a check fails. Running it twice gives the same ledger as running it once.
 
-    Only months that occur in the staged rows, or lie within the re-check range, are read and
-    rewritten. Running it twice gives the same ledger as running it once.
+    Every staged row gets the run's update time. With ``keep_unchanged``, months in which nothing else differs
+    stay as they are, update times included: a daily full reload then writes the few months that changed, and a second
+    run of the day none.
     """
     lake.recover(LEDGER)
     ds, run_ts = as_date(ds), run_ts or datetime.now(timezone.utc)
@@ -42,4 +35,6 @@ def update_ledger(lake: Lake, ds: date | str, as_of: date | None = None, run_ts:
     first_due_month = recheck_start(ds).replace(day=1)
     touched = lake.read_or_empty(LEDGER).filter(
         F.col("purchase_month").isin(months) | (F.col("purchase_month") >= date_literal(first_due_month)))
-    lake.publish(unmatched_after_run(touched, staged, ds, run_ts), as_ledger_rows(staged, run_ts), LEDGER)
+    content = [c for c in LEDGER.columns if c != "updated_at"]
+    lake.publish(
+        unmatched_after_run(touched, staged, ds, run_ts), as_ledger_rows(staged, run_ts), LEDGER, unless_same=content if keep_unchanged else ())

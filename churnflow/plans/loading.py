@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from churnflow.schemas import RAW_TABLES
-from churnflow.sources import Lake, load_csv, staged
+from churnflow.sources import Lake, load_csv
 
 
 def load_raw_tables(lake: Lake, files: Mapping[str, str], *, multiline: bool = False) -> None:
@@ -19,5 +19,4 @@ def load_raw_tables(lake: Lake, files: Mapping[str, str], *, multiline: bool = F
         raise ValueError(f"unknown raw tables: {sorted(unknown)}")
     for name, path in files.items():
         table = RAW_TABLES[name]
-        with staged(load_csv(lake.spark, path, table.schema, multiline=multiline), table.name) as rows:
-            lake.replace(rows, table)
+        lake.replace(load_csv(lake.spark, path, table.schema, multiline=multiline), table)

@@ -71,10 +71,12 @@ RAW_EVENTS = Table("raw", "crypto_transaction_history", _columns(
 RAW_MARKETPLACE = Table("raw", "marketplace_data", _columns(
     cus_cust_id_buy=ID, spent_ml=RAW_NUMBER, recency_ml=DAY, frequency_ml=IntegerType(),
 ))
+# Payments lie in a folder a month, so that a window or a week reads its months only.
+_BY_MONTH = {"partition_by": ("pay_month",), "derived": {"pay_month": ("trunc(fecha, 'MM')", DAY)}}
 RAW_PAYMENTS = Table("raw", "payments", _columns(
     fecha=DAY, cus_cust_id_sel=ID, cus_cust_id_buy=ID, spent=RAW_NUMBER,
     tpv_segment_detail=TEXT, descuento=RAW_NUMBER,
-))
+), **_BY_MONTH)
 RAW_ACTIVE_USER = Table("raw", "active_user", _columns(
     cus_cust_id_buy=ID,
     mau_mp_3=RAW_NUMBER, mau_ml_3=RAW_NUMBER, mau_mp_2=RAW_NUMBER, mau_ml_2=RAW_NUMBER, mau_mp_1=RAW_NUMBER, mau_ml_1=RAW_NUMBER,
@@ -104,6 +106,14 @@ LEDGER = Table(
     derived={"purchase_month": ("trunc(purchase_date, 'MM')", DAY)},
 )
 
+# What the weekly build keeps of payments: sums per customer and day, the last day of each month, and how far they go.
+PAYMENT_DAYS = Table("features", "payment_days", _columns(
+    customer_id=ID, fecha=DAY, spent=RAW_NUMBER, discount=RAW_NUMBER, payments=LongType(),
+), **_BY_MONTH)
+PAYMENT_MONTHS = Table("features", "payment_months", _columns(
+    customer_id=ID, last_day=DAY), partition_by=("pay_month",), derived={"pay_month": ("trunc(last_day, 'MM')", DAY)})
+PAYMENT_LOG = Table("features", "payment_log", _columns({"covered_until": DAY, "run_ts": TimestampType()}, read_from=DAY))
+
 FEATURE_KEY = ("customer_id", "snapshot_date")
 FEATURES = Table(
     "features", "churn_weekly_features",
@@ -159,7 +169,7 @@ TRAINING_RUNS = Table("ops", "training_runs", _columns(
     positive_rate_train=DoubleType(), positive_rate_test=DoubleType(),
     train_rows=LongType(), test_rows=LongType(),
     params=MapType(TEXT, TEXT), tags=MapType(TEXT, TEXT),
-))
+), key=("model_name", "model_version"))
 MODEL_LOG = Table("ops", "model_log", _columns({
     "model_name": TEXT, "version": IntegerType(), "path": TEXT, "event": TEXT, "logged_at": TimestampType(),
 }))

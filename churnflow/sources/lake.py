@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -12,7 +15,7 @@ from churnflow.functions import fail_when, timestamp_literal
 from churnflow.operators.merge import survivors
 from churnflow.operators.quality import require_unique_key
 from churnflow.schemas import Table
-from churnflow.sources.scratch import new_path, remove, staged
+from churnflow.sources.scratch import remove, staged
 
 
 def conform(df: DataFrame, table: Table, **defaults) -> DataFrame:
@@ -48,9 +51,9 @@ class Lake:
     """Reads and writes the tables of ``schemas``.
 
     Types, including those of directory columns, are always the declared ones. A table takes one
-    writer at a time. ``upsert`` and ``publish`` are all or nothing: what they are about to put in place is
-    first written aside in full, and a note in the table's folder says so until the swap of partition
-    folders is over. A reader that finds the note is refused rather than shown part of a table, and the next
+    writer at a time. Every write that replaces rows is all or nothing: what is about to be put in place is
+    first written aside in full, below the same root, and checked; a note beside it says so until the swap is over.
+    A reader that finds the note is refused rather than shown part of a table, and the next
     writer, or ``recover``, finishes the swap from the rows set aside.
     """
 
@@ -65,9 +68,6 @@ class Lake:
         """The stored rows with their directory columns. An absent table is an error."""
         if self._note(table) is not None:
             raise RuntimeError(f"{table.name} is being replaced, or that was cut short: wait, or call recover")
-        return self._rows(table)
-
-    def _rows(self, table: Table) -> DataFrame:
         return self.spark.read.schema(stored_schema(table)).parquet(self.path(table))
 
     def read_or_empty(self, table: Table) -> DataFrame:
@@ -80,27 +80,37 @@ class Lake:
             return self.spark.createDataFrame([], stored_schema(table))
 
     def append(self, df: DataFrame, table: Table, **defaults) -> None:
-        """Add rows. Adding no rows changes nothing."""
-        self._write(df, table, "append", "static", defaults)
+        """Add rows. Adding no rows changes nothing.
+
+        A key that is already in the table, or comes twice, fails the write. Keys are looked for in the partitions
+        that the new rows fall into, by one shuffle of keys.
+        """
+        rows = conform(df, table, **defaults)
+        if not table.key:
+            self._write(rows, table, "append")
+            return
+        with staged(rows, table.name) as new:
+            self.recover(table)
+            stored = self.read_or_empty(table)
+            parts = [c for c in table.partition_by if c in table.columns]
+            touched = new.select(*parts).distinct().collect() if parts else []  # a row per partition
+            for c in parts:
+                stored = stored.filter(F.col(c).isin([r[c] for r in touched]))
+            require_unique_key(new.select(*table.key).unionByName(stored.select(*table.key)), table.key)
+            self._write(new, table, "append")
 
     def replace(self, df: DataFrame, table: Table, *, skip_empty: bool = False, **defaults) -> None:
         """Replace the whole table; with ``skip_empty``, no input rows leave the old ones in place."""
-        if not skip_empty:
-            self._write(df, table, "overwrite", "static", defaults)
-            return
-        # Asking a deep plan whether it is empty costs about as much as running it, so run it once.
-        with staged(df, table.name) as rows:
-            if not rows.isEmpty():
-                self._write(rows, table, "overwrite", "static", defaults)
+        self._swap(conform(df, table, **defaults), table, whole=True, skip_empty=skip_empty)
 
     def replace_partitions(self, df: DataFrame, table: Table, *, rebalance: bool = True, **defaults) -> None:
-        """Replace only the partitions that occur in ``df``; all others stay as they are.
+        """Replace only the partitions that occur in ``df``; all others stay as they are. A repeated key fails the write.
 
         ``rebalance=False`` saves a shuffle for rows known to belong to a single partition.
         """
         if not table.partition_by:
             raise ValueError(f"{table.name} has no partitions")
-        self._write(df, table, "overwrite", "dynamic", defaults, rebalance)
+        self._swap(conform(df, table, **defaults), table, rebalance=rebalance, check_key=bool(table.key))
 
     def upsert(self, source: DataFrame, table: Table, touched: Column, *, keys_unique: bool = False) -> None:
         """Add the rows of ``source``, each in place of the stored row with its key, if there is one.
@@ -115,60 +125,123 @@ class Lake:
         stored = self.read_or_empty(table).filter(touched)
         self.publish(survivors(stored, source, table.key), source, table)
 
-    def publish(self, kept: DataFrame, source: DataFrame, table: Table) -> None:
+    def publish(self, kept: DataFrame, source: DataFrame, table: Table, *, touched: Column | None = None, unless_same: Sequence[str] = ()) -> None:
         """Replace the partitions of ``source`` and ``kept`` by the rows of both, all or nothing.
 
         ``kept`` comes from the files about to be replaced. In an upsert these are the stored rows without
-        a match; matched ones are not copied at all.
+        a match; matched ones are not copied at all. Partitions that ``touched`` selects and that have no rows any more go.
+        With ``unless_same``, a partition in which no row differs in these columns stays as it is, and is not written.
         """
-        aside = new_path(self.spark, f"{table.name}-new")
+        rows = conform(source, table).unionByName(conform(kept, table))
+        if unless_same:
+            rows = self._changed(rows, table, unless_same)
+            if rows is None:
+                return
+        self._swap(rows, table, touched=touched)
+
+    def _changed(self, rows: DataFrame, table: Table, columns: Sequence[str]) -> DataFrame | None:
+        """The rows of partitions whose content differs from what is stored, by digests that know no order."""
+        part, = table.partition_by
+        sql = table.derived[part][0] if part in table.derived else part
+        value = F.xxhash64(*columns)
+
+        def digests(df: DataFrame) -> DataFrame:
+            return df.groupBy(F.expr(sql).alias(part)).agg(
+                F.count("*").alias("n"), F.sum(value.cast("decimal(20,0)")).alias("total"), F.bit_xor(F.xxhash64(F.lit(1), *columns)).alias("mixed"))
+
+        new = digests(rows)
+        values = [r[part] for r in new.select(part).distinct().collect()] if part not in table.derived else None
+        stored = self.read_or_empty(table)
+        if values is not None:
+            stored = stored.filter(F.col(part).isin(values))
+        changed = [r[part] for r in new.exceptAll(digests(stored.select(*table.columns))).collect()]  # a row per partition
+        if not changed:
+            return None
+        known = [v for v in changed if v is not None]
+        place = F.expr(sql)
+        return rows.filter(place.isin(known) | place.isNull() if len(known) < len(changed) else place.isin(known))
+
+    def _swap(
+        self, rows: DataFrame, table: Table, *, whole: bool = False, skip_empty: bool = False, rebalance: bool = True,
+        check_key: bool = False, touched: Column | None = None,
+    ) -> None:
+        """Set ``rows`` aside, check them, note it, and finish by ``recover``."""
+        aside = f"{self.root}/_aside/{table.name}-{uuid.uuid4().hex}"
         try:
-            conform(source, table).unionByName(conform(kept, table)).write.parquet(aside)
+            rows.write.parquet(aside)
+            new = self.spark.read.schema(table.schema).parquet(aside)
+            if check_key:
+                require_unique_key(new, table.key)
+            if skip_empty and new.isEmpty():
+                remove(self.spark, aside)
+                return
+            gone = self._emptied(new, table, touched) if touched is not None else []
         except BaseException:
             remove(self.spark, aside)
             raise
-        self._set_note(table, aside)
         self.recover(table)
+        self._set_note(table, {"aside": aside.removeprefix(self.root), "whole": whole, "rebalance": rebalance, "gone": gone})
+        self.recover(table)
+
+    def _emptied(self, new: DataFrame, table: Table, touched: Column) -> list[str]:
+        """Folders of the touched partitions without a new row."""
+        part, = table.partition_by
+        before = self.read_or_empty(table).filter(touched).select(part).distinct()
+        after = new.select(F.expr(table.derived[part][0] if part in table.derived else part).alias(part)).distinct()
+        gone = [r[part] for r in before.exceptAll(after).collect()]  # a row per partition
+        return [f"{part}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in gone]
 
     def recover(self, table: Table) -> None:
-        """Finish a replacement that was cut short, if there is one. Doing it again changes nothing."""
-        aside = self._note(table)
-        if aside is None:
+        """Finish a replacement that was cut short, if there is one. Doing it again changes nothing.
+
+        Without the rows set aside it stops, and nothing is touched.
+        """
+        note = self._note(table)
+        if note is None:
             return
-        self.replace_partitions(self.spark.read.schema(table.schema).parquet(aside), table)
+        aside = self.root + note["aside"]
+        files, path = self._file(aside)
+        if not files.exists(path):
+            raise RuntimeError(f"the rows set aside for {table.name} are gone: {aside}")
+        self._write(
+            self.spark.read.schema(table.schema).parquet(aside), table, "overwrite", "static" if note["whole"] else "dynamic", note["rebalance"])
+        for folder in note["gone"]:
+            remove(self.spark, f"{self.path(table)}/{folder}")
         self._set_note(table, None)
         remove(self.spark, aside)
 
-    def _note(self, table: Table) -> str | None:
-        """Where the rows of an unfinished replacement are."""
-        files, path = self._note_file(table)
+    def _note(self, table: Table) -> dict | None:
+        """What is known of an unfinished replacement."""
+        files, path = self._file(self._note_path(table))
         if not files.exists(path):
             return None
         with_text = self.spark._jvm.org.apache.commons.io.IOUtils
         stream = files.open(path)
         try:
-            return with_text.toString(stream, "UTF-8")
+            return json.loads(with_text.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _set_note(self, table: Table, aside: str | None) -> None:
-        files, path = self._note_file(table)
-        if aside is None:
+    def _set_note(self, table: Table, note: dict | None) -> None:
+        files, path = self._file(self._note_path(table))
+        if note is None:
             files.delete(path, False)
             return
         # Renamed into place, so a note is there in full or not at all.
         draft = path.suffix(".draft")
         stream = files.create(draft, True)
-        stream.write(bytearray(aside, "utf-8"))
+        stream.write(bytearray(json.dumps(note), "utf-8"))
         stream.close()
         files.rename(draft, path)
 
-    def _note_file(self, table: Table):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/_replacing")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+    def _note_path(self, table: Table) -> str:
+        return f"{self.root}/_aside/{table.zone}.{table.name}.note"
 
-    def _write(self, df: DataFrame, table: Table, mode: str, overwrite: str, defaults: dict, rebalance: bool = True) -> None:
-        rows = conform(df, table, **defaults)
+    def _file(self, path: str):
+        made = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return made.getFileSystem(self.spark._jsc.hadoopConfiguration()), made
+
+    def _write(self, rows: DataFrame, table: Table, mode: str, overwrite: str = "static", rebalance: bool = True) -> None:
         rows = rows.select("*", *(F.expr(sql).alias(c) for c, (sql, _) in table.derived.items()))
         if table.partition_by and rebalance:
             # Few files per partition, while a large one is still split over many tasks.

@@ -11,7 +11,7 @@ import gapped
 from churnflow.operators import events as ev
 from churnflow.operators.merge import matched_keys, upsert
 from churnflow.operators.quality import DataQualityError, count_broken, staged_event_checks
-from churnflow.plans import run_event_etl, update_ledger
+from churnflow.plans import update_ledger
 from churnflow.schemas import EVENT_KEY, LEDGER, RAW_EVENTS, STAGED_EVENTS
 from workload.queries import seed_events
 
@@ -144,14 +144,16 @@ def test_inactive_recent_rows_are_touched_again_and_old_ones_stay_inactive(spark
 
 
 @pytest.mark.parametrize("sf", sorted(gapped.MERGE_TOTALS))
-def test_merge_totals(spark, sf):
+def test_merge_totals(spark, lake, sf):
     want = gapped.MERGE_TOTALS[sf]
     numbered = gapped.numbered_events(spark, sf)
     before = ev.stage_events(numbered.filter("event_id % 5 <> 0").drop("event_id"))
     incoming = numbered.filter("event_id % 4 <> 1").drop("event_id")
     staged = ev.stage_events(incoming)
     ledger = ev.as_ledger_rows(before, DAY1)
-    after = run_event_etl(incoming, ledger, date(2024, 1, 20), date(2024, 1, 31), DAY2)
+    lake.append(ledger, LEDGER)
+    update_ledger(lake, date(2024, 1, 20), date(2024, 1, 31), DAY2, incoming)
+    after = lake.read(LEDGER)
     total = after.agg(F.count("*"), F.count_if(~F.col("is_active")), F.sum("purchase_price").cast("decimal(18,2)")).first()
     assert {
         "before": ledger.count(), "staged": staged.count(), "matched": matched_keys(ledger, staged, EVENT_KEY).count(),
@@ -183,6 +185,20 @@ def test_ledger_job_rewrites_only_what_it_touches(spark, lake, tmp_path):
     assert rows(lake.read(LEDGER)) == before
 
 
+def test_a_second_run_of_the_day_writes_no_month(spark, lake):
+    as_of, ds = date(2023, 12, 31), date(2023, 2, 3)
+    run = lambda when, events: update_ledger(lake, ds, as_of, when, events, keep_unchanged=True)
+    run(DAY1, seed_events(spark))
+    files, before = set(lake.read(LEDGER).inputFiles()), rows(lake.read(LEDGER))
+    run(DAY2, seed_events(spark))
+    assert set(lake.read(LEDGER).inputFiles()) == files and rows(lake.read(LEDGER)) == before
+    run(DAY2, seed_events(spark).filter("purchase_date <> '1/2/2023'"))
+    changed = {f.split("purchase_month=")[1].split("/")[0] for f in files - set(lake.read(LEDGER).inputFiles())}
+    assert changed == {"2023-02-01"}
+    times = {r.purchase_month: r.updated_at for r in lake.read(LEDGER).select("purchase_month", "updated_at").distinct().collect()}
+    assert times == {date(2023, 1, 1): DAY1, date(2023, 2, 1): DAY2}
+
+
 def test_event_job_fails_without_the_raw_table_and_leaves_the_ledger(spark, lake):
     with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
         update_ledger(lake, date(2023, 2, 3))

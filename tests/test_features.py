@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -13,8 +14,8 @@ from churnflow.operators import features as ft
 from churnflow.operators.labels import with_labels
 from churnflow.operators.merge import upsert
 from churnflow.operators.quality import DataQualityError
-from churnflow.plans import update_features
-from churnflow.schemas import FEATURE_KEY, FEATURES, RAW_CUSTOMER_TABLES
+from churnflow.plans import payments_covered_until, update_features, update_payment_totals
+from churnflow.schemas import FEATURE_KEY, FEATURES, RAW_CUSTOMER_TABLES, RAW_PAYMENTS
 from churnflow.sources import Lake
 
 NOW = datetime(2024, 1, 1)
@@ -235,3 +236,80 @@ def test_feature_job_fails_for_each_absent_raw_table(spark, lake):
         with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
             update_features(other, [S], NOW)
     assert lake.read(FEATURES).count() == before
+
+
+def stored_features(lake):
+    return lake.read(FEATURES).select(*FEATURES.columns)
+
+
+def with_payments(spark, lake, payments, people=(1, 2, 3)):
+    """Stores the payments; the other sources, and what a full build says of a date."""
+    made = tables(spark, payments=payments, demographics=[{"cus_cust_id_buy": c, "gender": "x"} for c in people])
+    lake.replace(made.pop("payments"), RAW_PAYMENTS)
+    return made, lambda *days: plain(ft.build_features({**made, "payments": lake.read(RAW_PAYMENTS)}, days, NOW))
+
+
+def test_incremental_builds_equal_full_builds_on_every_date(spark, lake):
+    rng = random.Random(8)
+    # Customer 1 holds a third of all payments; some amounts, some days are missing; 900 pays on the last day only.
+    every = [pay(1 if rng.random() < 1 / 3 else rng.randint(2, 25), S - timedelta(days=rng.randint(-9, 260)), rng.choice(["5", "7.25", None]), rng.choice(["1", None])) for _ in range(600)]
+    every += [pay(30, None), pay(31, S - timedelta(days=200)), pay(900, S + timedelta(days=8))]
+    dates = [S - timedelta(days=d) for d in (140, 90, 0)] + [S + timedelta(days=14)]
+    for day in dates:
+        known = [p for p in every if p["fecha"] is None or p["fecha"] < day]
+        raw, full = with_payments(spark, lake, known)
+        update_features(lake, [day], NOW, raw, incremental=True)
+        assert plain(stored_features(lake).filter(F.col("snapshot_date") == day)) == full(day)
+    # Earlier dates again, from the totals as they are by now: equal to full builds over all that is known by now.
+    replay = dates[:-1]
+    update_features(lake, replay, NOW, raw, incremental=True)
+    assert plain(stored_features(lake).filter(F.col("snapshot_date").isin(replay))) == full(*replay)
+
+
+def test_incremental_builds_read_new_payments_only(spark, lake, monkeypatch):
+    raw, _ = with_payments(spark, lake, [pay(1, S - timedelta(days=d)) for d in range(1, 120)])
+    update_features(lake, [S - timedelta(days=7)], NOW, raw, incremental=True)
+    scans = []
+    totals = ft.daily_totals
+
+    def watched(payments):
+        scans.append(payments._jdf.queryExecution().executedPlan().toString())
+        return totals(payments)
+
+    monkeypatch.setattr("churnflow.plans.feature_build.daily_totals", watched)
+    update_features(lake, [S], NOW, raw, incremental=True)
+    text, = scans
+    assert re.search(r"fecha#\d+ >= 2019-05-19", text) and re.search(r"fecha#\d+ < 2019-05-26", text)
+    assert "pay_month" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert payments_covered_until(lake) == S
+    monkeypatch.setattr("churnflow.plans.feature_build.daily_totals", lambda _: pytest.fail("nothing is new"))
+    update_features(lake, [S], NOW, raw, incremental=True)
+
+
+def test_corrected_payments_are_taken_anew(spark, lake):
+    first = [pay(1, date(2019, 3, 5)), pay(1, date(2019, 4, 5)), pay(2, date(2019, 5, 5))]
+    raw, _ = with_payments(spark, lake, first)
+    update_features(lake, [S], NOW, raw, incremental=True)
+    raw, full = with_payments(spark, lake, [pay(1, date(2019, 3, 5), "70"), pay(2, date(2019, 5, 5))])  # one changed, April is gone
+    for _ in range(2):
+        update_payment_totals(lake, S, since=date(2019, 3, 1))
+        update_features(lake, [S], NOW, raw, incremental=True)
+        assert plain(stored_features(lake)) == full(S)
+
+
+@pytest.mark.parametrize("step", [1, 2, 3])
+def test_an_incremental_build_that_breaks_off_can_be_repeated(spark, lake, monkeypatch, step):
+    raw, full = with_payments(spark, lake, [pay(c, S - timedelta(days=20 * c)) for c in range(1, 9)])
+    write, calls = lake._write, iter(range(1, 100))
+
+    def failing(*args, **options):
+        if next(calls) == step:
+            raise OSError("lost")
+        write(*args, **options)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(lake, "_write", failing)
+        with pytest.raises(OSError, match="lost"):
+            update_features(lake, [S], NOW, raw, incremental=True)
+    update_features(lake, [S], NOW, raw, incremental=True)
+    assert plain(stored_features(lake)) == full(S)

@@ -12,7 +12,8 @@ from churnflow.operators import features as ft
 from churnflow.operators.evaluation import counts_by_score
 from churnflow.operators.merge import survivors
 from churnflow.operators.scoring import scenario_grid
-from churnflow.schemas import EVENT_KEY, FEATURES, LEDGER, RAW_CUSTOMER_TABLES, RAW_EVENTS, STAGED_EVENTS
+from churnflow.schemas import EVENT_KEY, FEATURES, LEDGER, PAYMENT_DAYS, PAYMENT_MONTHS, RAW_CUSTOMER_TABLES, RAW_EVENTS, RAW_PAYMENTS, STAGED_EVENTS
+from churnflow.sources import Lake
 from churnflow.sources.lake import stored_schema
 from workload.queries import SCENARIOS, rule_predictions
 
@@ -56,8 +57,8 @@ def test_feature_build_shuffles_do_not_grow_with_the_snapshots(big, tmp_path):
 
 
 def test_payment_history_reads_two_columns_and_amounts_only_recent_days(big, tmp_path):
-    payments = stored(big, tmp_path, RAW_CUSTOMER_TABLES["payments"])
-    scans = [line for line in plan(ft._payers(payments, [S])).splitlines() if "FileScan" in line]
+    payments = stored(big, tmp_path, RAW_CUSTOMER_TABLES["payments"]).drop("pay_month")
+    scans = [line for line in plan(ft._payers(ft.history_of(payments, [S]), [S])).splitlines() if "FileScan" in line]
     history, = [s for s in scans if "spent" not in s.split("Batched")[0]]
     recent, = [s for s in scans if "spent" in s.split("Batched")[0]]
     assert re.search(r"FileScan parquet \[fecha#\d+,cus_cust_id_buy#\d+L\]", history)
@@ -65,6 +66,41 @@ def test_payment_history_reads_two_columns_and_amounts_only_recent_days(big, tmp
     assert "tpv_segment_detail" not in recent.split("Batched")[0]
 
 
+def by_month(spark, tmp_path, table, day):
+    """The table with a row in each month of seven years, as the lake lays it out."""
+    lake = Lake(spark, str(tmp_path))
+    months = spark.sql(f"SELECT explode(sequence(DATE '2013-01-15', DATE '2019-12-15', INTERVAL 1 MONTH)) AS {day}, 1L AS cus_cust_id_buy, 1L AS customer_id")
+    lake.append(months, table)
+    return lake.read(table)
+
+
+def folders_read(df):
+    """How many folders each scan reads."""
+    text = plan(df)
+    assert text.count("FileScan") == text.count("PartitionFilters: [") and "PartitionFilters: []" not in text
+    executed = df._jdf.queryExecution().executedPlan()
+    executed.executeCollect()
+    leaves = executed.collectLeaves()
+    return [leaves.apply(i).metrics().apply("numPartitions").value() for i in range(leaves.size())]
+
+
+@pytest.mark.parametrize("dates", [[S], [S - timedelta(weeks=w) for w in range(13)], [date(2014, 1, 7) + timedelta(days=33 * i) for i in range(60)]])
+def test_windows_read_their_months_only(big, tmp_path, dates):
+    big.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        dates = sorted(dates)
+        wanted = {(d - timedelta(days=n)).replace(day=1) for d in dates for n in range(1, 91)}
+        own = {d.replace(day=1) for d in dates}
+        raw = ft.history_of(by_month(big, tmp_path, RAW_PAYMENTS, "fecha"), dates)
+        assert folders_read(raw.days) == [len(wanted)]
+        days, months = (by_month(big, tmp_path, t, d) for t, d in ((PAYMENT_DAYS, "fecha"), (PAYMENT_MONTHS, "last_day")))
+        kept = ft.history_from_state(days, months, dates)
+        assert folders_read(kept.days) == [len(wanted)]
+        assert folders_read(kept.seen) == [84 - len(own), len(own)]
+    finally:
+        big.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_dedupe_reduces_before_its_only_shuffle(big, tmp_path):
     text = plan(ev.stage_events(stored(big, tmp_path, RAW_EVENTS)))
     assert exchanges(text) == 1 and "Window" not in text

@@ -21,7 +21,7 @@ from churnflow.operators.quality import (
     require_unique_key,
 )
 from churnflow.plans import load_raw_tables
-from churnflow.schemas import RAW_BALANCES, RAW_DEMOGRAPHICS, RAW_EVENTS, RAW_MARKETPLACE, RAW_PAYMENTS, SCORES, STAGED_EVENTS
+from churnflow.schemas import RAW_BALANCES, RAW_DEMOGRAPHICS, RAW_EVENTS, RAW_MARKETPLACE, RAW_PAYMENTS, SCORES, STAGED_EVENTS, TRAINING_RUNS, Table
 from churnflow.sources import literal_rows, load_csv, param_query, read_snapshot, read_window, stage, staged
 from churnflow.sources.lake import conform
 from churnflow.sources.scratch import scratch_root
@@ -126,7 +126,7 @@ def test_an_upsert_that_breaks_off_leaves_the_old_or_the_new_table(spark, lake,
             lake.upsert(failing, SCORES, touched, keys_unique=True)
     assert state(lake.read(SCORES)) == old and folders(spark) == before
     with monkeypatch.context() as broken:  # during the swap
-        broken.setattr(lake, "replace_partitions", lambda *_, **__: (_ for _ in ()).throw(OSError("lost")))
+        broken.setattr(lake, "_write", lambda *_, **__: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError, match="lost"):
             lake.upsert(source, SCORES, touched)
     with pytest.raises(RuntimeError, match="is being replaced"):
@@ -137,6 +137,64 @@ def test_an_upsert_that_breaks_off_leaves_the_old_or_the_new_table(spark, lake,
     assert folders(spark) == before
 
 
+@pytest.mark.parametrize("write", ["replace", "replace_partitions"])
+def test_every_replacement_is_all_or_nothing(spark, lake, monkeypatch, write):
+    lake.append(scores(spark, (1, D2, 0.1, "1"), (9, D1, 0.9, "1")), SCORES)
+    old, new = state(lake.read(SCORES)), scores(spark, (2, D2, 0.7, "1"))
+    failing = new.withColumn("score", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(PySparkException, match="lost"):
+        getattr(lake, write)(failing, SCORES)
+    assert state(lake.read(SCORES)) == old
+    with monkeypatch.context() as broken:
+        broken.setattr(lake, "_write", lambda *_, **__: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            getattr(lake, write)(new, SCORES)
+    aside, = (p for p in Path(f"{lake.root}/_aside").iterdir() if p.is_dir())
+    again = type(lake)(spark, lake.root)  # another session finds it below the same root
+    with pytest.raises(RuntimeError, match="is being replaced"):
+        again.read(SCORES)
+    hidden = aside.rename(aside.with_suffix(".hidden"))
+    with pytest.raises(RuntimeError, match="are gone"):
+        again.recover(SCORES)
+    hidden.rename(aside)
+    again.recover(SCORES)
+    assert state(again.read(SCORES)) == [(2, D2, "1", 0.7)] + ([] if write == "replace" else [(9, D1, "1", 0.9)])
+    assert not list(Path(f"{lake.root}/_aside").iterdir()) or all(p.name.startswith(".") for p in Path(f"{lake.root}/_aside").iterdir())
+
+
+def test_a_repeated_key_fails_the_write(spark, lake):
+    lake.append(scores(spark, (1, D1, 0.1, "1"), (1, D2, 0.1, "1")), SCORES)
+    old = state(lake.read(SCORES))
+    for bad in (scores(spark, (1, D2, 0.5, "1")), scores(spark, (7, D2, 0.5, "1"), (7, D2, 0.6, "1"))):
+        with pytest.raises(DataQualityError, match="1 repeated values of key"):
+            lake.append(bad, SCORES)
+    with pytest.raises(DataQualityError, match="1 repeated values of key"):
+        lake.replace_partitions(scores(spark, (7, D2, 0.5, "1"), (7, D2, 0.6, "1")), SCORES)
+    assert state(lake.read(SCORES)) == old
+    lake.append(scores(spark, (1, D2, 0.5, "2")), SCORES)
+    run = {"model_name": "m", "model_version": 1, "created_at": NOW}
+    rows = spark.createDataFrame([tuple(run.get(c) for c in TRAINING_RUNS.columns)], TRAINING_RUNS.schema)
+    lake.append(rows, TRAINING_RUNS)
+    with pytest.raises(DataQualityError, match="1 repeated values of key"):
+        lake.append(rows, TRAINING_RUNS)
+    assert lake.read(TRAINING_RUNS).count() == 1
+
+
+def test_partitions_with_the_same_rows_are_not_written(spark, lake):
+    first = scores(spark, (1, D1, 0.1, "1"), (1, D2, 0.2, "1"), (2, D2, 0.2, "1"))
+    by_date = Table("ops", "by_date", SCORES.schema, key=SCORES.key, partition_by=("snapshot_date",))
+    lake.append(first, by_date)
+    files = set(lake.read(by_date).inputFiles())
+    later = first.withColumn("created_at", F.lit(datetime(2025, 1, 1)))
+    same = [c for c in by_date.columns if c != "created_at"]
+    lake.publish(first.filter("false"), later.repartition(3), by_date, unless_same=same)
+    assert set(lake.read(by_date).inputFiles()) == files
+    lake.publish(first.filter("false"), later.withColumn("score", F.when(F.col("snapshot_date") == D2, 0.25).otherwise(F.col("score"))), by_date, unless_same=same)
+    kept = {f for f in lake.read(by_date).inputFiles() if str(D1) in f}
+    assert kept == {f for f in files if str(D1) in f} and not files & set(lake.read(by_date).inputFiles()) - kept
+    assert sorted(r.score for r in lake.read(by_date).collect()) == [0.1, 0.25, 0.25]
+
+
 def test_append_of_nothing_changes_nothing(spark, lake):
     lake.append(scores(spark, (1, D1, 0.1, "1")), SCORES)
     lake.append(scores(spark), SCORES)

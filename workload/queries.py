@@ -24,7 +24,6 @@ from churnflow.operators import features as ft
 from churnflow.operators import quality as dq
 from churnflow.operators.evaluation import accuracy, counts_by_score, roc_auc
 from churnflow.operators.labels import with_labels
-from churnflow.operators.merge import upsert
 from churnflow.operators.modeling import (
     category_index,
     category_stages,
@@ -42,7 +41,7 @@ from churnflow.operators.scoring import (
     scenario_grid,
     score_output,
 )
-from churnflow.plans import run_event_etl, score_scenarios, score_snapshot, train_and_register
+from churnflow.plans import score_scenarios, score_snapshot, train_and_register, update_features, update_ledger
 from churnflow.plans.training import MODEL_NAME
 from churnflow.schemas import (
     CATEGORICAL_FEATURES,
@@ -55,12 +54,13 @@ from churnflow.schemas import (
     PRICE,
     RAW_EVENTS,
     RAW_OUTCOMES,
+    RAW_PAYMENTS,
     SCORES,
     TRAINING_RUNS,
     UNITS,
     UNKNOWN,
 )
-from churnflow.sources import Lake, literal_rows, param_query, read_snapshot, read_window, stage
+from churnflow.sources import Lake, literal_rows, param_query, read_snapshot, read_window, stage, staged
 from workload.adapters import customer_sources, view
 from workload.stored import RUN_TS, SNAPSHOT, WEEKS, feature_lake, feature_table, new_lake
 
@@ -125,6 +125,12 @@ def stored_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         timestamp_literal(EARLIER_RUN_TS).alias("updated_at"))
 
 
+def ledger_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    lake = new_lake(spark)
+    lake.append(stored_ledger(spark, sf_dir), LEDGER)
+    return lake
+
+
 def incoming_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Today's full reload of the source, from which one type was withdrawn."""
     return view(spark, sf_dir, "raw_crypto").filter(F.col("crypto_type") != "error")
@@ -132,7 +138,7 @@ def incoming_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_refresh(ledger: DataFrame) -> DataFrame:
     """Ledger rows, with ``refreshed`` in place of the update time."""
-    return plain(ledger.withColumn("refreshed", F.col("updated_at") == timestamp_literal(RUN_TS)))
+    return plain(ledger.drop("purchase_month").withColumn("refreshed", F.col("updated_at") == timestamp_literal(RUN_TS)))
 
 
 def rule_score() -> Column:
@@ -229,8 +235,10 @@ def _missing_from_source(spark, d):
 
 
 def _upsert_ledger(spark, d):
-    staged = stage(ev.stage_events(incoming_events(spark, d)), "staged-events")
-    return with_refresh(upsert(stored_ledger(spark, d), ev.as_ledger_rows(staged, RUN_TS), EVENT_KEY))
+    lake = ledger_lake(spark, d)
+    with staged(ev.stage_events(incoming_events(spark, d)), "staged-events") as events:
+        lake.upsert(ev.as_ledger_rows(events, RUN_TS), LEDGER, F.lit(True))
+    return with_refresh(lake.read(LEDGER))
 
 
 def _deactivate_missing(spark, d):
@@ -239,14 +247,18 @@ def _deactivate_missing(spark, d):
 
 
 def _event_etl(spark, d):
-    return with_refresh(run_event_etl(incoming_events(spark, d), stored_ledger(spark, d), DS, AS_OF, RUN_TS))
+    lake = ledger_lake(spark, d)
+    update_ledger(lake, DS, AS_OF, RUN_TS, incoming_events(spark, d))
+    return with_refresh(lake.read(LEDGER))
 
 
 def _upsert_features(spark, d):
     raw = customer_sources(spark, d)
     raw["outcomes"] = literal_rows(spark, [], RAW_OUTCOMES.schema)  # a re-run that knows no outcomes
-    rerun = stage(ft.build_features(raw, [SNAPSHOT, LATER], RUN_TS), "features-rerun")
-    return plain(upsert(feature_table(spark, d), rerun, FEATURE_KEY))
+    lake = new_lake(spark)
+    lake.append(feature_table(spark, d), FEATURES)
+    update_features(lake, [SNAPSHOT, LATER], RUN_TS, raw)
+    return plain(lake.read(FEATURES))
 
 
 def _replace_slice(spark, d):
@@ -291,6 +303,15 @@ def _multi_snapshot_features(spark, d):
     return plain(ft.build_features(customer_sources(spark, d), WEEKS, RUN_TS))
 
 
+def _incremental_features(spark, d):
+    """Three weekly runs that keep payment totals: the first takes the history in, the others one week each."""
+    lake, raw = new_lake(spark), customer_sources(spark, d)
+    lake.replace(raw.pop("payments"), RAW_PAYMENTS)
+    for week in WEEKS[-3:]:
+        update_features(lake, [week], RUN_TS, raw, incremental=True)
+    return plain(lake.read(FEATURES))
+
+
 def _churn_label(spark, d):
     activity = feature_table(spark, d).select(
         *FEATURE_KEY, latest_date(F.col("last_payment_date"), F.col("last_login_date")).alias("last_activity_date"))
@@ -480,6 +501,7 @@ QUERIES: dict[str, Query] = {
     "demographics": _demographics,
     "marketplace_metrics": _marketplace_metrics,
     "feature_build": _feature_build,
+    "incremental_features": _incremental_features,
     "churn_label": _churn_label,
     "multi_snapshot_features": _multi_snapshot_features,
     "training_set": _training_set,
