@@ -26,6 +26,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -62,6 +63,12 @@ class WordEncoder:
         return [self._tokenizer.id_to_token(i) for i in range(size)]
 
 
+@lru_cache(2)
+def _encoder(tokenizer: str) -> WordEncoder:
+    """One a worker process, which many tasks share one after the other: reading the file takes longer than some tasks."""
+    return WordEncoder(tokenizer)
+
+
 # Word numbers of a block go by classes of frequency, so that frequent words have small numbers.
 _CLASSES = 4 ** np.arange(2, 11)
 _FIELDS = ["block", "bucket", "classes", "words", "documents", "lengths", "numbers"]
@@ -72,6 +79,10 @@ def _squeeze(data: bytes, level: int = 6) -> bytes:
     return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(data, asbytes=True)
 
 
+def _level(compact: bool) -> int:
+    return 6 if compact else 1
+
+
 def _expand(data: bytes) -> bytes:
     return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
 
@@ -89,7 +100,7 @@ class _Block:
     """Documents as numbers of words, and the words."""
 
     def __init__(self, compact: bool) -> None:
-        self.compact, self.level = compact, 6 if compact else 1
+        self.compact, self.level = compact, _level(compact)
         self.numbers: dict[bytes, int] = {}
         self.parts: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         self.size = 0
@@ -186,9 +197,10 @@ def encode(
     kept = [c for c in documents.columns if c not in (text, ids)]
     blocks = stored(_blocks(documents, text, kept, int(spark.conf.get("spark.sql.shuffle.partitions")), compact), "bpe-blocks", blocks_at)
     shared = spark.sparkContext.broadcast(tokenizer)
+    level = _level(compact)
 
     def encode_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, known, current = WordEncoder(shared.value), {}, None
+        encoder, known, current = _encoder(shared.value), {}, None
         for batch in batches:
             for block, bucket, classes, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != current:
@@ -200,7 +212,7 @@ def encode(
                 counts = np.fromiter(map(len, values), np.int32, len(values)) // ID.itemsize
                 yield pa.RecordBatch.from_arrays([
                     pa.array([block]), pa.array([bucket], pa.int32()), pa.array([classes], pa.binary()),
-                    pa.array([_pack(counts)], pa.binary()), pa.array([_pack(np.frombuffer(b"".join(values), "<i4"))], pa.binary()),
+                    pa.array([_pack(counts, level)], pa.binary()), pa.array([_pack(np.frombuffer(b"".join(values), "<i4"), level)], pa.binary()),
                 ], names=["block", "bucket", "classes", "counts", "ids"])
 
     words = blocks.filter("bucket IS NOT NULL").select("block", "bucket", "classes", "words")
