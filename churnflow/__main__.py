@@ -4,7 +4,9 @@
     events [--date D] [--keep-unchanged]   daily event load into the ledger
     features [--date D ...] [--incremental]   weekly feature build, one or many snapshot dates
     payments --since D --date D   take changed payments anew into the totals that incremental builds use
-    train [--date D]           monthly training and promotion
+    watch [--date D]           check a snapshot against the profiles of earlier ones, then keep its own
+    tune [--date D]            choose the model's setting by cross-validation on the training window
+    train [--date D] [--setting NAME]   monthly training and promotion
     score [--date D]           weekly scoring
 
 Dates are YYYY-MM-DD and default to today (UTC).
@@ -17,7 +19,18 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from churnflow.plans import load_raw_tables, score_snapshot, train_and_register, update_features, update_ledger, update_payment_totals
+from churnflow.plans import (
+    check_snapshot,
+    load_raw_tables,
+    profile_snapshots,
+    score_snapshot,
+    train_and_register,
+    tune,
+    update_features,
+    update_ledger,
+    update_payment_totals,
+)
+from churnflow.plans.tuning import SETTINGS
 from churnflow.sources import Lake
 
 
@@ -29,10 +42,11 @@ def main(arguments: list[str] | None = None) -> None:
     load.add_argument("files", nargs="+", metavar="TABLE=PATH")
     load.add_argument("--multiline", action="store_true", help="fields may hold line breaks; one task reads a file")
     today = datetime.now(timezone.utc).date().isoformat()
-    for job in ("events", "train", "score", "payments"):
+    for job in ("events", "watch", "tune", "train", "score", "payments"):
         jobs.add_parser(job).add_argument("--date", default=today)
     jobs.choices["events"].add_argument("--keep-unchanged", action="store_true", help="leave months alone in which only update times would change")
     jobs.choices["train"].add_argument("--lookback-weeks", type=int, default=8)
+    jobs.choices["train"].add_argument("--setting", choices=sorted(SETTINGS), default="plain")
     jobs.choices["score"].add_argument("--threshold", type=float, default=0.5)
     jobs.choices["payments"].add_argument("--since")
     features = jobs.add_parser("features")
@@ -50,8 +64,13 @@ def main(arguments: list[str] | None = None) -> None:
         update_features(lake, options.date, incremental=options.incremental)
     elif options.job == "payments":
         update_payment_totals(lake, options.date, options.since)
+    elif options.job == "watch":
+        check_snapshot(lake, options.date)
+        profile_snapshots(lake, [options.date])
+    elif options.job == "tune":
+        print(tune(lake, options.date))
     elif options.job == "train":
-        print(train_and_register(lake, options.date, options.lookback_weeks))
+        print(train_and_register(lake, options.date, options.lookback_weeks, setting=SETTINGS[options.setting]))
     else:
         print(score_snapshot(lake, options.date, options.threshold))
 

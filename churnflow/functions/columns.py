@@ -52,7 +52,7 @@ def fail_when(broken: Column, message: Column, value: Column, kind: DataType) ->
     return F.when(broken, F.raise_error(message).cast(kind)).otherwise(value)
 
 
-def split_bucket(*key: Column) -> Column:
-    """A bucket 0..99 from the row's key alone, so it never depends on partitioning or row order."""
+def split_bucket(*key: Column, buckets: int = 100) -> Column:
+    """A bucket, 0..99 by default, from the row's key alone, so it never depends on partitioning or row order."""
     digest = F.md5(F.concat_ws("|", *(part.cast("string") for part in key)))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets

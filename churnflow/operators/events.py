@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -48,9 +49,39 @@ def keep_top_row(df: DataFrame, key: Sequence[str], highest: Sequence[str]) -> D
     return top.select(*(F.col(c) if c in key else F.col(f"top.{c}").alias(c) for c in df.columns))
 
 
+# A price and units as one whole number that orders as the pair does: both fill 18 digits, so units never reach this step.
+_ONE = 10**18
+_STEP = Decimal(2 * _ONE)
+
+
+def _packed(price: Column, units: Column) -> Column:
+    whole = (c.cast(k) * F.lit(10**k.scale) for c, k in ((price, PRICE), (units, UNITS)))
+    price, units = (w.cast("decimal(18,0)") for w in whole)
+    return (price * F.lit(_STEP) + units).cast("decimal(38,0)")
+
+
+def _unpacked(pair: Column) -> tuple[Column, Column]:
+    """Price and units again. Whole-number division needs a number that is not negative."""
+    shifted = F.call_function("div", pair + F.lit(Decimal(_ONE + 2 * _ONE * _ONE)), F.lit(_STEP))
+    price = (shifted - F.lit(_ONE)).cast("decimal(18,0)")
+    units = (pair - price * F.lit(_STEP)).cast("decimal(18,0)")
+    tiny = (F.lit(Decimal(1).scaleb(-k.scale)) for k in (PRICE, UNITS))
+    return tuple((w * t).cast(k) for w, t, k in zip((price, units), tiny, (PRICE, UNITS)))
+
+
 def dedupe_latest(events: DataFrame) -> DataFrame:
-    """One row per event key: the highest price, then the most units."""
-    return keep_top_row(events, EVENT_KEY, ["purchase_price", "purchase_units"])
+    """One row per event key: the highest price, then the most units.
+
+    The pair is packed into one number, whose maximum Spark takes in a hash table; that of a struct would sort all rows
+    before and after the shuffle.
+    Cleaned events have both.
+    """
+    if set(events.columns) - {*EVENT_KEY, "purchase_price", "purchase_units", "purchase_value"}:
+        return keep_top_row(events, EVENT_KEY, ["purchase_price", "purchase_units"])
+    top = events.groupBy(*EVENT_KEY).agg(F.max(_packed(F.col("purchase_price"), F.col("purchase_units"))).alias("pair"))
+    price, units = _unpacked(F.col("pair"))
+    found = top.select(*EVENT_KEY, price.alias("purchase_price"), units.alias("purchase_units"))
+    return _with_value(found).select(*events.columns)
 
 
 def stage_events(raw: DataFrame) -> DataFrame:

@@ -202,11 +202,37 @@ def balance_metrics(balances: DataFrame) -> DataFrame:
     )
 
 
+ATTRIBUTES = ("gender", "rango_edad", "tarjetas", "estado")
+# Labels are coded if there are so few that they fit the plan; else they are compared as texts, by sorting.
+MOST_LABELS = 2_000
+
+
+class _Labels:
+    """Numbers that order as the labels of an attribute do, so that maxima are taken in a hash table."""
+
+    def __init__(self, people: DataFrame) -> None:
+        pairs = people.select(F.inline(F.array(*(F.struct(F.lit(c).alias("attribute"), F.col(c).alias("label")) for c in ATTRIBUTES))))
+        found = pairs.filter("label IS NOT NULL").distinct().limit(MOST_LABELS + 1).collect()
+        self.few = 0 < len(found) <= MOST_LABELS
+        self._lists = {c: sorted((r.label for r in found if r.attribute == c), key=str.encode) for c in ATTRIBUTES}
+
+    def code(self, attribute: str) -> Column:
+        if not self.few:
+            return F.col(attribute)
+        return F.nullif(F.array_position(self._array(attribute), F.col(attribute)), F.lit(0)).cast("int").alias(attribute)
+
+    def label(self, attribute: str) -> Column:
+        return F.get(self._array(attribute), F.col(attribute) - 1).alias(attribute) if self.few else F.col(attribute)
+
+    def _array(self, attribute: str) -> Column:
+        return F.array(*map(F.lit, self._lists[attribute])).cast("array<string>")
+
+
 def demographics(people: DataFrame) -> DataFrame:
     """The greatest value of each attribute, taken separately, in binary string order."""
-    return people.groupBy(_customer("demographics")).agg(
-        *(F.max(c).alias(c) for c in ("gender", "rango_edad", "tarjetas", "estado")),
-    )
+    labels = _Labels(people)
+    coded = people.select(_customer("demographics"), *(labels.code(c) for c in ATTRIBUTES))
+    return coded.groupBy("customer_id").agg(*(F.max(c).alias(c) for c in ATTRIBUTES)).select("customer_id", *(labels.label(c) for c in ATTRIBUTES))
 
 
 def marketplace_metrics(marketplace: DataFrame) -> DataFrame:
@@ -221,8 +247,9 @@ def _profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
     The sources are stacked rather than joined: each fills its own columns and leaves the others
     NULL, which maxima ignore. That takes one shuffle where five joins would take ten.
     """
+    labels = _Labels(raw["demographics"])
     people = raw["demographics"].select(
-        _customer("demographics"), "gender", "rango_edad", "tarjetas", "estado", F.lit(True).alias("is_customer"))
+        _customer("demographics"), *(labels.code(c) for c in ATTRIBUTES), F.lit(True).alias("is_customer"))
     activity = raw["active_user"].select(
         _customer("active_user"), "mau_mp_1", "mau_ml_1", "mau_mp_3", "mau_ml_3",
         latest_date(F.col("last_login_mp_date_1"), F.col("last_login_ml_date_1")).alias("last_login_date"),
@@ -236,15 +263,16 @@ def _profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
 
     stacked = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True), [people, activity, balances, buyers, outcomes])
-    return stacked.groupBy("customer_id").agg(
+    found = stacked.groupBy("customer_id").agg(
         *(F.max(c).alias(c) for c in (
-            "gender", "rango_edad", "tarjetas", "estado",
+            *ATTRIBUTES,
             "mau_mp_1", "mau_ml_1", "mau_mp_3", "mau_ml_3", "last_login_date",
             "plata_cuenta_1", "plata_cuenta_2", "outcome")),
         F.bool_or("has_inversion").alias("has_inversion"),
         F.bool_or("is_customer").alias("is_customer"),
         F.sum("outcome_rows").alias("outcome_rows"),
     )
+    return found.withColumns({c: labels.label(c) for c in ATTRIBUTES})
 
 
 def build_features(raw: Mapping[str, DataFrame], snapshots: Sequence[date], run_ts: datetime, history: Callable[[Sequence[date]], PaymentHistory] | None = None) -> DataFrame:

@@ -68,12 +68,13 @@ def assembler_inputs(rows: DataFrame) -> list[str]:
     return [*present(NUMERIC_FEATURES, rows), *present(BINARY_FEATURES, rows), *one_hots]
 
 
-def churn_estimator(rows: DataFrame) -> Pipeline:
-    """Unfitted model for the feature columns that ``rows`` has."""
+def churn_estimator(rows: DataFrame, **options: object) -> Pipeline:
+    """Unfitted model for the feature columns that ``rows`` has; ``options`` are those of the regression."""
+    options = {"maxIter": MAX_ITERATIONS, "elasticNetParam": 0.0, **options}
     return Pipeline(stages=[
         *category_stages(present(CATEGORICAL_FEATURES, rows)),
         VectorAssembler(inputCols=assembler_inputs(rows), outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol=LABEL, maxIter=MAX_ITERATIONS, elasticNetParam=0.0),
+        LogisticRegression(featuresCol="features", labelCol=LABEL, **options),
     ])
 
 

@@ -19,13 +19,14 @@ from churnflow.operators.modeling import (
     with_split,
 )
 from churnflow.operators.registry import PROMOTED, REGISTERED, next_version
+from churnflow.operators.tuning import Setting
 from churnflow.schemas import CATEGORICAL_FEATURES, FEATURES, LABEL, MODEL_LOG, TRAINING_RUNS
 from churnflow.sources import Lake, staged
 
 MODEL_NAME = "churn-logreg"
 
 
-def fit_and_evaluate(rows: DataFrame) -> tuple[PipelineModel, dict[str, float]]:
+def fit_and_evaluate(rows: DataFrame, setting: Setting | None = None) -> tuple[PipelineModel, dict[str, float]]:
     """Fit on the train split only, and measure on the test split. Only counts reach the driver."""
     split = rows if "split" in rows.columns else with_split(rows)
     summary = {r.split: r for r in split_summary(split).collect()}
@@ -33,7 +34,7 @@ def fit_and_evaluate(rows: DataFrame) -> tuple[PipelineModel, dict[str, float]]:
         if name not in summary:
             raise ValueError(f"the {name} split is empty")
     train = split.filter(F.col("split") == "train")
-    model = churn_estimator(train).fit(train)
+    model = churn_estimator(train, **(setting or {})).fit(train)
 
     predicted = model.transform(split.filter(F.col("split") == "test")).select(
         vector_to_array("probability")[1].alias("score"), "prediction", LABEL)
@@ -45,13 +46,17 @@ def fit_and_evaluate(rows: DataFrame) -> tuple[PipelineModel, dict[str, float]]:
     return model, metrics
 
 
-def train_and_register(lake: Lake, snapshot: date | str, lookback_weeks: int = 8, model_name: str = MODEL_NAME, run_ts: datetime | None = None) -> int:
-    """Train on the trailing window, store the model under the next version, and promote it."""
+def train_and_register(lake: Lake, snapshot: date | str, lookback_weeks: int = 8, model_name: str = MODEL_NAME, run_ts: datetime | None = None, setting: Setting | None = None) -> int:
+    """Train on the trailing window, store the model under the next version, and promote it.
+
+    ``setting`` is one that ``tune`` has chosen. Of two runs at once the one that comes second to store its model fails, and
+    can be repeated: it then takes the next version.
+    """
     spark, run_ts, snapshot = lake.spark, run_ts or datetime.now(timezone.utc), as_date(snapshot)
     rows = with_split(training_set(lake.read(FEATURES), snapshot, lookback_weeks, keys_unique=True))
     # Fitting and measuring read the rows several times.
     with staged(rows, "training-rows") as rows:
-        model, metrics = fit_and_evaluate(rows)
+        model, metrics = fit_and_evaluate(rows, setting)
 
     version = next_version(lake.read_or_empty(MODEL_LOG), model_name)
     path = f"{lake.root}/models/{model_name}/v={version}"
@@ -63,6 +68,7 @@ def train_and_register(lake: Lake, snapshot: date | str, lookback_weeks: int = 8
         "lookback_weeks": str(lookback_weeks),
         "numeric_features": ",".join(assembler_inputs(rows)),
         "categorical_features": ",".join(present(CATEGORICAL_FEATURES, rows)),
+        **{name: str(value) for name, value in (setting or {}).items()},
     }
     tags = {"model_version": str(version), "production_ready": "True"}
     run = {

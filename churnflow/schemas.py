@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql.types import (
+    BinaryType,
     BooleanType,
     DataType,
     DateType,
@@ -147,6 +148,15 @@ FEATURES = Table(
     partition_by=("snapshot_date",),
 )
 
+# Profiles of snapshots: exact figures, and sketches that can be merged over dates.
+FEATURE_PROFILES = Table(
+    "features", "feature_profiles", _columns(
+        {"snapshot_date": DAY, "feature": TEXT, "n_rows": LongType(), "missing": LongType(), "zeros": LongType()},
+        least=DoubleType(), greatest=DoubleType(), mean=DoubleType(), spread=DoubleType(),
+        distinct_sketch=BinaryType(), quantile_sketch=BinaryType()),
+    key=("snapshot_date", "feature"), partition_by=("snapshot_date",),
+)
+
 SCORE_KEY = ("customer_id", "snapshot_date", "model_version")
 SCORES = Table(
     "ops", "churn_scoring",
@@ -170,6 +180,10 @@ TRAINING_RUNS = Table("ops", "training_runs", _columns(
     train_rows=LongType(), test_rows=LongType(),
     params=MapType(TEXT, TEXT), tags=MapType(TEXT, TEXT),
 ), key=("model_name", "model_version"))
+TUNING_RUNS = Table("ops", "tuning_runs", _columns(
+    {"snapshot_date": DAY, "setting": TEXT, "fold": IntegerType(), "run_ts": TimestampType()},
+    n_rows=LongType(), positives=LongType(), roc_auc=DoubleType(), accuracy=DoubleType(),
+), key=("snapshot_date", "setting", "fold", "run_ts"))
 MODEL_LOG = Table("ops", "model_log", _columns({
     "model_name": TEXT, "version": IntegerType(), "path": TEXT, "event": TEXT, "logged_at": TimestampType(),
 }))

@@ -203,3 +203,13 @@ def test_event_job_fails_without_the_raw_table_and_leaves_the_ledger(spark, lake
     with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
         update_ledger(lake, date(2023, 2, 3))
     assert lake.read_or_empty(LEDGER).isEmpty()
+
+
+def test_packed_prices_and_units_order_as_the_pair(spark):
+    numbers = [("-99999999999999.9999", "-9999999999.99999999"), ("-0.0001", "9999999999.99999999"), ("0", "-0.00000001"), ("0", "0"), ("0", "0.00000001"),
+               ("0.0001", "-9999999999.99999999"), ("12.5", "3"), ("99999999999999.9999", "9999999999.99999999")]
+    pairs = [(Decimal(p), Decimal(u)) for p, u in numbers]
+    df = spark.createDataFrame(pairs, "p decimal(18,4), u decimal(18,8)")
+    pair = ev._packed(F.col("p"), F.col("u"))
+    found = df.select("p", "u", pair.alias("k"), *(c.alias(n) for c, n in zip(ev._unpacked(pair), ("p2", "u2")))).orderBy("k").collect()
+    assert [(r.p, r.u) for r in found] == sorted(pairs) and all((r.p, r.u) == (r.p2, r.u2) for r in found)

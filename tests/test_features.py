@@ -313,3 +313,13 @@ def test_an_incremental_build_that_breaks_off_can_be_repeated(spark, lake, monke
             update_features(lake, [S], NOW, raw, incremental=True)
     update_features(lake, [S], NOW, raw, incremental=True)
     assert plain(stored_features(lake)) == full(S)
+
+
+def test_attributes_of_many_labels_are_compared_as_texts(spark, monkeypatch):
+    people = [{"cus_cust_id_buy": c % 7, "gender": f"é{c}" if c % 2 else f"z{c}", "estado": "Z" if c % 3 else None} for c in range(50)]
+    raw = tables(spark, demographics=people)["demographics"]
+    few = plain(ft.demographics(raw))
+    monkeypatch.setattr(ft, "MOST_LABELS", 10)
+    assert plain(ft.demographics(raw)) == few
+    want = {c: max((p["gender"] for p in people if p["cus_cust_id_buy"] == c), key=str.encode) for c in range(7)}
+    assert {r[0]: r[1] for r in few} == want

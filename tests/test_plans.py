@@ -107,6 +107,17 @@ def test_dedupe_reduces_before_its_only_shuffle(big, tmp_path):
     assert text.index("functions=[max(") < text.index("Exchange hashpartitioning") < text.index("functions=[partial_max(")
 
 
+def test_top_rows_and_text_maxima_are_hashed(big, tmp_path):
+    texts = [plan(ev.stage_events(stored(big, tmp_path, RAW_EVENTS)))]
+    raw = {name: stored(big, tmp_path, table) for name, table in RAW_CUSTOMER_TABLES.items()}
+    people = [("x", i, g, a, "c", None) for i, g, a in ((1, "male", "01"), (1, "female", None), (2, None, None))]
+    raw["demographics"] = big.createDataFrame(people, RAW_CUSTOMER_TABLES["demographics"].schema)
+    texts += [plan(ft.demographics(raw["demographics"])), plan(ft.build_features(raw, [S], NOW))]
+    assert all("HashAggregate" in t and "SortAggregate" not in t for t in texts)
+    found = {r.customer_id: tuple(r)[1:] for r in ft.demographics(raw["demographics"]).collect()}
+    assert found == {1: ("male", "01", "c", None), 2: (None, None, "c", None)}
+
+
 def test_upsert_shuffles_only_keys_of_the_source(big, tmp_path):
     ledger, staged = stored(big, tmp_path, LEDGER), stored(big, tmp_path, STAGED_EVENTS)
     text = plan(survivors(ledger, staged, EVENT_KEY))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
@@ -31,6 +32,7 @@ from churnflow.operators.modeling import (
     training_set,
     with_split,
 )
+from churnflow.operators.monitoring import DISTINCT_ERROR, QUANTILES, RANK_ERROR, bin_counts, described, drift, feature_values, profile
 from churnflow.operators.registry import PROMOTED, REGISTERED, current_model, model_versions
 from churnflow.operators.scoring import (
     SCENARIO,
@@ -41,6 +43,7 @@ from churnflow.operators.scoring import (
     scenario_grid,
     score_output,
 )
+from churnflow.operators.tuning import fold_metrics, with_fold
 from churnflow.plans import score_scenarios, score_snapshot, train_and_register, update_features, update_ledger
 from churnflow.plans.training import MODEL_NAME
 from churnflow.schemas import (
@@ -475,6 +478,55 @@ def _exact_numbers(spark, d):
     return plain(prices.select(F.lit("price").alias("kind"), F.col("purchase_price").alias("number"), "n").unionByName(ids.select(F.lit("id").alias("kind"), "number", "n")))
 
 
+# Fixed bin edges of the drift measure.
+DRIFT_EDGES = {
+    **{c: (1.0, 50_000.0, 100_000.0, 200_000.0, 400_000.0) for c in ("spent_7d", "spent_30d", "spent_90d")},
+    **{c: (1.0, 2.0, 4.0, 6.0) for c in ("payments_30d", "payments_90d")},
+    "total_discount_30d": (1.0, 2_000.0, 8_000.0, 20_000.0),
+    **{c: (1.0, 2.0, 3.0, 5.0, 8.0) for c in ("mau_mp_1", "mau_ml_1", "mau_mp_3", "mau_ml_3")},
+    **{c: (-500.0, 0.0, 1_000.0, 5_000.0, 9_000.0) for c in ("plata_cuenta_1", "plata_cuenta_2")},
+    "days_since_activity": (0.0, 7.0, 15.0, 30.0, 60.0, 120.0, 365.0), "has_inversion": (1.0,),
+}
+
+
+def _drift_psi(spark, d):
+    found = drift(bin_counts(feature_table(spark, d), DRIFT_EDGES), WEEKS[0])
+    return plain(found.withColumn("psi", F.round("psi", 9)))
+
+
+def _feature_profile(spark, d):
+    """The exact figures, and whether the sketches keep to their errors, by ranks and distinct values counted in full."""
+    rows = feature_table(spark, d)
+    found = described(profile(rows))
+    key = ["snapshot_date", "feature"]
+    near = feature_values(rows).join(F.broadcast(found.select(*key, "quantiles")), key).groupBy(*key).agg(
+        F.count("number").alias("n"), F.count_distinct(F.coalesce("label", F.col("number").cast("string"))).alias("n_distinct"),
+        *(F.count_if(F.col("number") < F.col("quantiles")[i]).alias(f"below_{i}") for i in range(len(QUANTILES))),
+        *(F.count_if(F.col("number") <= F.col("quantiles")[i]).alias(f"upto_{i}") for i in range(len(QUANTILES))))
+    ranks = [(F.col(f"below_{i}") <= F.col("n") * (q + RANK_ERROR)) & (F.col(f"upto_{i}") >= F.col("n") * (q - RANK_ERROR)) for i, q in enumerate(QUANTILES)]
+    distinct = F.abs(F.col("distinct_values") - F.col("n_distinct")) <= F.col("n_distinct") * DISTINCT_ERROR
+    return plain(found.join(near, key).select(
+        *key, "n_rows", "missing", "zeros", "least", "greatest", F.round("mean", 3).alias("mean"), F.round("stddev", 3).alias("stddev"),
+        reduce(lambda a, b: a & b, ranks).alias("quantiles_hold"), distinct.alias("distinct_holds")))
+
+
+FOLDS = 5
+
+
+def _customer_folds(spark, d):
+    return plain(with_fold(training_rows(spark, d), FOLDS).select(*FEATURE_KEY, "fold"))
+
+
+def _cross_validation(spark, d):
+    """Metrics of every fold for three formulas in place of fitted models."""
+    rows = with_fold(training_rows(spark, d), FOLDS)
+    idle, spent = rule_score(), F.least(F.col("spent_90d").cast("double"), F.lit(1000000.0)) / F.lit(2000000.0)
+    formulas = {"both": idle, "idle": idle - F.lit(0.5) + spent + F.lit(0.25), "spend": F.lit(0.75) - spent}
+    grid = rows.select("fold", LABEL, F.inline(F.array(*(
+        F.struct(F.lit(name).alias("setting"), F.round(score, 9).alias("score")) for name, score in formulas.items()))))
+    return plain(fold_metrics(apply_threshold(grid)).withColumn("roc_auc", F.round("roc_auc", 6)))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -524,4 +576,8 @@ QUERIES: dict[str, Query] = {
     "score_with_model": _score_with_model,
     "what_if_scores": _what_if_scores,
     "exact_numbers": _exact_numbers,
+    "drift_psi": _drift_psi,
+    "feature_profile": _feature_profile,
+    "customer_folds": _customer_folds,
+    "cross_validation": _cross_validation,
 }
