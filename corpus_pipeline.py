@@ -1,7 +1,12 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
 
-Stages whose decisions change a text set ``n_chars`` to its new length. A document of which nothing is left
-after a stage goes. Null and empty texts fail the quality rules and go in the first stage.
+Stages whose decisions change a text set ``n_chars``, if there is one, to its new length. A document of which nothing is left
+after a stage goes. Null and empty texts fail the quality rules and go in the first stage; an empty table stays empty. Of repeated
+rows, as of all copies, one stays: of equal texts that with the smallest id (nulls last), of rows equal in both any one. Passages are
+kept where the smallest id has them. Texts of any length pass whole, within the memory of a few of the longest.
+
+Other columns pass through all stages, whatever their names. The last stage puts ``n_tokens``, ``ids``, ``ids_sha256`` and
+``decoded_sha256`` in place of ``text`` and ``n_chars``, and of columns that have these names.
 """
 
 from __future__ import annotations
@@ -9,14 +14,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from churnflow.llm import bpe, chunk_dedup, decontaminate, near_duplicates, quality
-from churnflow.llm.columns import stored
+from churnflow.llm.columns import delete, scratch, shared_path, stored
 from churnflow.llm.queries import tokenizer_file
 
 
+def _with_row(docs: DataFrame) -> DataFrame:
+    """Id and text, and all other columns in one, so that no operator's results can take their names."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_chars")]
+    return docs.select("doc_id", "text", F.struct(*others).alias("others"))
+
+
 def _shortened(changed: DataFrame, columns: list[str]) -> DataFrame:
     """The columns of ``documents``, without documents that lost all of their text."""
-    kept = changed.filter("text <> ''")
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+    own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return changed.filter("text <> ''").select(*(own.get(c, F.col(f"others.`{c}`")).alias(c) for c in columns))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,23 +42,25 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has."""
-    return _shortened(chunk_dedup.dedup(docs), docs.columns)
+    return _shortened(chunk_dedup.dedup(_with_row(docs)), docs.columns)
 
 
 def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of benchmark items; documents that are mostly such go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _shortened(decontaminate.clean(docs, items), docs.columns)
+    return _shortened(decontaminate.clean(_with_row(docs), items), docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, with digests of the ids and of their decoding."""
     tokenizer = tokenizer_file()
-    encoded = bpe.encode(docs.drop("n_chars"), tokenizer)
-    return bpe.decode(encoded, tokenizer, text="decoded").select(
-        "doc_id", "lang", "source", (F.length("ids") / bpe.ID.itemsize).cast("long").alias("n_tokens"), "ids",
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    encoded = bpe.encode(_with_row(docs), tokenizer)
+    results = {
+        "n_tokens": (F.length("ids") / bpe.ID.itemsize).cast("long"), "ids": F.col("ids"),
+        "ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2(F.col("decoded").cast("binary"), 256),
+    }
+    others = [F.col(f"others.`{c}`").alias(c) for c in docs.columns if c not in ("text", "n_chars", *results)]
+    return bpe.decode(encoded, tokenizer, text="decoded").select(*others, *(value.alias(name) for name, value in results.items()))
 
 
 STAGES = [
@@ -63,7 +76,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage. What a stage leaves behind goes as soon as its result is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = shared_path(spark, name)
+        with scratch(spark):
+            docs = stored(stage(spark, docs, sf_dir), name, path)
+        if before:
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
