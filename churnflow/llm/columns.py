@@ -25,16 +25,34 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors.
 
-    Give a ``path`` to ``delete`` it early; otherwise it stays as long as the shared folder keeps it.
+    Without a ``path`` of the caller's, who then deletes it, it goes at the end of the ``scratch`` block it was
+    written in; outside of one it stays as long as the shared folder keeps it, since a result may still read it.
     """
     spark = df.sparkSession
-    path = path or shared_path(spark, name)
+    if path is None:
+        path = shared_path(spark, name)
+        if _scopes:
+            _scopes[-1].append(path)
     # What the write shuffled is of no use to any later query, so it goes when the write is over.
     with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """All that operators store during the block is deleted at its end, also on failure: write results within it."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -49,10 +51,14 @@ class _Open:
 
 
 class _Reader(HTMLParser):
-    def __init__(self) -> None:
+    """Reads a page in time linear in its length: where tags are open is known by name, and not looked for in the stack."""
+
+    def __init__(self, names: frozenset[str] | None) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
+        self._names = names
         self._stack = [Element("")]
+        self._places: defaultdict[str, list[int]] = defaultdict(list)
         self._open = _Open()
 
     def _flush(self) -> None:
@@ -65,20 +71,23 @@ class _Reader(HTMLParser):
     def _pop_to(self, index: int) -> None:
         if any(e.tag in BLOCK and not e.silent for e in self._stack[index:]):
             self._flush()
+        for element in self._stack[index:]:
+            self._places[element.tag].pop()
         del self._stack[index:]
 
-    def _find(self, tags: set[str] | frozenset[str], until: set[str]) -> int:
-        for i in range(len(self._stack) - 1, 0, -1):
-            if self._stack[i].tag in tags:
-                return i
-            if self._stack[i].tag in until:
-                return 0
-        return 0
+    def _push(self, element: Element) -> None:
+        self._places[element.tag].append(len(self._stack))
+        self._stack.append(element)
+
+    def _find(self, tags: Iterable[str], until: Iterable[str]) -> int:
+        """Where the innermost of ``tags`` is open, 0 if one of ``until`` lies inside it."""
+        found = max((self._places[t][-1] for t in tags if self._places[t]), default=0)
+        return found if found and all(self._places[t][-1] < found for t in until if self._places[t]) else 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self._stack[-1].silent and self._find({"annotation-xml"}, {"math"}):
             if tag not in VOID:  # ends nothing outside, and no block
-                self._stack.append(Element(tag, silent=True))
+                self._push(Element(tag, silent=True))
             return
         if tag == "body" and (at := self._find({"head"}, set())):
             self._pop_to(at)
@@ -99,9 +108,9 @@ class _Reader(HTMLParser):
         own = [f"tag:{tag}"] if tag in BLOCK else []
         for name, value in attrs:
             if value and name in ("class", "id", "role", "itemprop", "aria-label", "data-component"):
-                own += [f"name:{t}" for t in _TOKEN.findall(value.lower())]
+                own += [f"name:{t}" for t in _TOKEN.findall(value.lower()) if self._names is None or t in self._names]
         path = above.path + tuple(f for f in own if f not in above.path) if own else above.path
-        self._stack.append(Element(tag, path, above.in_link or tag == "a", above.silent or tag in SILENT))
+        self._push(Element(tag, path, above.in_link or tag == "a", above.silent or tag in SILENT))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # in HTML the slash means nothing but for void elements
@@ -128,12 +137,15 @@ class _Reader(HTMLParser):
             self._open.linked += len(data)
 
 
-def blocks(html: str) -> list[Block]:
-    """Blocks in page order, white space inside them turned into single spaces, references decoded."""
+def blocks(html: str, names: frozenset[str] | None = None) -> list[Block]:
+    """Blocks in page order, white space inside them turned into single spaces, references decoded.
+
+    Of the names of elements only ``names`` are kept, if given, which bounds what is known of a block's place.
+    """
     last = html.rfind("<")
     if last > html.rfind(">") and html[last + 1 : last + 2].isalpha():
         html = html[:last]  # a page that ends inside a tag: the tag is dropped, as browsers do
-    reader = _Reader()
+    reader = _Reader(names)
     reader.feed(html)
     reader.close()
     reader._flush()

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import html as escaping
 import random
+import re
 
 _CONTENT_NAMES = ["content", "post", "entry-content", "article-body", "main-content", "story", "text", "post-body", "page"]
 _NOISE = {
@@ -14,7 +15,9 @@ _NOISE = {
     "ad": ["ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner", "ad-slot"],
     "aside": ["sidebar", "widget", "related", "recommended", "popular-posts", "side", "teaser"],
     "notice": ["cookie-notice", "cookies", "consent", "notice", "alert", "gdpr", "popup", "modal", "paywall", "subscribe"],
-    "comments": ["comments", "comment", "comment-list", "discussion", "replies", "disqus", "reader-comments"],
+    "comments": [
+        "comments", "comment", "comment-list", "discussion", "replies", "disqus", "reader-comments", "responses", "respond", "feedback", "reactions", "thread",
+    ],
     "footer": ["footer", "site-footer", "copyright", "legal", "bottom", "colophon"],
     "header": ["header", "site-header", "masthead", "topbar", "logo", "branding"],
     "form": ["search", "newsletter", "signup", "login", "contact-form", "poll"],
@@ -24,6 +27,12 @@ _TAGS = {
     "nav": ["nav", "div", "ul"], "ad": ["div", "aside", "section", "ins"], "aside": ["aside", "div", "section"], "notice": ["div", "section", "dialog"],
     "comments": ["section", "div", "ol"], "footer": ["footer", "div"], "header": ["header", "div"], "form": ["form"], "share": ["div", "ul"],
 }
+# Words of which names are made up.
+NAMES = frozenset(t for names in (_CONTENT_NAMES, *_NOISE.values(), ["wrapper", "container", "main"]) for name in names for t in re.findall("[a-z]+", name))
+_SCRIPTS = (
+    ("абвгдежзийклмнопрстуфхцчшщыьэюя", " ", ".!?", ","), ("αβγδεζηθικλμνξοπρστυφχψω", " ", ".;!", ","), ("ابتثجحخدذرزسشصضطظعغفقكلمنهوي", " ", ".؟!", "،"),
+    ("अआइईउऊएऐओऔकखगघचछजझटठडढतथदधन", " ", "।!?", ","), ("日本語文字山川人大小中国学生先月年時間", "", "。！？", "、"),
+)
 
 
 class Page:
@@ -31,21 +40,23 @@ class Page:
 
     def __init__(self, seed: int) -> None:
         self._r = random.Random(seed)
+        latin = ("abcdefghijklmnoprstuvwéüñß", " ", ".!?", ",")
+        self._letters, self._gap, self._stops, self._comma = self._r.choice(_SCRIPTS) if self._r.random() < 0.15 else latin
         self.labels: list[bool] = []
         self._out: list[str] = []
         self._lay_out()
         self.html = "".join(self._out)
 
     def _word(self) -> str:
-        return "".join(self._r.choices("abcdefghijklmnoprstuvwéüñß", k=self._r.randint(1, 9)))
+        return "".join(self._r.choices(self._letters, k=self._r.randint(1, 9 if self._gap else 2)))
 
     def _words(self, low: int, high: int) -> str:
         words = [self._word() for _ in range(self._r.randint(low, high))]
-        return " ".join(words)
+        return self._gap.join(words)
 
     def _sentences(self, low: int, high: int) -> str:
-        return " ".join(
-            self._words(1, 14).capitalize() + ("," + " " + self._words(1, 8) if self._r.random() < 0.3 else "") + self._r.choice("...!?")
+        return self._gap.join(
+            self._words(1, 14).capitalize() + (self._comma + self._gap + self._words(1, 8) if self._r.random() < 0.3 else "") + self._r.choice(self._stops[0] * 3 + self._stops)
             for _ in range(self._r.randint(low, high))
         )
 
@@ -57,10 +68,10 @@ class Page:
         end = "" if tag in ("p", "li") and self._r.random() < 0.2 else f"</{tag}>"
         self._out.append(f"<{tag}{attributes}>{text}{end}")
 
-    def _named(self, kind: str) -> str:
+    def _named(self, kind: str, tag: str) -> str:
         r = self._r.random()
         name = self._r.choice(_NOISE[kind])
-        return "" if r < 0.15 else f' class="{name}"' if r < 0.75 else f' id="{name}"'
+        return "" if r < (0.6 if tag in ("nav", "header", "footer", "aside", "form", "dialog") else 0.15) else f' class="{name}"' if r < 0.75 else f' id="{name}"'
 
     def _links(self, n: int, label: bool) -> None:
         self._out.append("<ul>")
@@ -71,7 +82,7 @@ class Page:
 
     def _noise(self, kind: str) -> None:
         tag = self._r.choice(_TAGS[kind])
-        name = self._named(kind)
+        name = self._named(kind, tag)
         if not name and tag in ("div", "section", "ul", "ol", "ins"):
             name = f' class="{self._r.choice(_NOISE[kind])}"'  # nothing else would tell what it is
         self._out.append(f"<{tag}{name}>")
@@ -80,8 +91,17 @@ class Page:
             self._out.append(self._sentences(1, 3))
         if kind in ("nav", "header", "footer", "share") and self._r.random() < 0.7:
             self._links(self._r.randint(2, 8), False)
-        if kind in ("footer",):
-            self._text(self._r.choice(["p", "div"]), f"© {self._word()} {self._sentences(1, 2)}", False)
+        if kind == "footer":
+            for _ in range(self._r.choice([1, 1, 2, 3])):
+                text = self._sentences(1, 3) if self._r.random() < 0.7 else self._words(1, 9)
+                text = f"{self._r.choice(['© ', '| ', ''])}{text}" if self._r.random() < 0.6 else text
+                inner = self._r.choice(["p", "div", "small", "address", ""])
+                if inner in ("", "small") and self.html_ends_in_text():
+                    inner = "p"
+                if inner:
+                    self._text(inner, text, False)
+                else:
+                    self._bare(text, False)
         elif kind == "header":
             self._text(self._r.choice(["div", "h1", "p"]), self._words(1, 5), False)
         elif kind == "form":
@@ -89,6 +109,8 @@ class Page:
             self._out.append('<input type="text">')
             self._text("button", self._words(1, 2), False)
         elif kind == "comments":
+            if tag != "ol" and self._r.random() < 0.5:
+                self._text(self._r.choice(["h2", "h3", "h4"]), self._words(1, 3), False)
             for _ in range(self._r.randint(1, 4)):
                 wrapper = self._r.choice(["li", "div", "article"]) if tag != "ol" else "li"
                 self._out.append(f"<{wrapper}>")
@@ -133,15 +155,52 @@ class Page:
             self._out.append("</tr>")
         self._out.append("</table>")
 
+    def _bare(self, text: str, label: bool) -> None:
+        """Text directly in what is open."""
+        self.labels.append(label)
+        self._out.append(escaping.escape(text))
+
+    def html_ends_in_text(self) -> bool:
+        """Whether more bare text would go on the block before."""
+        return bool(self._out) and (not self._out[-1].endswith(">") or self._out[-1].endswith(("</small>", "</b>", "</em>", "</span>")))
+
+    def _broken_lines(self) -> None:
+        """Paragraphs parted by line breaks only: one block."""
+        self._bare("", True)
+        self._out.append("<br><br>".join(escaping.escape(self._sentences(1, 6)) for _ in range(self._r.randint(2, 6))))
+
     def _article(self) -> None:
         kind = self._r.random()
-        if kind < 0.55:
+        opened, closed = "", ""
+        if kind < 0.45:
             tag, attributes = "article", self._r.choice(["", "", ' class="post"', ' id="story"'])
-        elif kind < 0.75:
+            if self._r.random() < 0.25:
+                opened, closed = "<main>", "</main>"
+        elif kind < 0.60:
             tag, attributes = "main", self._r.choice(["", ' role="main"', ' id="content"'])
-        else:
+        elif kind < 0.80:
             tag, attributes = self._r.choice(["div", "section", "td"]), f' {self._r.choice(["class", "id"])}="{self._r.choice(_CONTENT_NAMES)}"'
-        self._out.append(f"<{tag}{attributes}>" if tag != "td" else f"<table><tr><td{attributes}>")
+        else:
+            tag, attributes = self._r.choice(["div", "div", "td"]), ""
+        if tag == "td":  # a layout table, perhaps with a menu in a cell of its own
+            opened, closed = "<table><tr>", "</tr></table>"
+        self._out.append(opened)
+        if tag == "td" and self._r.random() < 0.6:
+            self._out.append(self._r.choice(["<td>", '<td class="menu">', '<td width="150">']))
+            if self._r.random() < 0.5:
+                self._links(self._r.randint(2, 8), False)
+            else:
+                self.labels.append(False)
+                self._out.append("<br>".join(f'<a href="/{self._word()}">{self._words(1, 3)}</a>' for _ in range(self._r.randint(2, 8))))
+            self._out.append("</td>")
+        self._out.append(f"<{tag}{attributes}>")
+        paragraph = "div" if tag in ("div", "td") and self._r.random() < 0.4 else "p"
+        if tag in ("div", "td") and self._r.random() < 0.35:
+            if self._r.random() < 0.6:
+                self._text("h1", self._words(1, 12), True)
+            self._broken_lines()
+            self._out.append(f"</{tag}>{closed}")
+            return
         if self._r.random() < 0.9:
             self._text("h1", self._words(1, 12), True)
         inner = self._r.random() < 0.2
@@ -150,7 +209,7 @@ class Page:
         for _ in range(self._r.randint(1, 12)):
             r = self._r.random()
             if r < 0.65:
-                self._text("p", self._sentences(1, self._r.choice([1, 1, 3, 8])), True)
+                self._text(paragraph, self._sentences(1, self._r.choice([1, 1, 3, 8])), True)
             elif r < 0.73:
                 self._text(self._r.choice(["h2", "h3", "h4", "h5", "h6"]), self._words(1, 7), True)
             elif r < 0.80:
@@ -171,7 +230,9 @@ class Page:
             self._out.append("</div>")
         if self._r.random() < 0.15:
             self._noise("comments")
-        self._out.append(f"</{tag}>" if tag != "td" else "</td></tr></table>")
+        if self._r.random() < 0.2:
+            self._noise("footer")
+        self._out.append(f"</{tag}>{closed}")
 
     def _lay_out(self) -> None:
         self._out.append("<!DOCTYPE html><html><head><title>x</title><script>var a = '<p>';</script></head><body>")

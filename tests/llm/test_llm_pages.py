@@ -6,6 +6,7 @@ import collections
 import hashlib
 import io
 import struct
+import time
 import zipfile
 
 import pytest
@@ -164,6 +165,46 @@ def test_parts_of_articles(part, around):
     assert html_extract.main_text(page, html_extract.trained()).split("\n") == want
 
 
+NAV = '<nav class="menu"><ul><li><a href="/">Home</a><li><a href="/b">Blog</a></ul></nav>'
+PIE = "<h1>Apple pie</h1><p>My aunt made this pie every autumn, and we all liked it.</p><p>Let it cool before you eat it.</p>"
+PIE_TEXT = "Apple pie\nMy aunt made this pie every autumn, and we all liked it.\nLet it cool before you eat it."
+
+
+@pytest.mark.parametrize("footer", [
+    "<footer><p>All rights reserved.</p></footer>", "<footer><p>Published by the Example Company in Rome.</p></footer>", "<footer>Contact us at the office.</footer>",
+    "<footer>&copy; 2020 Pies</footer>", "<footer><div>Terms</div><div>Write to us.</div></footer>"])
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main><article>{}</article></main>", '<div class="content">{}</div>'])
+def test_footers_go_without_mark_or_name(around, footer):
+    assert html_extract.main_text(f"<html><body>{NAV}{around.format(PIE)}{footer}</body></html>", html_extract.trained()) == PIE_TEXT
+
+
+LAYOUTS = {
+    "responses": (f'{NAV}<article>{PIE}</article><section class="responses"><h3>Two answers</h3><div><p>So good, thanks!</p></div><div><p>I tried it twice, it was fine.</p></div></section>', PIE_TEXT),
+    "bare div": (f"{NAV}<div><h1>Apple pie</h1><div>My aunt made this pie every autumn, and we all liked it.</div><div>Let it cool before you eat it.</div></div><footer><p>© Pies</p></footer>", PIE_TEXT),
+    "line breaks": (f"{NAV}<div id=content>My aunt made this pie every autumn, and we all liked it.<br><br>Let it cool before you eat it.</div><footer>© Pies</footer>", PIE_TEXT.split("\n", 1)[1].replace("\n", " ")),
+    "menu cell": (f"<table><tr><td><a href=/>Home</a><br><a href=/b>Blog</a><br><a href=/c>Shop</a></td><td>{PIE}</td></tr></table>", PIE_TEXT),
+    "menu cell with a list": (f"<table><tr><td width=150><ul><li><a href=/>Home</a><li><a href=/b>Blog</a></ul></td><td>{PIE}</td></tr></table>", PIE_TEXT),
+    "footer inside": (f"{NAV}<article>{PIE}<footer><p>Filed under cakes by the editor.</p></footer></article>", PIE_TEXT),
+    "Japanese": (f"{NAV}<article><h1>りんごのパイ</h1><p>叔母は毎年秋にこのパイを作り、私たちは皆それが好きでした。</p></article><footer>お問い合わせは事務所まで。</footer>", "りんごのパイ\n叔母は毎年秋にこのパイを作り、私たちは皆それが好きでした。"),
+    "Russian": (f"{NAV}<article><h1>Пирог</h1><p>Моя тётя пекла этот пирог каждую осень, и мы все его любили.</p></article><footer><p>Все права защищены.</p></footer>", "Пирог\nМоя тётя пекла этот пирог каждую осень, и мы все его любили."),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_layouts(name):
+    page, want = LAYOUTS[name]
+    assert html_extract.main_text(f"<html><body>{page}</body></html>", html_extract.trained()) == want
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 200_000 + "x", "<span>" * 200_000 + "</b>" * 200_000, "<p><table><tr><td>" + "<div>" * 200_000 + "y",
+    "".join(f"<div class=c{i}>" for i in range(200_000)) + "z", "<ul>" + "<li>a" * 200_000])
+def test_time_grows_with_the_length_of_a_page(page):
+    model, start = html_extract.trained(), time.process_time()
+    html_extract.main_text(page, model)
+    assert time.process_time() - start < 40
+
+
 def test_extraction_of_held_out_pages():
     model = html_extract.trained()
     right = total = whole = 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -67,8 +68,40 @@ def test_run(spark, folder):
     assert by_id[0].decoded_sha256 == hashlib.sha256(tokenizer.decode(ids.tolist(), skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_ties_repeats_long_texts_and_clashing_names(spark, tmp_path):
+    """Columns named like results of the operators keep their values; a long text passes whole."""
+    rng = random.Random(3)
+    base, passage, long = sentence(rng, 120), sentence(rng, 70), sentence(rng, 40_000)
+    rows = [(1, base), (1, base), (2, base), (None, base), (5, f"{passage} {sentence(rng, 60)}"), (6, f"{sentence(rng, 60)} {passage}"), (7, long), (8, None), (9, "")]
+    schema = "doc_id long, text string, n_bytes long, n_removed long, spans string, others string, document string, ids string, n_chars long"
+    given = [(i, t, 111 if i is None else 100 + i, 7, "own", "mine", "doc", "x", 0) for i, t in rows]
+    spark.createDataFrame(given, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, sentence(rng, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.dtypes == spark.read.parquet(f"{tmp_path}/documents.parquet").dtypes
+    found = {r.doc_id: r for r in docs.collect()}
+    assert set(found) == {1, 5, 6, 7} and docs.count() == 4
+    assert all((r.n_bytes, r.n_removed, r.spans, r.others, r.document, r.ids) == (100 + i, 7, "own", "mine", "doc", "x") for i, r in found.items())
+    assert found[7].text == long and found[7].n_chars == len(long) and len(found[6].text) < len(found[5].text)
+    last = corpus_pipeline.run(spark, str(tmp_path))
+    assert last.columns == ["doc_id", "n_bytes", "n_removed", "spans", "others", "document", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    assert {r.doc_id: r.n_bytes for r in last.collect()} == {i: 100 + i for i in found}
+
+
+def test_empty_table_and_no_scratch_left(spark, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir")
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    before = set(os.listdir(f"{root}/llm")) if os.path.isdir(f"{root}/llm") else set()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(f"{root}/llm")) - before}
+    assert left <= {"decontamination", "bpe-blocks"}  # what the result is still read from
+
+
 def test_order_of_the_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "substring_dedup", "decontamination", "bpe"]
     assert all(m for m in (quality, near_duplicates, chunk_dedup, decontaminate))
     assert set(__spark_entry__.queries()) >= {"pipeline", *(n for n in __spark_entry__.queries() if n.startswith("op"))}
-    assert sum(n.startswith("op") for n in __spark_entry__.queries()) == 10
+    assert sum(n.startswith("op") for n in __spark_entry__.queries()) == 13
