@@ -5,17 +5,22 @@ strings are judged on the input.
 
 1. A string has a fingerprint: the least hash of the 64-byte strings (grams) in it. It is a function of the
    string alone. Starts with one least gram are a run, and equal strings are in different runs, so only starts
-   whose fingerprint several runs have can be repeated. Blocks of documents count fingerprints, in buckets.
+   whose fingerprint several runs have can be repeated. Blocks of documents count the runs of fingerprints, in buckets.
 2. The bytes of a run of starts with one repeated fingerprint are a piece. Equal strings have equal
    fingerprints, so their pieces meet in one bucket, each different piece once with the number of its copies.
    The pieces of a few fingerprints make a shard; its suffix array, by induced sorting, and the
    common prefixes of neighbours in it tell which strings are repeated. All starts of a piece with a copy are.
-3. Each block gets its answers and removes what the repeated strings cover.
+3. A line shorter than a string, in very many different texts, gives them all one fingerprint but no equal strings.
+   So a fingerprint of more than ``CROWDED`` runs is refined by the whole strings: starts of its runs are dealt by a
+   128-bit digest of their string, each digest once a block, and those with a digest that comes again are repeated.
+   Equal digests count as equal strings.
+4. Each block gets its answers and removes what the repeated strings cover.
 
 No step is a sample: pieces hold all of a text but what has a fingerprint of its own. Blocks are written to
 the shared folder, and each later step answers exactly the block that asked. A passage that a third of all
-documents hold is one piece a block. What meets in one task are the *different* pieces around one
-fingerprint, which are bounded by the variants of one passage, not by its copies.
+documents hold is one piece a block, or one digest a start and block. What meets in one task are the different pieces around one
+fingerprint, ``CROWDED`` at most, and one entry a block of each digest. Texts of any length pass; a task holds a block and
+its longest text several times over.
 
 Null texts stay null and have no bytes. Texts of less than ``LENGTH`` bytes are never changed. Repeated rows
 remove each other like any other copies. Empty tables give empty results. Other columns pass through; one
@@ -41,6 +46,8 @@ LENGTH = 200
 GRAM = 64
 BLOCK_BYTES = 16 << 20
 SHARD_BYTES = 2 << 20
+CROWDED = 4096  # runs of one fingerprint whose pieces meet in one shard, of about 300 bytes each
+_COUNT, _MANY = np.dtype("<u2"), (1 << 16) - 1
 _CHUNK = 4 << 20  # starts of a long text that are fingerprinted at once
 _PLACE = np.uint64((1 << 23) - 1)  # low bits of a ranked hash that hold its place in a chunk
 
@@ -101,7 +108,7 @@ def _by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int
     """A stable order by bucket, and (bucket, low, high) of each in that order."""
     order = np.argsort(bucket, kind="stable")
     named, first = np.unique(bucket[order], return_index=True)
-    return order, list(zip(named.tolist(), first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True))
+    return order, list(zip(named.tolist(), first.tolist(), [*first[1:].tolist(), len(bucket)][: len(named)], strict=True))
 
 
 def _rows(fields: StructType, **columns) -> pa.RecordBatch:
@@ -123,7 +130,7 @@ class _Dealer:
 def _blocks(documents: DataFrame, text: str, length: int, buckets: int, document: StructField) -> DataFrame:
     schema = StructType([
         StructField("block", StringType()), StructField("bucket", IntegerType()),
-        StructField("values", BinaryType()), StructField("several", BinaryType()), StructField("documents", ArrayType(document.dataType)),
+        StructField("values", BinaryType()), StructField("counts", BinaryType()), StructField("documents", ArrayType(document.dataType)),
     ])
 
     def flush(parts: list, found: list, name: str) -> Iterator[pa.RecordBatch]:
@@ -134,7 +141,7 @@ def _blocks(documents: DataFrame, text: str, length: int, buckets: int, document
         dealt = _Dealer(found, buckets)
         for bucket, low, high in dealt.bounds:
             mine = dealt.order[low:high]
-            yield _rows(schema, block=[name], bucket=[bucket], values=[_squeeze(dealt.values[mine].tobytes())], several=[np.packbits(dealt.counts[mine] > 1).tobytes()])
+            yield _rows(schema, block=[name], bucket=[bucket], values=[_squeeze(dealt.values[mine].tobytes())], counts=[_squeeze(np.minimum(dealt.counts[mine], _MANY).astype(_COUNT).tobytes())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -159,15 +166,56 @@ def _blocks(documents: DataFrame, text: str, length: int, buckets: int, document
     return source.mapInArrow(run, schema)
 
 
-def _repeated(group: pa.Table) -> pa.Table:
-    """For the blocks of one bucket, bits: whether a fingerprint occurs in several runs."""
-    found = [np.frombuffer(_expand(v), np.uint64) for v in group.column("values").to_pylist()]
-    sizes = [len(f) for f in found]
-    several = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(group.column("several").to_pylist(), sizes, strict=True)])
-    _, number, often = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
-    again = (often > 1) | (np.bincount(number, several, len(often)) > 0)
-    bits = [np.packbits(b).tobytes() for b in np.split(again[number], np.cumsum(sizes)[:-1])]
-    return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "bits": pa.array(bits, pa.binary())})
+def _repeated(crowded: int):
+    def run(group: pa.Table) -> pa.Table:
+        """For the blocks of one bucket, bits: whether a fingerprint occurs in several runs, and whether in very many."""
+        found = [np.frombuffer(_expand(v), np.uint64) for v in group.column("values").to_pylist()]
+        counts = np.concatenate([np.frombuffer(_expand(v), _COUNT) for v in group.column("counts").to_pylist()])
+        _, number = np.unique(np.concatenate(found), return_inverse=True)
+        total = np.bincount(number, counts)[number]
+        ends = np.cumsum([len(f) for f in found])[:-1]
+        bits = [[np.packbits(b).tobytes() for b in np.split(total > least, ends)] for least in (1, crowded)]
+        return pa.table({
+            "block": group.column("block"), "bucket": group.column("bucket"), "bits": pa.array(bits[0], pa.binary()), "crowded": pa.array(bits[1], pa.binary()),
+        })
+
+    return run
+
+
+def digests(data: bytes, starts: np.ndarray, counts: np.ndarray, length: int) -> list[bytes]:
+    """128-bit digests of the strings that begin in these runs, in order."""
+    from xxhash import xxh3_128_digest
+
+    return [xxh3_128_digest(data[i : i + length]) for a, n in zip(starts.tolist(), counts.tolist(), strict=True) for i in range(a, a + n)]
+
+
+def _string_rows(counted: dict[bytes, int], buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(bucket, digests, bits: whether the block has one several times); sorted digests are sorted by bucket, too."""
+    listed = sorted(counted)
+    if not listed:
+        return
+    heads = np.array([int.from_bytes(d[:4], "big") for d in listed], np.uint64)
+    bucket = (heads * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    named, first = np.unique(bucket, return_index=True)
+    for number, low, high in zip(named.tolist(), first.tolist(), [*first[1:].tolist(), len(listed)], strict=True):
+        yield number, b"".join(listed[low:high]), np.packbits([counted[d] > 1 for d in listed[low:high]]).tobytes()
+
+
+def _strings_again(group: pa.Table) -> pa.Table:
+    """For the blocks of one bucket, bits: whether a digest comes again anywhere."""
+    total: dict[bytes, int] = {}
+    asked = []
+    for packed, twice in zip(group.column("strings").to_pylist(), group.column("twice").to_pylist(), strict=True):
+        mine = [packed[i : i + 16] for i in range(0, len(packed), 16)]
+        for digest, more in zip(mine, np.unpackbits(np.frombuffer(twice, np.uint8), count=len(mine)).tolist(), strict=True):
+            total[digest] = total.get(digest, 0) + 1 + more
+        asked.append(mine)
+    bits = [np.packbits([total[d] > 1 for d in mine]).tobytes() for mine in asked]
+    n = len(asked)
+    return pa.table({
+        "block": group.column("block"), "bucket": group.column("bucket"), "sizes": pa.nulls(n, pa.binary()),
+        "bits": pa.array(bits, pa.binary()), "strings": pa.array([len(m) for m in asked], pa.int32()),
+    })
 
 
 _ASKED = [StructField(n, BinaryType()) for n in ("values", "sizes", "copies", "bytes")]
@@ -183,14 +231,22 @@ def _ask(length: int, buckets: int, text_at: int, schema: StructType):
         texts = [(v.as_py() or "").encode("utf-8") for v in whole.flatten()[text_at]]
         found = [runs(t, length) for t in texts]
         dealt = _Dealer([f[0] for f in found], buckets)
-        again = np.zeros(len(dealt.values), bool)
-        for (_, low, high), bits in zip(dealt.bounds, answers.column("bits").to_pylist(), strict=True):
-            again[dealt.order[low:high]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=high - low)
+        again, crowded = np.zeros(len(dealt.values), bool), np.zeros(len(dealt.values), bool)
+        for (_, low, high), *bits in zip(dealt.bounds, answers.column("bits").to_pylist(), answers.column("crowded").to_pylist(), strict=True):
+            for flags, packed in zip((again, crowded), bits, strict=True):
+                flags[dealt.order[low:high]] = np.unpackbits(np.frombuffer(packed, np.uint8), count=high - low)
+        again &= ~crowded
+        strings: dict[bytes, int] = {}
+        many = []
         numbers: dict[bytes, int] = {}
         values, copies, candidates, at = [], [], [], 0
         for data, (own, starts, counts) in zip(texts, found, strict=True):
-            take = np.flatnonzero(again[dealt.number[at : at + len(own)]])
+            number_of = dealt.number[at : at + len(own)]
+            take, hot = np.flatnonzero(again[number_of]), np.flatnonzero(crowded[number_of])
             at += len(own)
+            many.append(_squeeze(np.array([starts[hot], counts[hot]], "<i8").tobytes()) if len(hot) else None)
+            for digest in digests(data, starts[hot], counts[hot], length):
+                strings[digest] = strings.get(digest, 0) + 1
             index = []
             for i in take.tolist():
                 piece = data[starts[i] : starts[i] + counts[i] + length - 1]
@@ -206,7 +262,9 @@ def _ask(length: int, buckets: int, text_at: int, schema: StructType):
         order, bounds = _by_bucket(_bucket(values, buckets))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        rows = [_rows(schema, block=[block] * len(whole), document=whole, candidates=candidates, places=[None] * len(whole))]
+        rows = [_rows(schema, block=[block] * len(whole), document=whole, candidates=candidates, many=many, places=[None] * len(whole))]
+        for bucket, packed, twice in _string_rows(strings, buckets):
+            rows.append(_rows(schema, block=[block], bucket=[bucket], strings=[packed], twice=[twice]))
         # The pieces go by bucket; ``places`` tells where a number of the candidates is in that order.
         rows.append(_rows(schema, block=[block], places=[_squeeze(place.tobytes())]))
         for bucket, low, high in bounds:
@@ -253,7 +311,10 @@ def _judge(length: int):
                     found[n] = starts if weights[n] < 2 else np.ones(len(starts), bool)
                 shard, held = [], 0
         bits = [_squeeze(np.packbits(np.concatenate([found[n] for n in mine])).tobytes()) for mine in asked]
-        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "sizes": group.column("sizes"), "bits": pa.array(bits, pa.binary())})
+        return pa.table({
+            "block": group.column("block"), "bucket": group.column("bucket"), "sizes": group.column("sizes"),
+            "bits": pa.array(bits, pa.binary()), "strings": pa.nulls(len(bits), pa.int32()),
+        })
 
     return run
 
@@ -278,6 +339,14 @@ def _remove(length: int, schema: StructType):
         whole = pa.concat_arrays(documents.column("document").chunks)
         fields = dict(zip([whole.type.field(i).name for i in range(whole.type.num_fields)], whole.flatten(), strict=True))
         ranges, starts_of = [], None
+        of_strings = answers.filter(pa.compute.is_valid(answers.column("strings"))).sort_by("bucket")
+        answers = answers.filter(pa.compute.is_null(answers.column("strings")))
+        texts = [(v.as_py() or "").encode("utf-8") for v in fields[schema.names[0]]]
+        many = [None if m is None else np.frombuffer(_expand(m), "<i8").reshape(2, -1) for m in documents.column("many").to_pylist()]
+        strings = [digests(data, *m, length) if m is not None else [] for data, m in zip(texts, many, strict=True)]
+        listed = sorted({d for own in strings for d in own})
+        flags = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(of_strings.column("bits").to_pylist(), of_strings.column("strings").to_pylist(), strict=True)]
+        repeated = dict(zip(listed, np.concatenate([np.zeros(0, np.uint8), *flags]).tolist(), strict=True))
         if answers.num_rows:
             answers = answers.sort_by("bucket")
             place = np.frombuffer(_expand(mine.filter(pa.compute.is_valid(mine.column("places"))).column("places")[0].as_py()), np.int64)
@@ -291,12 +360,15 @@ def _remove(length: int, schema: StructType):
             starts_of = lambda i: np.flatnonzero(bits[first[place[i]] : first[place[i]] + sizes[place[i]]])
         out = {name: [] for name in _COUNTED}
         text, new = fields[schema.names[0]], []
-        for value, candidates in zip(text, documents.column("candidates").to_pylist(), strict=True):
-            data = (value.as_py() or "").encode("utf-8")
-            ranges = np.zeros((0, 2), np.int64)
+        for value, data, candidates, crowded, own in zip(text, texts, documents.column("candidates").to_pylist(), many, strings, strict=True):
+            starts = []
             if candidates is not None:
                 begin, _, index = np.frombuffer(_expand(candidates), "<i8").reshape(3, -1)
-                ranges = covered(np.concatenate([b + starts_of(i) for b, i in zip(begin.tolist(), index.tolist(), strict=True)]), len(data), length)
+                starts += [b + starts_of(i) for b, i in zip(begin.tolist(), index.tolist(), strict=True)]
+            if crowded is not None:
+                places = np.concatenate([np.arange(a, a + n) for a, n in crowded.T.tolist()])
+                starts.append(places[np.array([repeated[d] for d in own], bool)])
+            ranges = covered(np.concatenate(starts), len(data), length) if starts else np.zeros((0, 2), np.int64)
             parts, at = [], 0
             for low, high in ranges.tolist():
                 parts.append(data[at:low])
@@ -323,19 +395,20 @@ def dedup(documents: DataFrame, text: str = "text", *, length: int = LENGTH) ->
     document = StructField("document", kind)
     blocks_at = shared_path(spark, "suffix-blocks")
     blocks = stored(_blocks(documents, text, length, buckets, document), "suffix-blocks", blocks_at)
-    counted = blocks.filter("bucket IS NOT NULL").select("block", "bucket", "values", "several")
-    again = counted.groupBy("bucket").applyInArrow(_repeated, "block string, bucket int, bits binary")
+    counted = blocks.filter("bucket IS NOT NULL").select("block", "bucket", "values", "counts")
+    again = counted.groupBy("bucket").applyInArrow(_repeated(CROWDED), "block string, bucket int, bits binary, crowded binary")
     asked = StructType([
         StructField("block", StringType()), StructField("bucket", IntegerType()), document,
-        StructField("candidates", BinaryType()), StructField("places", BinaryType()), *_ASKED,
+        *[StructField(n, BinaryType()) for n in ("candidates", "many", "places", "strings", "twice")], *_ASKED,
     ])
     rows = blocks.filter("bucket IS NULL").select("block", "documents").groupBy("block").cogroup(again.groupBy("block"))
     pieces = stored(rows.applyInArrow(_ask(length, buckets, documents.columns.index(text), asked), asked), "suffix-pieces")
     delete(spark, blocks_at)  # ``pieces`` holds the documents from here on
-    answers = pieces.filter("bucket IS NOT NULL").select("block", "bucket", *[f.name for f in _ASKED]).groupBy("bucket")
-    answers = answers.applyInArrow(_judge(length), "block string, bucket int, sizes binary, bits binary")
+    answer = "block string, bucket int, sizes binary, bits binary, strings int"
+    answers = pieces.filter("values IS NOT NULL").select("block", "bucket", *[f.name for f in _ASKED]).groupBy("bucket").applyInArrow(_judge(length), answer)
+    strings = pieces.filter("strings IS NOT NULL").select("block", "bucket", "strings", "twice").groupBy("bucket").applyInArrow(_strings_again, answer)
     result = StructType([
         StructField(text, BinaryType()), *[f for f in kind.fields if f.name != text], *[StructField(n, LongType()) for n in _COUNTED],
     ])
-    mine = pieces.filter("bucket IS NULL").select("block", "document", "candidates", "places").groupBy("block")
-    return mine.cogroup(answers.groupBy("block")).applyInArrow(_remove(length, result), result).select(*documents.columns, *_COUNTED)
+    mine = pieces.filter("bucket IS NULL").select("block", "document", "candidates", "many", "places").groupBy("block")
+    return mine.cogroup(answers.union(strings).groupBy("block")).applyInArrow(_remove(length, result), result).select(*documents.columns, *_COUNTED)

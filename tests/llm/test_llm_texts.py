@@ -185,8 +185,28 @@ def test_recall_decides_the_depth():
     assert near_duplicates.recall(depth, 0.8, 24) >= near_duplicates.RECALL > near_duplicates.recall(depth + 1, 0.8, 24)
 
 
-@pytest.mark.parametrize("block", [900, None])
-def test_suffix_dedup(documents, texts, nothing, block, monkeypatch):
+def test_a_line_in_very_many_texts_makes_no_large_shard(spark, monkeypatch):
+    """Its least gram gives all strings around it one fingerprint; beyond ``CROWDED`` runs they are dealt by digest."""
+    rng = random.Random(4)
+    line = "".join(rng.choices("abcdefgh ", k=150))
+    noise = lambda n: "".join(rng.choices("ijklmnopqrstuvwxyz ", k=n))
+    passage = line + noise(120)
+    rows = [(i, f"{noise(150)}{line}{noise(150)}") for i in range(700)] + [(1000 + i, noise(80) + passage) for i in range(3)]
+    monkeypatch.setattr(suffix_dedup, "CROWDED", 64)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 20_000)
+    kept, store = {}, suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, name, path=None: kept.setdefault(name, store(df, name, path)))
+    found = {r.doc_id: r for r in suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    often = collections.Counter()
+    for r in kept["suffix-pieces"].filter("values IS NOT NULL").collect():
+        often.update(np.frombuffer(suffix_dedup._expand(r["values"]), np.uint64).tolist())
+    assert max(often.values(), default=0) <= 64
+    assert all(found[i].n_removed == 0 for i in range(700)) and all(found[1000 + i].n_removed == 270 for i in range(3))
+
+
+@pytest.mark.parametrize(("block", "crowded"), [(900, 4096), (900, 3), (900, 1), (None, 4096), (None, 1)])
+def test_suffix_dedup(documents, texts, nothing, block, crowded, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
     if block:
         monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block)
         monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 500)
