@@ -6,7 +6,8 @@ word inside any occurrence of a window is hit. Documents stream through the auto
 keeps the longest match that ends at the current word.
 
 The automaton of at most about ``SHARD_WORDS`` item words is sent to the tasks. More items make more
-automata, and the documents then pass each of them in turn, in place, without a shuffle. Items of more
+automata, and the documents then pass each of them in turn, without a shuffle; what one has found is written before
+the next is sent, so a task holds one automaton. Items of more
 than ``PIECE_WORDS`` words are cut into pieces that overlap by nine words, which loses no window.
 
 Null and empty texts have no words and nothing is hit. Items without words match nothing. Repeated items
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from churnflow.llm.columns import require
+from churnflow.llm.columns import delete, require, shared_path, stored
 from churnflow.llm.textmap import with_text_columns
 
 WINDOW = 10
@@ -183,9 +184,17 @@ def automata(items: DataFrame, item_id: str = "item_id", text: str = "text") ->
 def find(documents: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``documents`` with ``n_words``, ``n_hit``, ``spans`` (word ranges) and ``items`` (ids as text, sorted)."""
     require(documents, text)
-    result = None
+    spark = documents.sparkSession
+    result = shared = at = None
     for automaton in automata(items, item_id, item_text):
-        shared = documents.sparkSession.sparkContext.broadcast(automaton)
+        if result is not None:
+            # Written, so that no task ever holds two automata, however many items there are.
+            done, at = at, shared_path(spark, "decontaminated")
+            result = stored(result, "", at)
+            shared.unpersist()
+            if done:
+                delete(spark, done)
+        shared = spark.sparkContext.broadcast(automaton)
 
         def factory(shared=shared):
             automaton = shared.value

@@ -1,15 +1,17 @@
-"""N-gram Jaccard join: MinHash bands of a fixed depth, then exact verification.
+"""N-gram Jaccard join: a MinHash LSH forest of sorted prefix tries, then exact verification.
 
 Words are runs of characters other than ASCII white space, in ASCII lower case; a shingle is five
 consecutive words, and a text of fewer words, but not none, is one shingle. Two documents are linked if
 their shingle sets have a Jaccard similarity of at least ``SIMILARITY``.
 
-1. Documents with one shingle set are one node. A node has a key in each of ``TREES`` bands: a hash of its least
-   shingle hashes in some orders. No tries are sorted or descended: the depth of all bands is worked out once, as the
-   deepest, up to ``DEEPEST``, at which a pair at the very bound shares a key with the probability ``RECALL``. The
-   nodes with one key are joined to the least of them, so a crowded one costs a row a member.
+1. Documents with one shingle set are one node. A node has a signature in each of ``TREES`` trees: its least
+   shingle hashes in ``DEEPEST`` orders. A tree is a prefix trie laid out flat: its signatures in order, dealt to tasks by
+   ranges, where each has its longest matched prefix with the one before. Matches of all ``DEEPEST`` values are taken, and
+   shorter ones down to the length at which a pair at the very bound is found with the probability ``RECALL``, and no
+   further. A run of matches is joined to its first node, also across tasks, so a crowded prefix costs a row a
+   member and is read by as many tasks as it fills.
 2. Connected nodes may be linked; all pairs inside a candidate component are verified, not only those that met.
-   Sets are compared exactly, as bit rows over the shingles that two of them share. Components of more
+   Sets are compared exactly, as bit rows over the shingles that two of them share, ``STRIPE_BITS`` at a time. Components of more
    than ``BLOCK_NODES`` nodes or ``BLOCK_BYTES`` of text are compared block against block, and only sums per
    node leave a task, never pairs. This work grows with the square of the *different* texts of
    one component, as their links do; copies are one node and cost a row.
@@ -19,7 +21,8 @@ their shingle sets have a Jaccard similarity of at least ``SIMILARITY``.
 A document's links are counted with copies: the other documents of its node, and all those of linked nodes.
 
 Null and empty texts, and texts of white space, have no shingles: they have no links, and each is a class
-of its own, with class id null where the document id is null. Repeated rows are documents of one node.
+of its own, with class id null where the document id is null. Repeated rows are documents of one node. Texts of any length
+are compared whole; a task holds a block of texts, or its longest one, and bounded bit rows.
 Columns other than the two named are not read. Empty tables give empty results.
 """
 
@@ -38,21 +41,22 @@ from churnflow.llm.textmap import pieces
 WORDS = 5
 SIMILARITY = 0.8
 TREES = 24
-DEEPEST = 8
+DEEPEST = 6
 RECALL = 0.99999
 BLOCK_NODES = 2048
 BLOCK_BYTES = 24 << 20
+STRIPE_BITS = 1 << 29  # of the bit rows of a block
 _NODE = "decimal(38,0)"
 _LOWER = bytes(range(256)).lower()
 
 
 def recall(depth: int, similarity: float, trees: int) -> float:
-    """Probability that a pair of this similarity shares a prefix of ``depth`` in one of the tries."""
+    """Probability that a pair of this similarity matches in the first ``depth`` values of one of the trees."""
     return 1 - (1 - similarity**depth) ** trees
 
 
 def depth_for(similarity: float, trees: int = TREES, target: float = RECALL, deepest: int = DEEPEST) -> int:
-    """Prefixes are shortened from ``deepest`` on until the recall is reached."""
+    """Matched prefixes are shortened from ``deepest`` on until the recall is reached."""
     depth = deepest
     while depth > 1 and recall(depth, similarity, trees) < target:
         depth -= 1
@@ -84,18 +88,14 @@ def _nodes(names: list[int | None]) -> pa.Array:
 
 
 class Forest:
-    """Prefixes of one signature per trie, each as a 64-bit key."""
+    """The signatures of a node, one a tree: ``DEEPEST`` values of 16 bits each."""
 
-    def __init__(self, similarity: float, trees: int = TREES) -> None:
-        from xxhash import xxh3_64_intdigest
-
-        self.trees, self.depth = trees, depth_for(similarity, trees)
+    def __init__(self, trees: int = TREES) -> None:
         random = np.random.default_rng(7)
-        self._odd = random.integers(0, 1 << 63, trees * self.depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self._mixed = random.integers(0, 1 << 63, trees * self.depth, dtype=np.uint64)
-        self._hash = xxh3_64_intdigest
+        self._odd = random.integers(0, 1 << 63, trees * DEEPEST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self._mixed = random.integers(0, 1 << 63, trees * DEEPEST, dtype=np.uint64)
 
-    def keys(self, values: np.ndarray) -> list[int]:
+    def signatures(self, values: np.ndarray) -> bytes:
         least = np.full(len(self._odd), np.iinfo(np.uint64).max, np.uint64)
         for start in range(0, len(values), 512):  # stays in the cache, and bounds memory for long texts
             part = values[start : start + 512]
@@ -103,50 +103,115 @@ class Forest:
             mixed ^= mixed >> np.uint64(29)
             mixed *= np.uint64(0x9E3779B97F4A7C15)
             np.minimum(least, mixed.min(axis=1), out=least)
-        data = least.tobytes()
-        size = 8 * self.depth
-        return [self._hash(data[t * size : (t + 1) * size]) - (1 << 63) for t in range(self.trees)]
+        return ((least * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(48)).astype(">u2").tobytes()
 
 
 def mark(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """Per document: id, a hash of the text, its size, its node (null without words) and the trie keys."""
+    """Per document: id, a hash of the text, its bytes, its node and its signatures (null without words)."""
     require(documents, doc_id, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = Forest(similarity)
+        forest = Forest()
         for whole in batches:
             for batch in pieces(whole, whole.column(2)):
-                names, keys, sizes = [], [], []
+                names, signatures, sizes = [], [], []
                 for value in batch.column(2):
                     value = value.as_py() or ""
                     found = shingles(value)
                     names.append(node_of(found) if len(found) else None)
-                    keys.append(forest.keys(found) if len(found) else None)
-                    sizes.append(len(value))
+                    signatures.append(forest.signatures(found) if len(found) else None)
+                    sizes.append(len(value) if value.isascii() else len(value.encode("utf-8")))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), _nodes(names), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "text_hash", "size", "node", "keys"],
+                    [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), _nodes(names), pa.array(signatures, pa.binary())],
+                    names=["doc_id", "text_hash", "size", "node", "signatures"],
                 )
 
     source = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text"))
-    return source.mapInArrow(run, f"doc_id long, text_hash long, size long, node {_NODE}, keys array<bigint>")
+    return source.mapInArrow(run, f"doc_id long, text_hash long, size long, node {_NODE}, signatures binary")
+
+
+def _matched(tree: np.ndarray, signature: np.ndarray) -> np.ndarray:
+    """Length of the prefix that each signature shares with the one before, 0 in another tree and for the first."""
+    equal = np.cumprod(signature[1:] == signature[:-1], axis=1, dtype=np.int32).sum(axis=1)
+    return np.concatenate(([0], np.where(tree[1:] == tree[:-1], equal, 0)))
 
 
-def _candidates(marked: DataFrame) -> DataFrame:
+def matches(nodes: DataFrame, shortest: int) -> DataFrame:
+    """Rows (a, b, depth): node ``a`` follows node ``b``, the first of its run of prefixes of at least ``shortest`` values;
+    ``depth`` is what it shares with the one just before it."""
+    size = 2 * DEEPEST
+    trees = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.substring("signatures", t * size + 1, F.lit(size)))
+    entries = nodes.select("node", F.posexplode(trees).alias("tree", "signature"))
+    entries = entries.repartitionByRange("tree", "signature", "node").sortWithinPartitions("tree", "signature", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs that may go on in the tasks before and after are told by the ends of the partition, as rows with ``part``."""
+        from pyspark import TaskContext
+
+        part, last, ends = TaskContext.get().partitionId(), None, []
+
+        def rows(a, b, depth, signature=None, tree=None) -> pa.RecordBatch:
+            n = len(a)
+            of_end = tree is not None
+            return pa.RecordBatch.from_arrays([
+                a, b, pa.array(depth, pa.int32()), pa.array([part] * n if of_end else [None] * n, pa.int32()),
+                pa.array(tree if of_end else [None] * n, pa.int32()), pa.array(signature if of_end else [None] * n, pa.binary()),
+            ], names=["a", "b", "depth", "part", "tree", "signature"])
+
+        for batch in batches:
+            nodes, tree, signature = batch.columns
+            if not len(nodes):
+                continue
+            if last is None:
+                ends = [(nodes.slice(0, 1), tree[0].as_py(), signature[0].as_py())]
+            else:  # the batch goes on from the last entry, named by the head of its run
+                nodes = pa.concat_arrays([last[0], nodes])
+                tree, signature = pa.concat_arrays([pa.array([last[1]], tree.type), tree]), pa.concat_arrays([pa.array([last[2]], signature.type), signature])
+            values = np.frombuffer(b"".join(signature.to_pylist()), ">u2").reshape(-1, DEEPEST)
+            depth = _matched(tree.to_numpy(), values)
+            head = np.maximum.accumulate(np.where(depth < shortest, np.arange(len(depth)), 0))
+            joined = np.flatnonzero(depth >= shortest)
+            yield rows(nodes.take(pa.array(joined)), nodes.take(pa.array(head[joined])), depth[joined])
+            last = (nodes.slice(int(head[-1]), 1), tree[-1].as_py(), signature[-1].as_py())
+        if last is not None:
+            for node, own_tree, own_signature in (*ends, last):
+                yield rows(node, node, [0], [own_signature], [own_tree])
+
+    schema = f"a {_NODE}, b {_NODE}, depth int, part int, tree int, signature binary"
+    found = stored(entries.select("node", "tree", "signature").mapInArrow(run, schema), "matches")
+    ends = found.filter("part IS NOT NULL").select("part", "a", "tree", "signature").collect()  # two rows a partition
+    by_part: dict[int, list] = {}
+    for r in ends:
+        by_part.setdefault(r.part, []).append(r)
+    across, before = [], None
+    for part in sorted(by_part):
+        first, last = (min if i == 0 else max for i in (0, 1))
+        first = first(by_part[part], key=lambda r: (r.tree, bytes(r.signature)))
+        last = last(by_part[part], key=lambda r: (r.tree, bytes(r.signature)))
+        if before is not None and before.tree == first.tree:
+            depth = next((i for i in range(DEEPEST) if before.signature[2 * i : 2 * i + 2] != first.signature[2 * i : 2 * i + 2]), DEEPEST)
+            if depth >= shortest:
+                across.append((first.a, before.a, depth))
+        before = last
+    inside = found.filter("part IS NULL").select("a", "b", "depth")
+    if not across:
+        return inside
+    return inside.union(nodes.sparkSession.createDataFrame(across, f"a {_NODE}, b {_NODE}, depth int"))
+
+
+def _candidates(marked: DataFrame, similarity: float) -> DataFrame:
     """Nodes with a candidate partner: node, component, copies, size, and one document (doc_id, text_hash)."""
     nodes = marked.filter("node IS NOT NULL").groupBy("node").agg(
         F.count("*").alias("copies"), F.max("size").alias("size"),
-        F.min(F.struct("doc_id", "text_hash")).alias("one"), F.any_value("keys").alias("keys"),
+        F.min(F.struct("doc_id", "text_hash")).alias("one"), F.any_value("signatures").alias("signatures"),
     )
     nodes = stored(nodes, "nodes")
-    entries = nodes.select("node", F.posexplode("keys").alias("tree", "key"))
-    crowded = entries.groupBy("tree", "key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    edges = entries.join(crowded.hint("merge"), ["tree", "key"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    edges = matches(nodes, depth_for(similarity)).select("a", "b")
     found = components(edges)
-    return found.join(nodes.drop("keys"), "node").select("node", "component", "copies", "size", "one.*")
+    return found.join(nodes.drop("signatures"), "node").select("node", "component", "copies", "size", "one.*")
 
 
-def _compare(similarity: float):
+def _compare(similarity: float, stripe_bits: int):
     def run(group: pa.Table) -> pa.Table:
         """Verified links of one block with itself or with another: per node its linked documents and a root."""
         one, other = (group.column(c)[0].as_py() for c in ("low", "high"))
@@ -163,11 +228,25 @@ def _compare(similarity: float):
         shared = often > 1  # a shingle of one set alone is in no intersection
         number = np.cumsum(shared) - 1
         use = shared[column]
-        width = -(-max(1, int(shared.sum())) // 64)
-        bits = np.zeros((len(sets), width * 64 // 8), np.uint8)
-        at = number[column[use]]
-        np.bitwise_or.at(bits, (rows[use], at >> 3), np.left_shift(1, at & 7).astype(np.uint8))
-        bits = bits.view(np.uint64)
+        rows, columns, n_shared = rows[use], number[column[use]], int(shared.sum())
+        stripe = max(64, stripe_bits // len(sets) // 64 * 64)
+        several = n_shared > stripe
+        counted = np.zeros((len(sets), len(sets)), np.int32) if several else None
+        for low in range(0, max(1, n_shared), stripe):  # nearly always one
+            mine = (columns >= low) & (columns < low + stripe)
+            at = columns[mine] - low
+            width = -(-max(1, min(stripe, n_shared - low)) // 64)
+            bits = np.zeros((len(sets), width * 64 // 8), np.uint8)
+            np.bitwise_or.at(bits, (rows[mine], at >> 3), np.left_shift(1, at & 7).astype(np.uint8))
+            bits = bits.view(np.uint64)
+            if several:
+                for i in range(len(sets)):
+                    for part in range(i, len(sets), 256):
+                        counted[i, part : part + 256] += np.bitwise_count(bits[part : part + 256] & bits[i]).sum(axis=1, dtype=np.int32)
+
+        def common_with(i: int, part: np.ndarray) -> np.ndarray:
+            return counted[i, part].astype(np.int64) if several else np.bitwise_count(bits[part] & bits[i]).sum(axis=1, dtype=np.int64)
+
         links = np.zeros(len(sets), np.int64)
         root = np.arange(len(sets))
 
@@ -183,7 +262,7 @@ def _compare(similarity: float):
             # A pair can only be as similar as its sizes are.
             near = start + np.flatnonzero(np.minimum(sizes[i], sizes[start:]) >= similarity * np.maximum(sizes[i], sizes[start:]))
             for part in np.split(near, range(256, len(near), 256)) if len(near) else []:
-                common = np.bitwise_count(bits[part] & bits[i]).sum(axis=1, dtype=np.int64)
+                common = common_with(i, part)
                 linked = part[common >= similarity * (sizes[i] + sizes[part] - common)]
                 links[i] += copies[linked].sum()
                 links[linked] += copies[i]
@@ -198,7 +277,7 @@ def _compare(similarity: float):
 
 def links(documents: DataFrame, marked: DataFrame, doc_id: str, text: str, similarity: float = SIMILARITY) -> DataFrame:
     """Per verified block: node, root (a node it is connected to, or itself) and links (documents)."""
-    found = stored(_candidates(marked), "candidates")
+    found = stored(_candidates(marked, similarity), "candidates")
     blocks = found.groupBy("component").agg(F.count("*").alias("nodes"), F.sum("size").alias("bytes")).select(
         "component", F.greatest(F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
     )
@@ -210,7 +289,7 @@ def links(documents: DataFrame, marked: DataFrame, doc_id: str, text: str, simil
     side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("side")
     rows = rows.select("*", side).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("partner"))
     rows = rows.select("component", F.least("side", "partner").alias("low"), F.greatest("side", "partner").alias("high"), "side", "node", "copies", "text")
-    return rows.groupBy("component", "low", "high").applyInArrow(_compare(similarity), f"node {_NODE}, root {_NODE}, links long")
+    return rows.groupBy("component", "low", "high").applyInArrow(_compare(similarity, STRIPE_BITS), f"node {_NODE}, root {_NODE}, links long")
 
 
 def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -12,7 +12,8 @@ breaks in a URL are percent-encoded. No pages make no packages and no records.
 
 Only narrow rows (id, digest) are grouped, with partial minima, so a payload that a third of all pages
 share is no hot group; the join that follows splits. Tasks hold one record and the index of one package,
-which is bounded by ``PACKAGE_RECORDS``.
+which is bounded by ``PACKAGE_RECORDS``; reading tasks are as many as ``TASK_BYTES`` go into the records. Payloads of any length
+pass whole, each within the memory of one task.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ REVISIT_BYTES = 100
 PACKAGE_BYTES = 256 << 20
 PACKAGE_RECORDS = 100_000
 READ_AHEAD = 1 << 20
+TASK_BYTES = 64 << 20  # of packed records that a task reads, and of a run of neighbours among them
+RUN_BYTES = 4 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATA, _INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 
@@ -201,8 +204,12 @@ _RECORD = "page_id long, url string, record_type string, payload_bytes long, pay
 def read(packages: DataFrame, *, payload: bool = True) -> DataFrame:
     """The records of all packages; revisits have a null payload."""
     entries = index(packages)
-    # Neighbouring records of a package go to one task, in order, so reading ahead pays off.
-    entries = entries.repartition("package", F.floor(F.col("start") / (16 << 20))).sortWithinPartitions("package", "start")
+    # As many tasks as there are bytes to read, not as the narrow index has. Neighbouring records of a package go to one
+    # task, in order, so reading ahead pays off.
+    total = entries.agg(F.sum("length")).first()[0] or 0
+    cores = packages.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-total // TASK_BYTES), min(cores, -(-total // RUN_BYTES)))
+    entries = entries.repartition(tasks, "package", F.floor(F.col("start") / RUN_BYTES)).sortWithinPartitions("package", "start")
     schema = _RECORD + (", payload binary" if payload else "")
     names = [part.split()[0] for part in schema.split(", ")]
 

@@ -54,6 +54,15 @@ def test_warc_round_trip(spark, pages):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_packages_are_read_in_tasks_by_their_bytes(spark, monkeypatch):
+    rows = [(i, f"u{i}", hashlib.sha256(str(i).encode()).hexdigest() * 20) for i in range(60)]
+    packages = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), shared_path(spark, "warc-test"))
+    monkeypatch.setattr(warc, "TASK_BYTES", 5000)
+    monkeypatch.setattr(warc, "RUN_BYTES", 1000)
+    found = warc.read(packages, payload=False)
+    assert found.rdd.getNumPartitions() >= 8 and {r.page_id for r in found.collect()} == set(range(60))
+
+
 def test_packages_are_cut_and_read_by_other_tools(spark, pages, monkeypatch):
     monkeypatch.setattr(warc, "PACKAGE_RECORDS", 2)
     packages = warc.write(pages.coalesce(1), shared_path(spark, "warc-test"))

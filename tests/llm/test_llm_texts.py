@@ -172,7 +172,9 @@ def test_near_duplicates(spark, documents, texts, nothing, block, monkeypatch):
     assert near_duplicates.classes(nothing).count() == 0
 
 
-def test_large_group_of_different_near_copies(spark):
+@pytest.mark.parametrize("stripe", [1 << 29, 64])
+def test_large_group_of_different_near_copies(spark, monkeypatch, stripe):
+    monkeypatch.setattr(near_duplicates, "STRIPE_BITS", stripe)
     rng = random.Random(1)
     base = words(rng, 150).split()
     rows = [(k, " ".join([*base[:k], "new", *base[k + 1 :]])) for k in range(60)]
@@ -294,6 +296,19 @@ def test_cuts_follow_insertions():
     assert all(chunk_dedup.cuts(data)[:-1] < len(data)) and chunk_dedup.cuts(b"").size == 0
 
 
+def test_many_automata_are_never_in_one_stage(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [(i, words(rng, 30)) for i in range(10)]
+    documents = spark.createDataFrame([(i, f"{words(rng, 20)} {t} {words(rng, 9)}") for i, t in items], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    once = {r.doc_id: (r.n_hit, r.items_sha256) for r in decontaminate.report(documents, benchmark).collect()}
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 30)
+    assert len(list(decontaminate.automata(benchmark))) == 10
+    found = decontaminate.report(documents, benchmark)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: (r.n_hit, r.items_sha256) for r in found.collect()} == once and all(n >= 30 for n, _ in once.values())
+
+
 @pytest.mark.parametrize("shard", [10, None])
 def test_decontaminate(spark, documents, texts, nothing, shard, monkeypatch):
     if shard:
