@@ -179,14 +179,25 @@ def payment_metrics(payments: DataFrame, snapshots: Sequence[date]) -> DataFrame
     return rows.filter(F.col("last_payment_date").isNotNull())
 
 
+# Columns of which a customer's greatest value counts, by source.
+ACTIVITY = ("mau_mp_1", "mau_ml_1", "mau_mp_3", "mau_ml_3")
+LOGINS = ("last_login_mp_date_1", "last_login_ml_date_1")
+BALANCES = ("plata_cuenta_1", "plata_cuenta_2")
+
+
+def _greatest(columns: Sequence[str]) -> list[Column]:
+    return [F.max(c).alias(c) for c in columns]
+
+
+def _last_login() -> Column:
+    """Of the greatest days of both logins; one that is missing counts as 1970-01-01, after the maximum."""
+    return latest_date(*(F.max(c) for c in LOGINS))
+
+
 def activity_metrics(active_user: DataFrame) -> DataFrame:
     """Monthly-active figures and last logins. A known user without logins last logged in on 1970-01-01."""
     return active_user.groupBy(_customer("active_user")).agg(
-        *(F.max(c).alias(c) for c in ("mau_mp_1", "mau_ml_1", "mau_mp_3", "mau_ml_3")),
-        F.max("last_login_mp_date_1").alias("last_login_mp_date_1"),
-        F.max("last_login_ml_date_1").alias("last_login_ml_date_1"),
-        F.max(latest_date(F.col("last_login_mp_date_1"), F.col("last_login_ml_date_1"))).alias("last_login_date"),
-    )
+        *_greatest((*ACTIVITY, *LOGINS)), _last_login().alias("last_login_date"))
 
 
 def _invested() -> Column:
@@ -196,8 +207,7 @@ def _invested() -> Column:
 def balance_metrics(balances: DataFrame) -> DataFrame:
     """Highest balances, and whether any account holds an investment."""
     return balances.groupBy(_customer("balances")).agg(
-        F.max("plata_cuenta_1").alias("plata_cuenta_1"),
-        F.max("plata_cuenta_2").alias("plata_cuenta_2"),
+        *_greatest(BALANCES),
         F.bool_or(_invested()).alias("has_inversion"),
     )
 
@@ -251,11 +261,9 @@ def _profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
     people = raw["demographics"].select(
         _customer("demographics"), *(labels.code(c) for c in ATTRIBUTES), F.lit(True).alias("is_customer"))
     activity = raw["active_user"].select(
-        _customer("active_user"), "mau_mp_1", "mau_ml_1", "mau_mp_3", "mau_ml_3",
-        latest_date(F.col("last_login_mp_date_1"), F.col("last_login_ml_date_1")).alias("last_login_date"),
-        F.lit(True).alias("is_customer"))
+        _customer("active_user"), *ACTIVITY, *LOGINS, F.lit(True).alias("is_user"), F.lit(True).alias("is_customer"))
     balances = raw["balances"].select(
-        _customer("balances"), "plata_cuenta_1", "plata_cuenta_2", _invested().alias("has_inversion"),
+        _customer("balances"), *BALANCES, _invested().alias("has_inversion"),
         F.lit(True).alias("is_customer"))
     buyers = raw["marketplace"].select(_customer("marketplace"), F.lit(True).alias("is_customer"))
     outcomes = raw["outcomes"].filter(F.col("cus_cust_id_buy").isNotNull()).select(
@@ -264,10 +272,8 @@ def _profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
     stacked = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True), [people, activity, balances, buyers, outcomes])
     found = stacked.groupBy("customer_id").agg(
-        *(F.max(c).alias(c) for c in (
-            *ATTRIBUTES,
-            "mau_mp_1", "mau_ml_1", "mau_mp_3", "mau_ml_3", "last_login_date",
-            "plata_cuenta_1", "plata_cuenta_2", "outcome")),
+        *_greatest((*ATTRIBUTES, *ACTIVITY, *BALANCES, "outcome")),
+        F.when(F.bool_or("is_user"), _last_login()).alias("last_login_date"),
         F.bool_or("has_inversion").alias("has_inversion"),
         F.bool_or("is_customer").alias("is_customer"),
         F.sum("outcome_rows").alias("outcome_rows"),

@@ -323,3 +323,14 @@ def test_attributes_of_many_labels_are_compared_as_texts(spark, monkeypatch):
     assert plain(ft.demographics(raw)) == few
     want = {c: max((p["gender"] for p in people if p["cus_cust_id_buy"] == c), key=str.encode) for c in range(7)}
     assert {r[0]: r[1] for r in few} == want
+
+
+def test_a_missing_login_counts_as_1970_after_the_maximum(spark):
+    def login(customer, wallet, market):
+        return {"cus_cust_id_buy": customer, "last_login_mp_date_1": wallet, "last_login_ml_date_1": market}
+
+    users = [login(1, date(1965, 1, 1), None), login(1, None, date(1960, 1, 1)), login(2, date(1965, 1, 1), None), login(3, None, None)]
+    raw = tables(spark, active_user=users, demographics=[{"cus_cust_id_buy": 4}])
+    want = {1: date(1965, 1, 1), 2: date(1970, 1, 1), 3: date(1970, 1, 1)}
+    assert {r.customer_id: r.last_login_date for r in ft.activity_metrics(raw["active_user"]).collect()} == want
+    assert {r.customer_id: r.last_login_date for r in ft.build_features(raw, [S], NOW).collect()} == want | {4: None}
