@@ -23,6 +23,7 @@ result column is replaced by it.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -42,6 +43,10 @@ BLOCK_BYTES = 32 << 20
 ID = np.dtype("<u4")
 
 
+_LINE = 256
+_PLAIN = re.compile(rb"(?:[\x21-\x7e]|\xc3[\x80-\xbf])+")
+
+
 class WordEncoder:
     """Ids of words by a tokenizer given as the text of its file."""
 
@@ -54,9 +59,28 @@ class WordEncoder:
         self._tokenizer.no_padding()
 
     def __call__(self, words: list[bytes]) -> list[bytes]:
-        """Little-endian ids of each word."""
-        found = self._tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        """Little-endian ids of each word.
+
+        Words of ASCII and Latin-1 letters, which normalising leaves as many characters, go in lines of ``_LINE`` words, which takes half the time:
+        an id belongs to the word in which it starts. Others go one by one.
+        """
+        plain = [i for i, w in enumerate(words) if _PLAIN.fullmatch(w)]
+        out: list[bytes] = [b""] * len(words)
+        lines = [plain[i : i + _LINE] for i in range(0, len(plain), _LINE)]
+        texts = [b"\n".join([words[i] for i in line]).decode("utf-8") for line in lines]
+        for line, text, found in zip(lines, texts, self._tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+            begins = np.cumsum([0, *map(len, text.split("\n"))]) + np.arange(len(line) + 1)
+            places = np.fromiter([a for a, _ in found.offsets], np.int64, len(found))
+            ends = np.searchsorted(places, begins[1:]).tolist()
+            data, at = array("I", found.ids).tobytes(), 0
+            for i, end in zip(line, ends, strict=True):
+                out[i] = data[at * ID.itemsize : end * ID.itemsize]
+                at = end
+        others = sorted(set(range(len(words))).difference(plain)) if len(plain) < len(words) else []
+        alone = self._tokenizer.encode_batch_fast([words[i].decode("utf-8") for i in others], add_special_tokens=False)
+        for i, found in zip(others, alone, strict=True):
+            out[i] = array("I", found.ids).tobytes()
+        return out
 
     def pieces(self) -> list[str | None]:
         size = max(self._tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1
