@@ -37,6 +37,7 @@ from churnflow.sources import Lake
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="churnflow", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("--lake", required=True, help="root folder of all tables")
+    parser.add_argument("--buckets", type=int, help="lay raw customer tables out in so many buckets when loading them")
     jobs = parser.add_subparsers(dest="job", required=True)
     load = jobs.add_parser("load")
     load.add_argument("files", nargs="+", metavar="TABLE=PATH")
@@ -55,7 +56,7 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName(f"churnflow-{options.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    lake = Lake(spark, options.lake)
+    lake = Lake(spark, options.lake, options.buckets)
     if options.job == "load":
         load_raw_tables(lake, dict(item.split("=", 1) for item in options.files), multiline=options.multiline)
     elif options.job == "events":

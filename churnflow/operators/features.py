@@ -28,14 +28,17 @@ WINDOWS = (7, 30, 90)
 CUSTOMER_SOURCES = ("payments", "marketplace", "active_user", "demographics", "balances")
 
 
-def _customer(source: str) -> Column:
+def _customer(source: str, stored: Sequence[str] = ()) -> Column:
+    """The customer of a row; tables in buckets have that of a balance as a column of its own."""
+    if "customer_id" in stored:
+        return F.col("customer_id")
     buyer = F.col("cus_cust_id_buy")
     return (whole_id(buyer) if source == "balances" else buyer).alias("customer_id")
 
 
 def customer_base(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Every customer id found in any of the five sources, once. Known outcomes add no customers."""
-    ids = (raw[source].select(_customer(source)) for source in CUSTOMER_SOURCES)
+    ids = (raw[source].select(_customer(source, raw[source].columns)) for source in CUSTOMER_SOURCES)
     return reduce(DataFrame.unionByName, ids).distinct()
 
 
@@ -87,17 +90,19 @@ class PaymentHistory(NamedTuple):
     """What the build needs to know of payments.
 
     ``days``: totals per customer and day, for the days that some window covers. ``seen``: customer and ``day``, with
-    at least each customer's last day before every snapshot, and every customer who ever paid.
+    at least each customer's last day before every snapshot, and every customer who ever paid. ``placed``: both lie by
+    customer, so nothing brings them together again.
     """
 
     days: DataFrame
     seen: DataFrame
+    placed: bool = False
 
 
-def history_of(payments: DataFrame, snapshots: Sequence[date]) -> PaymentHistory:
+def history_of(payments: DataFrame, snapshots: Sequence[date], placed: bool = False) -> PaymentHistory:
     """From the payments themselves: customer and date of all of them, amounts of the days in windows."""
     return PaymentHistory(
-        daily_totals(payments.filter(_covered(payments, snapshots))), payments.select(_customer("payments"), F.col("fecha").alias("day")))
+        daily_totals(payments.filter(_covered(payments, snapshots))), payments.select(_customer("payments"), F.col("fecha").alias("day")), placed)
 
 
 def history_from_state(days: DataFrame, months: DataFrame, snapshots: Sequence[date]) -> PaymentHistory:
@@ -113,13 +118,13 @@ def history_from_state(days: DataFrame, months: DataFrame, snapshots: Sequence[d
         seen.unionByName(days.filter(own).select("customer_id", F.col("fecha").alias("day"))))
 
 
-def _window_totals(days: DataFrame, snapshots: Sequence[date]) -> DataFrame:
+def _window_totals(days: DataFrame, snapshots: Sequence[date], placed: bool = False) -> DataFrame:
     """(customer_id, totals) where ``totals`` maps a snapshot date to its sums over the windows.
 
     The days of a customer are brought together once; both later groupings, by snapshot and by
     customer, use that same partitioning. A day goes to the dates in whose longest window it lies, and to no others.
     """
-    daily = days.repartition("customer_id")
+    daily = days if placed else days.repartition("customer_id")
     reached = F.filter(_dates(snapshots), lambda s: (s > F.col("fecha")) & (s <= F.date_add("fecha", WINDOWS[-1])))
     ahead = daily.withColumn("snapshot_date", F.explode(reached))
 
@@ -144,9 +149,10 @@ def _payers(known: PaymentHistory, snapshots: Sequence[date], *, match_null: boo
     """
     passed = F.size(F.filter(_dates(snapshots), lambda s: s <= F.col("day"))).alias("passed")
     between = known.seen.groupBy("customer_id", passed).agg(F.max("day").alias("day"))
-    history = between.repartition("customer_id").groupBy("customer_id").agg(
+    between = between if known.placed else between.repartition("customer_id")
+    history = between.groupBy("customer_id").agg(
         F.collect_list(F.struct("passed", "day")).alias("last_days"))
-    totals = _window_totals(known.days, snapshots)
+    totals = _window_totals(known.days, snapshots, known.placed)
     if not match_null:
         return history.join(totals, "customer_id", "left")
     same = history["customer_id"].eqNullSafe(totals["customer_id"])
@@ -206,7 +212,7 @@ def _invested() -> Column:
 
 def balance_metrics(balances: DataFrame) -> DataFrame:
     """Highest balances, and whether any account holds an investment."""
-    return balances.groupBy(_customer("balances")).agg(
+    return balances.groupBy(_customer("balances", balances.columns)).agg(
         *_greatest(BALANCES),
         F.bool_or(_invested()).alias("has_inversion"),
     )
@@ -263,7 +269,7 @@ def _profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
     activity = raw["active_user"].select(
         _customer("active_user"), *ACTIVITY, *LOGINS, F.lit(True).alias("is_user"), F.lit(True).alias("is_customer"))
     balances = raw["balances"].select(
-        _customer("balances"), *BALANCES, _invested().alias("has_inversion"),
+        _customer("balances", raw["balances"].columns), *BALANCES, _invested().alias("has_inversion"),
         F.lit(True).alias("is_customer"))
     buyers = raw["marketplace"].select(_customer("marketplace"), F.lit(True).alias("is_customer"))
     outcomes = raw["outcomes"].filter(F.col("cus_cust_id_buy").isNotNull()).select(
@@ -281,19 +287,32 @@ def _profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
     return found.withColumns({c: labels.label(c) for c in ATTRIBUTES})
 
 
-def build_features(raw: Mapping[str, DataFrame], snapshots: Sequence[date], run_ts: datetime, history: Callable[[Sequence[date]], PaymentHistory] | None = None) -> DataFrame:
+def _placed_profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """``_profiles`` of sources that lie in buckets by customer: each is aggregated, and joined to the list of customers, where it is."""
+    listed = (raw[source].select(_customer(source, raw[source].columns)) for source in CUSTOMER_SOURCES if source != "payments")
+    rows = reduce(DataFrame.union, listed).groupBy("customer_id").agg(F.lit(True).alias("is_customer"))
+    activity = raw["active_user"].groupBy(_customer("active_user")).agg(*_greatest(ACTIVITY), _last_login().alias("last_login_date"))
+    outcomes = raw["outcomes"].groupBy(_customer("outcomes")).agg(F.max("churn").alias("outcome"), F.count("*").alias("outcome_rows"))
+    for one in (demographics(raw["demographics"]), activity, balance_metrics(raw["balances"]), outcomes):
+        rows = rows.join(one.hint("merge"), "customer_id", "left")
+    return rows
+
+
+def build_features(raw: Mapping[str, DataFrame], snapshots: Sequence[date], run_ts: datetime, history: Callable[[Sequence[date]], PaymentHistory] | None = None, *, placed: bool = False) -> DataFrame:
     """The feature table's rows for every customer at every given snapshot date.
 
-    ``history`` gives what is known of payments; without it, ``raw["payments"]`` is read whole.
+    ``history`` gives what is known of payments; without it, ``raw["payments"]`` is read whole. ``placed`` says
+    that all sources lie in as many buckets by customer; then nothing but the labels of attributes is shuffled.
 
     Payments and the other sources meet once, in a full outer join on the customer, by which both
     are already partitioned. A customer with several known outcomes, or a missing customer id,
     fails the build.
     """
     dates = _ordered(snapshots)
-    known = history(dates) if history else history_of(raw["payments"], dates)
+    known = history(dates) if history else history_of(raw["payments"], dates, placed)
     payers = _payers(known, dates).withColumn("has_paid", F.lit(True))
-    customers = payers.join(_profiles(raw), "customer_id", "full").filter(F.col("has_paid") | F.col("is_customer"))
+    profiles = _placed_profiles(raw) if placed else _profiles(raw)
+    customers = payers.join(profiles, "customer_id", "full").filter(F.col("has_paid") | F.col("is_customer"))
     return _finished(_one_row_per_snapshot(customers, dates), run_ts)
 
 

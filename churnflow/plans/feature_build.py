@@ -26,8 +26,10 @@ def update_features(
     run_ts = run_ts or datetime.now(timezone.utc)
     history = _kept_history(lake, max(snapshots), run_ts) if incremental else None
     needed = (name for name in RAW_CUSTOMER_TABLES if not (incremental and name == "payments"))
+    placed = raw is None and len({lake.buckets_of(RAW_CUSTOMER_TABLES[name]) for name in RAW_CUSTOMER_TABLES} - {None}) == 1 and all(
+        map(lake.buckets_of, RAW_CUSTOMER_TABLES.values()))
     raw = raw or {name: lake.read(RAW_CUSTOMER_TABLES[name]) for name in needed}
-    rows = build_features(raw, snapshots, run_ts, history)
+    rows = build_features(raw, snapshots, run_ts, history, placed=placed)
     with staged(rows, FEATURES.name) as built:
         require_snapshots(built, snapshots)
         # One row per customer and date by construction.

@@ -44,7 +44,8 @@ class Table:
     """A stored table.
 
     ``derived`` holds the directory columns that are not columns of the table: the SQL that
-    computes each, and its type.
+    computes each, and its type. ``bucket`` names the column by whose hash a bucketed lake lays the table out, and the
+    SQL that computes it.
     """
 
     zone: str
@@ -53,6 +54,7 @@ class Table:
     key: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     derived: dict[str, tuple[str, DataType]] = field(default_factory=dict)
+    bucket: tuple[str, str] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -65,32 +67,34 @@ class Table:
 
 TEXT, DAY, ID = StringType(), DateType(), LongType()
 
+_BY_CUSTOMER = ("cus_cust_id_buy", "cus_cust_id_buy")
+
 RAW_EVENTS = Table("raw", "crypto_transaction_history", _columns(
     site_id=TEXT, user_id=ID, purchase_date=TEXT, crypto_type=TEXT,
     purchase_price=RAW_NUMBER, purchase_units=RAW_NUMBER,
 ))
 RAW_MARKETPLACE = Table("raw", "marketplace_data", _columns(
     cus_cust_id_buy=ID, spent_ml=RAW_NUMBER, recency_ml=DAY, frequency_ml=IntegerType(),
-))
+), bucket=_BY_CUSTOMER)
 # Payments lie in a folder a month, so that a window or a week reads its months only.
 _BY_MONTH = {"partition_by": ("pay_month",), "derived": {"pay_month": ("trunc(fecha, 'MM')", DAY)}}
 RAW_PAYMENTS = Table("raw", "payments", _columns(
     fecha=DAY, cus_cust_id_sel=ID, cus_cust_id_buy=ID, spent=RAW_NUMBER,
     tpv_segment_detail=TEXT, descuento=RAW_NUMBER,
-), **_BY_MONTH)
+), bucket=_BY_CUSTOMER, **_BY_MONTH)
 RAW_ACTIVE_USER = Table("raw", "active_user", _columns(
     cus_cust_id_buy=ID,
     mau_mp_3=RAW_NUMBER, mau_ml_3=RAW_NUMBER, mau_mp_2=RAW_NUMBER, mau_ml_2=RAW_NUMBER, mau_mp_1=RAW_NUMBER, mau_ml_1=RAW_NUMBER,
     last_login_mp_date_1=DAY, last_login_ml_date_1=DAY,
-))
+), bucket=_BY_CUSTOMER)
 RAW_DEMOGRAPHICS = Table("raw", "demograficos", _columns(
     city=TEXT, cus_cust_id_buy=ID, gender=TEXT, rango_edad=TEXT, tarjetas=TEXT, estado=TEXT,
-))
+), bucket=_BY_CUSTOMER)
 # Account ids arrive as decimals and are rounded to whole ids on use.
 RAW_BALANCES = Table("raw", "dinero_cuenta", _columns(
     cus_cust_id_buy=RAW_NUMBER, plata_cuenta_1=RAW_NUMBER, plata_cuenta_2=RAW_NUMBER, inversion=TEXT,
-))
-RAW_OUTCOMES = Table("raw", "evaluate", _columns(cus_cust_id_buy=ID, churn=RAW_NUMBER))
+), bucket=("customer_id", "CAST(round(cus_cust_id_buy) AS BIGINT)"))
+RAW_OUTCOMES = Table("raw", "evaluate", _columns(cus_cust_id_buy=ID, churn=RAW_NUMBER), bucket=_BY_CUSTOMER)
 
 EVENT_KEY = ("site_id", "user_id", "purchase_date", "crypto_type")
 _EVENT = {

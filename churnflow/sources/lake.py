@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Sequence
@@ -9,7 +10,7 @@ from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from churnflow.functions import fail_when, timestamp_literal
 from churnflow.operators.merge import survivors
@@ -55,11 +56,16 @@ class Lake:
     first written aside in full, below the same root, and checked; a note beside it says so until the swap is over.
     A reader that finds the note is refused rather than shown part of a table, and the next
     writer, or ``recover``, finishes the swap from the rows set aside.
+
+    With ``buckets``, tables that declare a ``bucket`` column are laid out by its hash whenever they are replaced as a
+    whole, so that what is grouped or joined by it needs no shuffle. How a table is laid out is noted beside it; sessions
+    read it by that note, whatever their own setting.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     def path(self, table: Table) -> str:
         return f"{self.root}/{table.zone}/{table.name}"
@@ -68,8 +74,34 @@ class Lake:
         """The stored rows with their directory columns. An absent table is an error."""
         if self._note(table) is not None:
             raise RuntimeError(f"{table.name} is being replaced, or that was cut short: wait, or call recover")
+        if buckets := self.buckets_of(table):
+            return self._bucketed(table, buckets)
         return self.spark.read.schema(stored_schema(table)).parquet(self.path(table))
 
+    def buckets_of(self, table: Table) -> int | None:
+        """How many buckets the stored table has, none if it is not laid out so."""
+        return (self._json(self._layout_path(table)) or {}).get("buckets") if table.bucket else None
+
+    def _bucketed(self, table: Table, buckets: int) -> DataFrame:
+        """The stored files through the session's catalog, which is where Spark takes bucketing from."""
+        name, (column, _) = self._name(table), table.bucket
+        if not self.spark.catalog.tableExists(name):
+            fields = stored_schema(table).fields
+            if column not in [f.name for f in fields]:
+                fields = [*table.schema.fields, StructField(column, LongType()), *fields[len(table.schema.fields):]]
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            parts = f"PARTITIONED BY ({', '.join(table.partition_by)}) " if table.partition_by else ""
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet {parts}CLUSTERED BY ({column}) SORTED BY ({column}) INTO {buckets} BUCKETS "
+                f"LOCATION '{self.path(table)}'")
+            if parts:
+                self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name)
+
+    def _name(self, table: Table) -> str:
+        return f"lake_{hashlib.md5(self.path(table).encode()).hexdigest()[:16]}"
+
     def read_or_empty(self, table: Table) -> DataFrame:
         """``read``, or no rows if nothing was written yet: only for tables that the jobs themselves create."""
         try:
@@ -212,39 +244,73 @@ class Lake:
 
     def _note(self, table: Table) -> dict | None:
         """What is known of an unfinished replacement."""
-        files, path = self._file(self._note_path(table))
-        if not files.exists(path):
+        return self._json(self._note_path(table))
+
+    def _set_note(self, table: Table, note: dict | None) -> None:
+        self._set_json(self._note_path(table), note)
+
+    def _json(self, path: str) -> dict | None:
+        files, place = self._file(path)
+        if not files.exists(place):
             return None
         with_text = self.spark._jvm.org.apache.commons.io.IOUtils
-        stream = files.open(path)
+        stream = files.open(place)
         try:
             return json.loads(with_text.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _set_note(self, table: Table, note: dict | None) -> None:
-        files, path = self._file(self._note_path(table))
-        if note is None:
-            files.delete(path, False)
+    def _set_json(self, path: str, value: dict | None) -> None:
+        files, place = self._file(path)
+        if value is None:
+            files.delete(place, False)
             return
         # Renamed into place, so a note is there in full or not at all.
-        draft = path.suffix(".draft")
+        draft = place.suffix(".draft")
         stream = files.create(draft, True)
-        stream.write(bytearray(json.dumps(note), "utf-8"))
+        stream.write(bytearray(json.dumps(value), "utf-8"))
         stream.close()
-        files.rename(draft, path)
+        files.delete(place, False)
+        files.rename(draft, place)
 
     def _note_path(self, table: Table) -> str:
         return f"{self.root}/_aside/{table.zone}.{table.name}.note"
 
+    def _layout_path(self, table: Table) -> str:
+        return f"{self.root}/_layout/{table.zone}.{table.name}.json"
+
     def _file(self, path: str):
         made = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return made.getFileSystem(self.spark._jsc.hadoopConfiguration()), made
 
     def _write(self, rows: DataFrame, table: Table, mode: str, overwrite: str = "static", rebalance: bool = True) -> None:
         rows = rows.select("*", *(F.expr(sql).alias(c) for c, (sql, _) in table.derived.items()))
+        if table.bucket:
+            if mode == "overwrite" and overwrite == "static":
+                self._replace_layout(rows, table)
+                return
+            if self.buckets_of(table):
+                raise ValueError(f"{table.name} is bucketed and can only be replaced as a whole")
         if table.partition_by and rebalance:
             # Few files per partition, while a large one is still split over many tasks.
             rows = rows.hint("rebalance", *table.partition_by)
         writer = rows.write.mode(mode).option("partitionOverwriteMode", overwrite)
         writer.partitionBy(*table.partition_by).parquet(self.path(table))
+
+    def _replace_layout(self, rows: DataFrame, table: Table) -> None:
+        """The whole table, in buckets or not, as this lake is set; the note of the layout follows the files, and recovery repeats both."""
+        name, (column, sql) = self._name(table), table.bucket
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if not self.buckets:
+            self._set_json(self._layout_path(table), None)
+            rows = rows.hint("rebalance", *table.partition_by) if table.partition_by else rows
+            rows.write.mode("overwrite").partitionBy(*table.partition_by).parquet(self.path(table))
+            return
+        kept = rows if column in rows.columns else rows.withColumn(column, F.expr(sql))
+        kept = kept.select(*(c for c in kept.columns if c not in table.partition_by), *table.partition_by)
+        # One file a bucket (and partition): the rows of a bucket are in one task already.
+        writer = kept.repartition(self.buckets, column).write.mode("overwrite").format("parquet").option("path", self.path(table))
+        writer = writer.partitionBy(*table.partition_by) if table.partition_by else writer
+        remove(self.spark, self.path(table))
+        writer.bucketBy(self.buckets, column).sortBy(column).saveAsTable(name)
+        self._set_json(self._layout_path(table), {"buckets": self.buckets})

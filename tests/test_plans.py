@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 
@@ -12,6 +13,7 @@ from churnflow.operators import features as ft
 from churnflow.operators.evaluation import counts_by_score
 from churnflow.operators.merge import survivors
 from churnflow.operators.scoring import scenario_grid
+from churnflow.plans import update_features
 from churnflow.schemas import EVENT_KEY, FEATURES, LEDGER, PAYMENT_DAYS, PAYMENT_MONTHS, RAW_CUSTOMER_TABLES, RAW_EVENTS, RAW_PAYMENTS, STAGED_EVENTS
 from churnflow.sources import Lake
 from churnflow.sources.lake import stored_schema
@@ -107,6 +109,41 @@ def test_dedupe_reduces_before_its_only_shuffle(big, tmp_path):
     assert text.index("functions=[max(") < text.index("Exchange hashpartitioning") < text.index("functions=[partial_max(")
 
 
+def in_buckets(spark, root, buckets, **rows):
+    lake = Lake(spark, str(root), buckets)
+    for name, table in RAW_CUSTOMER_TABLES.items():
+        full = [tuple(r.get(c) for c in table.columns) for r in rows.get(name, [])]
+        lake.replace(spark.createDataFrame(full, table.schema), table)
+    return lake, {name: lake.read(table) for name, table in RAW_CUSTOMER_TABLES.items()}
+
+
+def test_sources_in_buckets_are_joined_and_aggregated_where_they_are(big, tmp_path):
+    one, many = Decimal("1"), range(1, 40)
+    rows = {
+        "payments": [{"cus_cust_id_buy": c, "fecha": S - timedelta(days=3 * c), "spent": one, "descuento": one} for c in many for _ in range(c % 3 + 1)],
+        "marketplace": [{"cus_cust_id_buy": 100 + c} for c in range(5)],
+        "active_user": [{"cus_cust_id_buy": c, "mau_mp_1": one, "last_login_mp_date_1": S - timedelta(days=c)} for c in many if c % 2],
+        "demographics": [{"cus_cust_id_buy": c, "gender": "m" if c % 3 else None, "estado": "x"} for c in range(20, 60)],
+        "balances": [{"cus_cust_id_buy": Decimal(c) - Decimal("0.4"), "plata_cuenta_1": one, "inversion": "Active"} for c in range(1, 70, 7)],
+        "outcomes": [{"cus_cust_id_buy": c, "churn": one} for c in (3, 5, 500)],
+    }
+    dates = [S, S - timedelta(days=30)]
+    lake, placed = in_buckets(big, tmp_path / "b", 4, **rows)
+    _, plain = in_buckets(big, tmp_path / "p", None, **rows)
+    built = ft.build_features(placed, dates, NOW, placed=True)
+    assert "Exchange" not in plan(built)
+    want = sorted(map(repr, ft.build_features(plain, dates, NOW).collect()))
+    assert sorted(map(repr, built.collect())) == want and len(want) > 100
+    update_features(lake, dates, NOW)
+    assert sorted(map(repr, lake.read(FEATURES).select(*FEATURES.columns).collect())) == want
+    again = Lake(big, lake.root)  # a lake without the setting reads, and can lay out anew
+    assert again.buckets_of(RAW_PAYMENTS) == 4 and again.read(RAW_PAYMENTS).count() == len(rows["payments"])
+    with pytest.raises(ValueError, match="only be replaced as a whole"):
+        again.append(again.read(RAW_PAYMENTS).limit(1), RAW_PAYMENTS)
+    again.replace(plain["payments"], RAW_PAYMENTS)
+    assert again.buckets_of(RAW_PAYMENTS) is None and again.read(RAW_PAYMENTS).count() == len(rows["payments"])
+
+
 def test_top_rows_and_text_maxima_are_hashed(big, tmp_path):
     texts = [plan(ev.stage_events(stored(big, tmp_path, RAW_EVENTS)))]
     raw = {name: stored(big, tmp_path, table) for name, table in RAW_CUSTOMER_TABLES.items()}
