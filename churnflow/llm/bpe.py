@@ -26,9 +26,10 @@ import os
 import re
 import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -125,22 +126,19 @@ class _Block:
 
     def __init__(self, compact: bool) -> None:
         self.compact, self.level = compact, _level(compact)
-        self.numbers: dict[bytes, int] = {}
+        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.parts: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         self.size = 0
         self.digest = 0
 
     def add(self, documents: pa.Array, texts: pa.Array) -> None:
-        numbers, coded, lengths = self.numbers, [], []
+        number, coded, lengths = self.numbers.__getitem__, [], []
         for value in texts:
             text = value.as_py() or b""
             self.size += len(text)
             self.digest = zlib.crc32(text, zlib.crc32(len(text).to_bytes(8, "little"), self.digest))
             words = text.split()
-            own = np.fromiter(map(numbers.get, words, repeat(-1)), np.int32, len(words))
-            for i in np.flatnonzero(own < 0).tolist():
-                own[i] = numbers.setdefault(words[i], len(numbers))
-            coded.append(own)
+            coded.append(np.fromiter(map(number, words), np.int32, len(words)))
             lengths.append(len(words))
         self.parts.append((documents, np.array(lengths, np.int32), np.concatenate([np.zeros(0, np.int32), *coded])))
 
@@ -260,16 +258,16 @@ def encode(
                     counts, table = _by_number(answers)
                     first = np.cumsum(counts, dtype=np.int64) - counts
                     answers = []
-                out, at, every = [], 0, _unpack(batch.column("numbers")[i].as_py())
-                for length in np.frombuffer(batch.column("lengths")[i].as_py(), np.int32).tolist():
-                    numbers = every[at : at + length]
-                    at += length
-                    n = counts[numbers]
-                    ends = np.cumsum(n, dtype=np.int64)
-                    total = int(ends[-1]) if length else 0
-                    out.append(table[np.repeat(first[numbers] - ends + n, n) + np.arange(total)].tobytes())
+                every = _unpack(batch.column("numbers")[i].as_py())
+                n = counts[every]
+                ends = np.cumsum(n, dtype=np.int64)
+                total = int(ends[-1]) if len(ends) else 0
+                data = table[np.repeat(first[every] - ends + n, n) + np.arange(total)].tobytes()
+                words = np.cumsum(np.frombuffer(batch.column("lengths")[i].as_py(), np.int32), dtype=np.int64)
+                places = (np.concatenate(([0], ends))[np.concatenate(([0], words))] * ID.itemsize).tolist()
                 documents = batch.column("documents").slice(i, 1).flatten()
-                yield pa.RecordBatch.from_arrays([documents, pa.array(out, pa.binary())], names=schema.names)
+                out = pa.array([data[a:b] for a, b in zip(places, places[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([documents, out], names=schema.names)
         release()
 
     rows = blocks.filter("bucket IS NULL").select("block", "bucket", "documents", "lengths", "numbers")

@@ -90,20 +90,31 @@ class Codebook:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Packed codes, ended by a whole byte, and the bit where each stride of ids starts."""
+        (packed,), (marks,) = self.encode_many(ids, np.array([len(ids)]))
+        return packed, marks
+
+    def encode_many(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
+        """``encode`` of documents that follow each other in ``ids``, all at once; each begins at a 32-bit word of its own."""
         lengths, codes = self.lengths[ids], self.codes[ids]
         if len(ids) and not lengths.all():
             raise ValueError("an id has no code")
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        bits = int(ends[-1]) if len(ids) else 0
-        words = (bits + 31) // 32
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        last = np.cumsum(sizes)
+        first = last - sizes
+        bits = ends[last] - ends[first]
+        words = (bits + 31) >> 5
+        begin = np.cumsum(words) - words
+        starts = ends[:-1] - np.repeat(ends[first], sizes)
         # A code lies in a 32-bit word and at most the next; no two codes share a bit, so sums unite them.
-        word, room = starts >> 5, 64 - (starts & 31) - lengths
+        word, room = (starts >> 5) + np.repeat(begin, sizes), 64 - (starts & 31) - lengths
         shifted = codes << room
-        low = np.bincount(word, (shifted >> 32).astype(np.float64), words + 1)
-        high = np.bincount(word + 1, (shifted & 0xFFFFFFFF).astype(np.float64), words + 1)
-        packed = (low[: words + 1] + high[: words + 1]).astype(">u4")[:words].tobytes()
-        return packed[: (bits + 7) // 8], starts[::STRIDE]
+        total = int(words.sum())
+        low = np.bincount(word, (shifted >> 32).astype(np.float64), total + 1)
+        high = np.bincount(word + 1, (shifted & 0xFFFFFFFF).astype(np.float64), total + 1)
+        packed = (low[: total + 1] + high[: total + 1]).astype(">u4")[:total].tobytes()
+        at, size = (4 * begin).tolist(), ((bits + 7) >> 3).tolist()
+        marks = [starts[a:b:STRIDE] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+        return [packed[a : a + n] for a, n in zip(at, size, strict=True)], marks
 
     def decode(self, packed: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The ids of all lanes, one after the other: lane k has ``sizes[k]`` ids from bit ``starts[k]`` on."""
@@ -283,14 +294,12 @@ def write(encoded: DataFrame, folder: str, doc_id: str = "doc_id", ids: str = "i
         book = Codebook(shared.value)
         for whole in batches:
             for batch in pieces(whole, whole.column(1)):
-                out: list[list] = [[], [], [], [], []]
-                for document, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    data = value.as_py() or b""
-                    n, check = len(data) // ID.itemsize, zlib.crc32(data)
-                    packed, marks = book.encode(np.frombuffer(data, ID))
-                    part = bisect_right(bounds, _place(document, n, check))
-                    for column, item in zip(out, (part, n, check, packed, marks.astype("<u8").tobytes()), strict=True):
-                        column.append(item)
+                values = [v or b"" for v in batch.column(1).to_pylist()]
+                sizes = np.array([len(v) // ID.itemsize for v in values], np.int64)
+                checks = [zlib.crc32(v) for v in values]
+                packed, marks = book.encode_many(np.frombuffer(b"".join(values), ID), sizes)
+                parts = [bisect_right(bounds, _place(*d)) for d in zip(batch.column(0).to_pylist(), sizes.tolist(), checks, strict=True)]
+                out = [parts, sizes, checks, packed, [m.astype("<u8").tobytes() for m in marks]]
                 arrays = [pa.array(c, pa.int64()) for c in out[:3]] + [pa.array(c, pa.binary()) for c in out[3:]]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["document", "part", "n", "check", "codes", "marks"])
 
