@@ -183,16 +183,17 @@ def matches(nodes: DataFrame, shortest: int) -> DataFrame:
     by_part: dict[int, list] = {}
     for r in ends:
         by_part.setdefault(r.part, []).append(r)
-    across, before = [], None
+    across, before, head = [], None, None  # the last entry so far, and the head of the run it is in
     for part in sorted(by_part):
-        first, last = (min if i == 0 else max for i in (0, 1))
-        first = first(by_part[part], key=lambda r: (r.tree, bytes(r.signature)))
-        last = last(by_part[part], key=lambda r: (r.tree, bytes(r.signature)))
-        if before is not None and before.tree == first.tree:
-            depth = next((i for i in range(DEEPEST) if before.signature[2 * i : 2 * i + 2] != first.signature[2 * i : 2 * i + 2]), DEEPEST)
-            if depth >= shortest:
-                across.append((first.a, before.a, depth))
-        before = last
+        of_first, of_last = (order(by_part[part], key=lambda r: (r.tree, bytes(r.signature))) for order in (min, max))
+        depth = 0
+        if before is not None and before.tree == of_first.tree:
+            depth = next((i for i in range(DEEPEST) if before.signature[2 * i : 2 * i + 2] != of_first.signature[2 * i : 2 * i + 2]), DEEPEST)
+        if depth >= shortest:
+            across.append((of_first.a, head, depth))
+        if depth < shortest or of_last.a != of_first.a:  # else the whole partition goes on with the run
+            head = of_last.a
+        before = of_last
     inside = found.filter("part IS NULL").select("a", "b", "depth")
     if not across:
         return inside

@@ -182,6 +182,37 @@ def test_large_group_of_different_near_copies(spark, monkeypatch, stripe):
     assert {(r.class_id, r.n_links) for r in found} == {(0, 59)}
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_matches_are_the_runs_of_sorted_signatures(spark, partitions):
+    """Also where a run goes on over many partitions: its first entry in each is joined to the first of all."""
+    rng = np.random.default_rng(2)
+    heads = rng.integers(0, 5, (400, near_duplicates.TREES, near_duplicates.DEEPEST)).astype(">u2")
+    heads[:200, :3] = heads[0, :3]  # a third of the trees' entries are alike
+    rows = [(i, heads[i].tobytes()) for i in range(400)]
+    nodes = spark.createDataFrame(rows, "node long, signatures binary").selectExpr("cast(node as decimal(38,0)) node", "signatures")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for shortest in (3, 5):
+            found = {(int(r.a), int(r.b)) for r in near_duplicates.matches(nodes, shortest).collect()}
+            want, heads_of = set(), collections.defaultdict(set)
+            for tree in range(near_duplicates.TREES):
+                first = {}
+                for sig, node in sorted((heads[i, tree].tobytes(), i) for i in range(400)):
+                    head = first.setdefault(sig[: 2 * shortest], node)
+                    heads_of[node].add(head)
+                    if head != node:
+                        want.add((node, head))
+            if partitions == 1:
+                assert found == want
+            assert all(heads_of[a] & heads_of[b] for a, b in found)  # both in one run
+            joined = found | {(a, c) for a, b in found for d, c in found if b == d}
+            assert want <= joined
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_recall_decides_the_depth():
     depth = near_duplicates.depth_for(0.8)
     assert near_duplicates.recall(depth, 0.8, 24) >= near_duplicates.RECALL > near_duplicates.recall(depth + 1, 0.8, 24)
