@@ -84,7 +84,7 @@ class Lake:
 
     def _bucketed(self, table: Table, buckets: int) -> DataFrame:
         """The stored files through the session's catalog, which is where Spark takes bucketing from."""
-        name, (column, _) = self._name(table), table.bucket
+        name, (column, _) = self._name(table, buckets), table.bucket
         if not self.spark.catalog.tableExists(name):
             fields = stored_schema(table).fields
             if column not in [f.name for f in fields]:
@@ -99,8 +99,9 @@ class Lake:
         self.spark.catalog.refreshTable(name)
         return self.spark.table(name)
 
-    def _name(self, table: Table) -> str:
-        return f"lake_{hashlib.md5(self.path(table).encode()).hexdigest()[:16]}"
+    def _name(self, table: Table, buckets: int) -> str:
+        """In the session's catalog; another layout, perhaps by another session, is another table there."""
+        return f"lake_{hashlib.md5(self.path(table).encode()).hexdigest()[:16]}_{buckets}"
 
     def read_or_empty(self, table: Table) -> DataFrame:
         """``read``, or no rows if nothing was written yet: only for tables that the jobs themselves create."""
@@ -299,8 +300,7 @@ class Lake:
 
     def _replace_layout(self, rows: DataFrame, table: Table) -> None:
         """The whole table, in buckets or not, as this lake is set; the note of the layout follows the files, and recovery repeats both."""
-        name, (column, sql) = self._name(table), table.bucket
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        column, sql = table.bucket
         if not self.buckets:
             self._set_json(self._layout_path(table), None)
             rows = rows.hint("rebalance", *table.partition_by) if table.partition_by else rows
@@ -308,6 +308,8 @@ class Lake:
             return
         kept = rows if column in rows.columns else rows.withColumn(column, F.expr(sql))
         kept = kept.select(*(c for c in kept.columns if c not in table.partition_by), *table.partition_by)
+        name = self._name(table, self.buckets)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         # One file a bucket (and partition): the rows of a bucket are in one task already.
         writer = kept.repartition(self.buckets, column).write.mode("overwrite").format("parquet").option("path", self.path(table))
         writer = writer.partitionBy(*table.partition_by) if table.partition_by else writer
