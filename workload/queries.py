@@ -506,7 +506,7 @@ def _feature_profile(spark, d):
     ranks = [(F.col(f"below_{i}") <= F.col("n") * (q + RANK_ERROR)) & (F.col(f"upto_{i}") >= F.col("n") * (q - RANK_ERROR)) for i, q in enumerate(QUANTILES)]
     distinct = F.abs(F.col("distinct_values") - F.col("n_distinct")) <= F.col("n_distinct") * DISTINCT_ERROR
     return plain(found.join(near, key).select(
-        *key, "n_rows", "missing", "zeros", "least", "greatest", F.round("mean", 3).alias("mean"), F.round("stddev", 3).alias("stddev"),
+        *key, "n_rows", "missing", "zeros", "least", "greatest", F.round("mean", 5).alias("mean"), F.round("stddev", 3).alias("stddev"),
         reduce(lambda a, b: a & b, ranks).alias("quantiles_hold"), distinct.alias("distinct_holds")))
 
 
