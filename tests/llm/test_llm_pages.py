@@ -57,10 +57,11 @@ def test_warc_round_trip(spark, pages):
 def test_packages_are_read_in_tasks_by_their_bytes(spark, monkeypatch):
     rows = [(i, f"u{i}", hashlib.sha256(str(i).encode()).hexdigest() * 20) for i in range(60)]
     packages = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), shared_path(spark, "warc-test"))
-    monkeypatch.setattr(warc, "TASK_BYTES", 5000)
-    monkeypatch.setattr(warc, "RUN_BYTES", 1000)
+    monkeypatch.setattr(warc, "TASK_BYTES", 1000)
+    monkeypatch.setattr(warc, "RUN_BYTES", 500)
     found = warc.read(packages, payload=False)
-    assert found.rdd.getNumPartitions() >= 8 and {r.page_id for r in found.collect()} == set(range(60))
+    packed = sum(r.length for r in warc.index(packages).collect())
+    assert found.rdd.getNumPartitions() == -(-packed // 1000) > 10 and {r.page_id for r in found.collect()} == set(range(60))
 
 
 def test_packages_are_cut_and_read_by_other_tools(spark, pages, monkeypatch):
