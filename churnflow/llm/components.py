@@ -18,16 +18,13 @@ def components(edges: DataFrame) -> DataFrame:
     """Rows (node, component) for the nodes of ``edges`` (a, b); a component is named by its least node.
 
     Null ends and loops are left out; no edges give no rows. A node with very many neighbours is a hot key of a join of
-    its edges with its least neighbour, one row. The least ones are written first: straight from their aggregation the
-    join would have to follow its partitioning, but so Spark can split the edges of such a node over tasks (adaptive execution
-    does, from its own skew threshold on).
+    its edges with its least neighbour, one row: narrow rows of two names, which meet in one task.
     """
     edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = stored(edges, "edges")
     while not _only_stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        least = stored(least, "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from churnflow.llm.columns import require, stored
 from churnflow.llm.components import components
-from churnflow.llm.textmap import pieces
+from churnflow.llm.textmap import pieces, release
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -125,6 +125,7 @@ def mark(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", simil
                     [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), _nodes(names), pa.array(signatures, pa.binary())],
                     names=["doc_id", "text_hash", "size", "node", "signatures"],
                 )
+        release()
 
     source = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text"))
     return source.mapInArrow(run, f"doc_id long, text_hash long, size long, node {_NODE}, signatures binary")
@@ -176,6 +177,7 @@ def matches(nodes: DataFrame, shortest: int) -> DataFrame:
         if last is not None:
             for node, own_tree, own_signature in (*ends, last):
                 yield rows(node, node, [0], [own_signature], [own_tree])
+        release()
 
     schema = f"a {_NODE}, b {_NODE}, depth int, part int, tree int, signature binary"
     found = stored(entries.select("node", "tree", "signature").mapInArrow(run, schema), "matches")
@@ -271,6 +273,7 @@ def _compare(similarity: float, stripe_bits: int):
                     a, b = top(i), top(j)
                     root[max(a, b)] = min(a, b)
         roots = names.take(pa.array([top(i) for i in range(len(sets))], pa.int64()))
+        release()
         return pa.table({"node": names, "root": roots, "links": pa.array(links, pa.int64())})
 
     return run
