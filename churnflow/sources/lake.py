@@ -104,13 +104,16 @@ class Lake:
         return f"lake_{hashlib.md5(self.path(table).encode()).hexdigest()[:16]}_{buckets}"
 
     def read_or_empty(self, table: Table) -> DataFrame:
-        """``read``, or no rows if nothing was written yet: only for tables that the jobs themselves create."""
+        """``read``, or no rows if nothing was written yet: only for tables that the jobs themselves create.
+
+        Spark knows of the latter that there are none, so what a first write is joined to costs nothing.
+        """
         try:
             return self.read(table)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], stored_schema(table))
+            return self.spark.createDataFrame([], stored_schema(table)).limit(0)
 
     def append(self, df: DataFrame, table: Table, **defaults) -> None:
         """Add rows. Adding no rows changes nothing.

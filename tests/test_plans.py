@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from churnflow.operators import events as ev
 from churnflow.operators import features as ft
@@ -14,9 +15,9 @@ from churnflow.operators.evaluation import counts_by_score
 from churnflow.operators.merge import survivors
 from churnflow.operators.scoring import scenario_grid
 from churnflow.plans import update_features
-from churnflow.schemas import EVENT_KEY, FEATURES, LEDGER, PAYMENT_DAYS, PAYMENT_MONTHS, RAW_CUSTOMER_TABLES, RAW_EVENTS, RAW_PAYMENTS, STAGED_EVENTS
+from churnflow.schemas import EVENT_KEY, FEATURE_KEY, FEATURES, LEDGER, PAYMENT_DAYS, PAYMENT_MONTHS, RAW_CUSTOMER_TABLES, RAW_EVENTS, RAW_PAYMENTS, STAGED_EVENTS
 from churnflow.sources import Lake
-from churnflow.sources.lake import stored_schema
+from churnflow.sources.lake import conform, stored_schema
 from workload.queries import SCENARIOS, rule_predictions
 
 S = date(2019, 5, 26)
@@ -162,6 +163,21 @@ def test_upsert_shuffles_only_keys_of_the_source(big, tmp_path):
     assert exchanges(text) == 2 and "purchase_price" not in staged_scan.split("Batched")[0]
 
 
+def test_upsert_sends_no_keys_to_every_task(spark, tmp_path):
+    """Also where Spark takes both tables for small."""
+    for table, key in ((FEATURES, FEATURE_KEY), (LEDGER, EVENT_KEY)):
+        target, source = stored(spark, tmp_path / "old", table), stored(spark, tmp_path / "new", table)
+        text = plan(survivors(target, source, key))
+        assert "Broadcast" not in text and text.count("SortMergeJoin") == 1
+
+
+def test_first_upsert_joins_nothing(spark, tmp_path, lake):
+    source = stored(spark, tmp_path, FEATURES)
+    rows = survivors(lake.read_or_empty(FEATURES).filter(F.col("snapshot_date").isin([S])), source, FEATURE_KEY)
+    text = plan(conform(source, FEATURES).unionByName(conform(rows, FEATURES)))
+    assert "Join" not in text and "Exchange" not in text and text.count("FileScan") == 1
+
+
 def test_fused_merge_has_one_join(big, tmp_path):
     ledger, staged = stored(big, tmp_path, LEDGER), stored(big, tmp_path, STAGED_EVENTS)
     text = plan(ev.merge_events(ledger, staged, date(2024, 1, 20), NOW))
